@@ -52,7 +52,7 @@ def chat_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "conversations")).select(
         F.concat(F.lit("c"), conv).alias("author"),
         F.col("text").alias("body"),
-        (FIRST_SECOND + (conv * 7919 + turn * 60) % (30 * 86400))
+        (FIRST_SECOND + (conv * 100003 + turn * 60) % (30 * 86400))
         .cast("string")
         .alias("created_utc"),
         F.col("role").alias("subreddit"),

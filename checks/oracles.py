@@ -42,7 +42,7 @@ CHAT_COMMENTS = (
     "comments",
     """
     SELECT 'c' || conv_id AS author, text AS body,
-           CAST(1704067200 + (conv_id * 7919 + turn * 60) % 2592000 AS VARCHAR)
+           CAST(1704067200 + (conv_id * 100003 + turn * 60) % 2592000 AS VARCHAR)
            AS created_utc,
            role AS subreddit
     FROM conversations""",
@@ -215,16 +215,44 @@ PAGE_STEPS = (
            generate_subscripts(string_split(html, '<h1'), 1) - 1 AS block_no
     FROM pages""",
     ),
+    (
+        "headed",
+        r"""
+    SELECT page_id, block_no,
+           regexp_extract(section, '(?s)^[^>]*>(.*?)</h1>', 1) AS label,
+           string_split(regexp_extract(section, '(?s)</h1>(.*)', 1), '<') AS part
+    FROM sections WHERE block_no > 0""",
+    ),
+    (
+        "parts",
+        """
+    SELECT *, CASE WHEN part LIKE 'p>%' OR part LIKE 'p %' THEN 1
+                   WHEN part LIKE '/p>%' THEN -1 ELSE 0 END AS step
+    FROM (SELECT page_id, block_no, label, unnest(part) AS part,
+                 generate_subscripts(part, 1) AS place FROM headed)""",
+    ),
+    (
+        "opened",
+        """
+    SELECT *, sum(step) OVER (PARTITION BY page_id, block_no ORDER BY place)
+              AS depth
+    FROM parts WHERE place >=
+        (SELECT min(place) FROM parts o WHERE o.step = 1
+           AND o.page_id = parts.page_id AND o.block_no = parts.block_no)""",
+    ),
+    (
+        "block_parts",
+        """
+    SELECT *, min(depth) OVER (PARTITION BY page_id, block_no ORDER BY place)
+              AS least
+    FROM opened""",
+    ),
     (
         "blocks",
-        rf"""
+        f"""
     SELECT page_id, block_no, {text_of("label")} AS topics,
-           {text_of("regexp_extract(rest, '(?s)<p[^>]*>(.*?)</p>', 1)")} AS block
-    FROM (SELECT page_id, block_no,
-                 regexp_extract(section, '(?s)^[^>]*>(.*?)</h1>', 1) AS label,
-                 regexp_extract(section, '(?s)</h1>(.*)', 1) AS rest
-          FROM sections WHERE block_no > 0)
-    WHERE regexp_matches(rest, '<p[ >]')""",
+           {text_of("'<' || string_agg(part, '<' ORDER BY place)")} AS block
+    FROM block_parts WHERE least > 0 GROUP BY page_id, block_no, label""",
     ),
     (
         "lines",

@@ -47,31 +47,49 @@ def elements(fragment: Column, tag: str) -> Column:
     )
 
 
-def balanced_content(html: Column, tag: str, attributes: str = "") -> Column:
-    """Inner fragment of the first ``tag`` whose attributes match a pattern.
+def until_closed(rest: Column, tag: Column) -> Column:
+    """Content of an element, given the text after its opening tag.
 
-    Nested elements of the same tag are kept: the text after the opening tag is
-    cut where tags of that name start or end, and the pieces are taken up to
-    the one at which the depth falls to zero. NULL when there is no such tag.
+    Nested elements of the same tag are kept: the text is cut where tags of
+    that name start or end, and the pieces are taken up to the one at which the
+    depth falls to zero, or all of them if the element is never closed.
     """
-    opening = rf"(?is)<{tag}\b[^>]*{attributes}[^>]*>"
-    rest = F.regexp_extract(html, opening + r"(.*)", 1)
-    pieces = F.split(rest, rf"(?i)(?=<{tag}\b)|(?=</{tag}\b)")
+    cuts = F.concat(F.lit("(?i)(?=</?"), tag, F.lit(r"\b)"))
+    pieces = F.split(rest, cuts)
 
     def step(state: Column, piece: Column) -> Column:
+        name = F.lower(F.regexp_extract(piece, r"^<(/?\w+)", 1))
         depth = (
             state["depth"]
-            + F.when(piece.rlike(rf"(?i)^<{tag}\b"), 1)
-            .when(piece.rlike(rf"(?i)^</{tag}\b"), -1)
+            + F.when(name == tag, 1)
+            .when(name == F.concat(F.lit("/"), tag), -1)
             .otherwise(0)
         )
-        still_open = (state["depth"] > 0) & (depth > 0)
+        open_before, open_after = state["depth"] > 0, depth > 0
         return F.struct(
-            F.when(state["depth"] > 0, depth).otherwise(0).alias("depth"),
-            (state["kept"] + still_open.cast("int")).alias("kept"),
+            F.when(open_before, depth).otherwise(0).alias("depth"),
+            (state["kept"] + (open_before & open_after).cast("int")).alias(
+                "kept"
+            ),
         )
 
     start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
     kept = F.aggregate(pieces, start, step)["kept"]
-    content = F.array_join(F.slice(pieces, F.lit(1), kept), "")
-    return F.when(html.rlike(opening), content)
+    return F.array_join(F.slice(pieces, F.lit(1), kept), "")
+
+
+def first_element(
+    html: Column, tags: Sequence[str], attributes: str = ""
+) -> Column:
+    """Inner fragment of the first of ``tags``, NULL when there is none.
+
+    ``attributes`` is a pattern that the opening tag has to contain.
+    """
+    opening = rf"(?is)<({any_tag(tags)})\b[^>]*{attributes}[^>]*>(.*)"
+    return F.when(
+        html.rlike(opening),
+        until_closed(
+            F.regexp_extract(html, opening, 2),
+            F.lower(F.regexp_extract(html, opening, 1)),
+        ),
+    )

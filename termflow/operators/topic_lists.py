@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from termflow.functions.html import (
     any_tag,
-    balanced_content,
     elements,
+    first_element,
     plain_text,
     text_lines,
 )
@@ -35,9 +35,10 @@ def extract_heading_blocks(
     ``topics`` is the text of the first of ``label_tags`` found in the heading,
     tried in their order; without ``label_tags`` it is the heading's own text.
     The block is the first ``block_tags`` element after the label and before
-    the next heading. Headings without label or block give nothing.
+    the next heading; never closed, it runs up to there. Headings without label
+    or block give nothing.
     """
-    headings, blocks = any_tag(heading_tags), any_tag(block_tags)
+    headings = any_tag(heading_tags)
     starts = rf"(?i)(?=<{headings}\b)"
     section = F.col("section")
     sections = pages.select(
@@ -47,23 +48,20 @@ def extract_heading_blocks(
     heading = F.regexp_extract(
         section, rf"(?is)^<[^>]*>(.*?)(?:</{headings}\s*>|\z)", 1
     )
-    label_end = headings
-    label = F.when(F.lit(not label_tags), heading)
-    for tag in label_tags:
-        found = elements(heading, tag)
-        label = F.coalesce(label, F.try_element_at(found, F.lit(1)))
     if label_tags:
-        label_end = any_tag(label_tags)
+        label = F.coalesce(
+            *(F.get(elements(heading, tag), F.lit(0)) for tag in label_tags)
+        )
+    else:
+        label = heading
+    label_end = any_tag(label_tags or heading_tags)
     after = F.regexp_extract(section, rf"(?is)</{label_end}\s*>(.*)", 1)
-    block = rf"(?is)<({blocks})\b[^>]*>(.*?)(?:</\1\s*>|\z)"
     return (
         sections.select(
             "page_id",
             "block_no",
             plain_text(label).alias("topics"),
-            F.when(after.rlike(block), F.regexp_extract(after, block, 2)).alias(
-                "block"
-            ),
+            first_element(after, block_tags).alias("block"),
         )
         .where(F.col("topics").isNotNull())
         .select(
@@ -94,7 +92,8 @@ def extract_links(
     ``text_prefix``; all of them get the topic ``label``. A page without the
     container gives no row, or fails the query if ``strict``.
     """
-    content = balanced_content(F.col("html"), *container)
+    tag, attributes = container
+    content = first_element(F.col("html"), [tag], attributes)
     if strict:
         content = F.coalesce(
             content,

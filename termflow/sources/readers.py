@@ -37,10 +37,12 @@ def read_json_comments(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_topic_map(spark: SparkSession, path: str) -> DataFrame:
-    """A topic map CSV with a header, with or without a leading index column."""
+    """A topic map CSV with a header, with or without a leading index column.
+
+    Quoted values may hold line breaks, so a file is not split; it is small.
+    """
     return (
-        spark.read.option("header", True)
-        .option("escape", '"')
+        spark.read.options(header=True, escape='"', multiLine=True)
         .csv(path)
         .select(*(F.col(f.name).cast(f.dataType) for f in TOPIC_MAP))
     )

@@ -50,9 +50,12 @@ def write_partitioned(
 
 def write_topic_map(topic_map: DataFrame, path: str) -> None:
     """CSV with a header and no index column; topic lists hold commas."""
-    topic_map.select("topics", "subreddit").write.mode("overwrite").option(
-        "header", True
-    ).option("escape", '"').csv(path)
+    topic_map.select("topics", "subreddit").write.mode("overwrite").options(
+        header=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    ).csv(path)
 
 
 def append_audit(spark: SparkSession, path: str, run: dict) -> None:
