@@ -50,7 +50,8 @@ def read_topic_map(spark: SparkSession, path: str) -> DataFrame:
 
 def read_statistics(spark: SparkSession, path: str) -> DataFrame:
     """Stored statistics; their ``date`` would otherwise be read as DATE."""
-    return spark.read.schema(WORD_STATISTICS).parquet(path)
+    stored = spark.read.schema(WORD_STATISTICS).parquet(path)
+    return stored.select(*WORD_STATISTICS.names)
 
 
 def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:

@@ -1,0 +1,212 @@
+from datetime import date, datetime
+
+import pytest
+from conftest import COMMENT_ROWS, END, START, has_schema, rows
+from pyspark.ml.feature import StopWordsRemover, Tokenizer
+from pyspark.sql import functions as F
+
+from termflow.functions.dates import day_bounds, epoch_day
+from termflow.functions.text import STOP_WORDS, WHITESPACE
+from termflow.operators import comments as C
+from termflow.operators import tokens as W
+from termflow.plans.comment_tokens import comment_tokens
+from termflow.schemas import COMMENT_TOKENS, COMMENTS, TOPIC_MAP
+
+# Words of each comment in range, and its topics.
+GOLDEN = [
+    ("edgelord_1640995200", "2022-01-01", ["fruit", "food"], ["pecan", "cherry", "banana"]),
+    ("fruitposter_1641081600", "2022-01-02", ["fruit", "food"], ["pecan", "cherry", "apple"]),
+    ("lovenuts_1640995200", "2022-01-01", ["nuts", "food"], ["walnut", "pecan"]),
+    ("nutlord_1640995200", "2022-01-01", ["nuts", "food"], ["walnut", "pecan"]),
+]
+
+
+def golden_tokens():
+    return sorted(
+        (
+            (key, topic, word, day)
+            for key, day, topics, words in GOLDEN
+            for topic in topics
+            for word in words
+        ),
+        key=repr,
+    )
+
+
+def bodies(spark, *texts):
+    return spark.createDataFrame(
+        [("k", "t", "2022-01-01", text) for text in texts],
+        "id string, topics string, date string, body string",
+    )
+
+
+def words_of(spark, *texts):
+    return [r[0] for r in rows(W.add_words(bodies(spark, *texts)), "word")]
+
+
+def test_pipeline_matches_golden_rows(comments, topic_map):
+    tokens = comment_tokens(comments, topic_map, START, END)
+    assert has_schema(tokens, COMMENT_TOKENS)
+    assert rows(tokens) == golden_tokens()
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 20])
+def test_join_without_broadcast_gives_the_same(comments, topic_map, limit):
+    tokens = comment_tokens(
+        comments, topic_map, START, END, max_broadcast_bytes=limit
+    )
+    hinted = "BroadcastHashJoin" in tokens._jdf.queryExecution().sparkPlan().toString()
+    assert rows(tokens) == golden_tokens()
+    if limit:
+        assert hinted
+
+
+def test_token_plan_has_one_wide_shuffle(comments, topic_map):
+    tokens = comment_tokens(comments, topic_map, START, END)
+    plan = tokens._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Python" not in plan and "UDF" not in plan
+
+
+def test_tokenize(spark):
+    df = W.tokenize(bodies(spark, "walnut! Pecan?", " a  b\t\n", "   ", "", None))
+    got = [r["words_token"] for r in df.collect()]
+    assert got == [["walnut!", "pecan?"], ["", "a", "", "b"], [], [""], None]
+
+
+def test_tokenize_equals_ml_tokenizer(spark):
+    texts = ["A b", "  lead", "trail  ", "", " ", "x\ty\r\nz", "ÀÉ İ ß", "one"]
+    df = bodies(spark, *texts)
+    ml = Tokenizer(inputCol="body", outputCol="words_token").transform(df)
+    assert [r["words_token"] for r in W.tokenize(df).collect()] == [
+        r["words_token"] for r in ml.collect()
+    ]
+
+
+def test_stop_words_are_sparks(spark):
+    assert list(STOP_WORDS) == StopWordsRemover.loadDefaultStopWords("english")
+
+
+def test_whitespace_is_the_regex_class(spark):
+    kept = spark.range(256).select(F.chr("id").alias("c")).where(r"c rlike '^\\s\\z'")
+    assert {r["c"] for r in kept.collect()} == set(WHITESPACE)
+
+
+def test_remove_stop_words_keeps_order_and_repeats(spark):
+    df = W.remove_stop_words(
+        W.tokenize(bodies(spark, "Banana and banana or cherry the pecan"))
+    )
+    assert df.first()["words_no_stops"] == ["banana", "banana", "cherry", "pecan"]
+
+
+def test_stop_words_match_any_case(spark):
+    df = spark.createDataFrame([(["THE", "The", "tHen", "nut"],)], "words_token array<string>")
+    assert W.remove_stop_words(df).first()["words_no_stops"] == ["nut"]
+
+
+def test_split_words_cases(spark):
+    assert words_of(spark, "café_bar isn't! don't 1st 42 the, _x_ nut-nut nut") == [
+        "1st", "bar", "caf", "isn", "nut", "t", "the", "x",
+    ]
+
+
+def test_null_body_gives_no_word(spark):
+    assert words_of(spark, None, "", "   ", "42") == []
+
+
+def test_split_words_is_distinct_over_rows(spark):
+    assert words_of(spark, "walnut! pecan?", "walnut pecan") == ["pecan", "walnut"]
+
+
+def test_explode_topics(spark):
+    df = spark.createDataFrame(
+        [("k", "Food, food,Nuts ,", "w", "d"), ("n", None, "w", "d")],
+        "id string, topics string, word string, date string",
+    )
+    assert rows(W.explode_topics(df), "topic") == [("",), ("food",), ("food",), ("nuts",)]
+    assert rows(W.explode_topics(df, drop_empty=True), "topic") == [
+        ("food",), ("food",), ("nuts",),
+    ]
+    arrays = df.transform(W.split_topic_lists, True).transform(W.explode_topics)
+    assert rows(arrays, "topic") == [("food",), ("nuts",)]
+
+
+def test_null_author_gives_null_id(spark):
+    df = spark.createDataFrame([("a", "1"), (None, "1"), ("a", None)], "author string, created_utc string")
+    assert [r["id"] for r in C.add_comment_id(df).collect()] == ["a_1", None, None]
+
+
+@pytest.mark.parametrize(
+    "text, day",
+    [
+        ("1640995200", date(2022, 1, 1)),
+        ("1640995199", date(2021, 12, 31)),
+        ("1640995200.9", date(2022, 1, 1)),
+        (" 1640995200 ", date(2022, 1, 1)),
+        ("-1", date(1969, 12, 31)),
+        ("0", date(1970, 1, 1)),
+        ("soon", None),
+        ("", None),
+        ("1e9", None),
+        ("99999999999999999999", None),
+        (None, None),
+    ],
+)
+def test_epoch_day(spark, text, day):
+    df = spark.createDataFrame([(text,)], "created_utc string")
+    assert df.select(epoch_day("created_utc")).first()[0] == day
+
+
+def test_day_bounds_take_days_as_midnight():
+    one, two = date(2022, 1, 1), date(2022, 1, 2)
+    assert day_bounds("2022-01-01", datetime(2022, 1, 2)) == (one, two)
+    assert day_bounds("2022-01-01T00:00:01", date(2022, 1, 2)) == (two, two)
+    assert day_bounds(one, "2022-01-02T23:59:59") == (one, two)
+    assert day_bounds("2022-01-01T00:00:00+00:00", two) == (one, two)
+
+
+def test_date_filter_folds_to_a_scan_filter(spark, tmp_path):
+    path = str(tmp_path / "days")
+    spark.range(3).selectExpr(
+        "id", "date_add(date'2022-01-01', cast(id as int)) as day"
+    ).write.partitionBy("day").parquet(path)
+    df = C.filter_dates(spark.read.parquet(path), "2022-01-02", "2022-01-02", "day")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert df.count() == 1
+
+
+def test_day_column_prunes_without_changing_tokens(comments, topic_map, spark, tmp_path):
+    path = str(tmp_path / "comments")
+    comments.withColumn("day", epoch_day("created_utc")).write.partitionBy("day").parquet(path)
+    stored = spark.read.parquet(path)
+    tokens = comment_tokens(stored, topic_map, START, END, day_column="day")
+    assert rows(tokens) == golden_tokens()
+
+
+def test_only_the_map_side_is_lowercased(spark):
+    comments = spark.createDataFrame([("a", "nut", "1640995200", "Nuts")], COMMENTS)
+    topic_map = spark.createDataFrame([("NUTS", "food")], TOPIC_MAP)
+    assert comment_tokens(comments, topic_map, START, END).count() == 0
+    fixed = comment_tokens(comments, topic_map, START, END, normalize_left=True)
+    assert rows(fixed, "topic") == [("food",)]
+
+
+def test_repeated_map_names_fan_out_and_merge(spark):
+    comments = spark.createDataFrame([("a", "nut oak", "1640995200", "nuts")], COMMENTS)
+    topic_map = spark.createDataFrame(
+        [("Nuts", "food,tree"), ("nuts", "tree, Food ,wood"), ("nuts", None)], TOPIC_MAP
+    )
+    joined = C.add_topics(comments, topic_map)
+    assert joined.count() == 3
+    assert rows(comment_tokens(comments, topic_map, START, END), "topic", "word") == [
+        (t, w) for t in ("food", "tree", "wood") for w in ("nut", "oak")
+    ]
+
+
+def test_colliding_ids_are_one_comment(spark, topic_map):
+    comments = spark.createDataFrame(
+        [COMMENT_ROWS[2], ("nutlord", "pecan oak", "1640995200", "go_nuts")], COMMENTS
+    )
+    words = rows(comment_tokens(comments, topic_map, START, END).where("topic = 'food'"), "word")
+    assert words == [("oak",), ("pecan",), ("walnut",)]
