@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Named and numeric entities decoded in text, ampersand last.
@@ -47,6 +47,11 @@ def elements(fragment: Column, tag: str) -> Column:
     )
 
 
+def opening_tag(tags: Sequence[str], attributes: str = "") -> str:
+    """Pattern of an opening tag that contains a pattern; group 1 is its name."""
+    return rf"(?is)<({any_tag(tags)})\b[^>]*{attributes}[^>]*>"
+
+
 def until_closed(rest: Column, tag: Column) -> Column:
     """Content of an element, given the text after its opening tag.
 
@@ -61,35 +66,53 @@ def until_closed(rest: Column, tag: Column) -> Column:
         name = F.lower(F.regexp_extract(piece, r"^<(/?\w+)", 1))
         depth = (
             state["depth"]
-            + F.when(name == tag, 1)
-            .when(name == F.concat(F.lit("/"), tag), -1)
+            + F.when(name == state["tag"], 1)
+            .when(name == F.concat(F.lit("/"), state["tag"]), -1)
             .otherwise(0)
         )
         open_before, open_after = state["depth"] > 0, depth > 0
+        kept = state["kept"] + (open_before & open_after).cast("int")
         return F.struct(
             F.when(open_before, depth).otherwise(0).alias("depth"),
-            (state["kept"] + (open_before & open_after).cast("int")).alias(
-                "kept"
-            ),
+            kept.alias("kept"),
+            state["tag"].alias("tag"),
         )
 
-    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
+    # The tag travels in the state so that it is computed once, not per piece.
+    start = F.struct(
+        F.lit(1).alias("depth"),
+        F.lit(0).alias("kept"),
+        F.lower(tag).alias("tag"),
+    )
     kept = F.aggregate(pieces, start, step)["kept"]
     return F.array_join(F.slice(pieces, F.lit(1), kept), "")
 
 
-def first_element(
-    html: Column, tags: Sequence[str], attributes: str = ""
-) -> Column:
-    """Inner fragment of the first of ``tags``, NULL when there is none.
+def add_first_element(
+    df: DataFrame,
+    html: str,
+    new_col: str,
+    tags: Sequence[str],
+    attributes: str = "",
+) -> DataFrame:
+    """Inner fragment of the first of ``tags`` in a column, NULL without one.
 
     ``attributes`` is a pattern that the opening tag has to contain.
     """
-    opening = rf"(?is)<({any_tag(tags)})\b[^>]*{attributes}[^>]*>(.*)"
-    return F.when(
-        html.rlike(opening),
-        until_closed(
-            F.regexp_extract(html, opening, 2),
-            F.lower(F.regexp_extract(html, opening, 1)),
-        ),
+    opening = opening_tag(tags, attributes)
+    return (
+        df.withColumns(
+            {
+                "_tag": F.regexp_extract(html, opening, 1),
+                "_rest": F.regexp_extract(html, opening + "(.*)", 2),
+            }
+        )
+        .withColumn(
+            new_col,
+            F.when(
+                F.col("_tag") != "",
+                until_closed(F.col("_rest"), F.col("_tag")),
+            ),
+        )
+        .drop("_tag", "_rest")
     )

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termflow.functions.html import (
+    add_first_element,
     any_tag,
     elements,
-    first_element,
     plain_text,
     text_lines,
 )
@@ -45,9 +45,7 @@ def extract_heading_blocks(
         "page_id", F.posexplode(F.split("html", starts)).alias("block_no", "section")
     ).where(section.rlike(rf"(?i)^<{headings}\b"))
 
-    heading = F.regexp_extract(
-        section, rf"(?is)^<[^>]*>(.*?)(?:</{headings}\s*>|\z)", 1
-    )
+    heading = F.col("heading")
     if label_tags:
         label = F.coalesce(
             *(F.get(elements(heading, tag), F.lit(0)) for tag in label_tags)
@@ -55,20 +53,30 @@ def extract_heading_blocks(
     else:
         label = heading
     label_end = any_tag(label_tags or heading_tags)
-    after = F.regexp_extract(section, rf"(?is)</{label_end}\s*>(.*)", 1)
     return (
         sections.select(
+            "page_id",
+            "block_no",
+            F.regexp_extract(
+                section, rf"(?is)^<[^>]*>(.*?)(?:</{headings}\s*>|\z)", 1
+            ).alias("heading"),
+            F.regexp_extract(
+                section, rf"(?is)</{label_end}\s*>(.*)", 1
+            ).alias("after"),
+        )
+        .transform(add_first_element, "after", "block", block_tags)
+        .select(
             "page_id",
             "block_no",
             plain_text(label).alias("topics"),
-            first_element(after, block_tags).alias("block"),
+            plain_text(F.col("block")).alias("text"),
         )
         .where(F.col("topics").isNotNull())
         .select(
             "page_id",
             "block_no",
             "topics",
-            F.posexplode(text_lines(plain_text(F.col("block")))).alias(
+            F.posexplode(text_lines(F.col("text"))).alias(
                 "line_no", "subreddit"
             ),
         )
@@ -93,7 +101,7 @@ def extract_links(
     container gives no row, or fails the query if ``strict``.
     """
     tag, attributes = container
-    content = first_element(F.col("html"), [tag], attributes)
+    content = F.col("content")
     if strict:
         content = F.coalesce(
             content,
@@ -103,7 +111,8 @@ def extract_links(
         )
     anchor = rf"(?is)<a\b[^>]*{anchor_attr}[^>]*>(.*?)</a\s*>"
     return (
-        pages.select(
+        pages.transform(add_first_element, "html", "content", [tag], attributes)
+        .select(
             "page_id",
             F.posexplode(elements(content, item_tag)).alias("block_no", "item"),
         )

@@ -3,7 +3,7 @@ from conftest import rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from termflow.functions.html import first_element, plain_text, text_lines
+from termflow.functions.html import add_first_element, plain_text, text_lines
 from termflow.functions.names import TOPIC_RULES, community_name, replace_in_order
 from termflow.operators.topic_lists import (
     clean_topic_lists,
@@ -116,11 +116,18 @@ def test_block_numbers_follow_the_page(spark):
     assert pairs(extract_heading_blocks(pages(spark, html, html))) == [("B", "x"), ("A", "y")] * 2
 
 
+def first_of(spark, html, tags, attributes=""):
+    df = spark.createDataFrame([(html,)], "html string")
+    return df.transform(add_first_element, "html", "found", tags, attributes).first()["found"]
+
+
 def test_first_element_keeps_nested_ones(spark):
     html = "<div>a</div><div class='b'>1<div>2</div>3<divider>4</div>5"
-    assert one(spark, html, first_element(F.col("html"), ["div"], "class")) == "1<div>2</div>3<divider>4"
-    assert one(spark, html, first_element(F.col("html"), ["ul"])) is None
-    assert one(spark, "<P>x<p>y</p>", first_element(F.col("html"), ["p"])) == "x<p>y</p>"
+    assert first_of(spark, html, ["div"], "class") == "1<div>2</div>3<divider>4"
+    assert first_of(spark, html, ["ul"]) is None
+    assert first_of(spark, "<P>x<p>y</p>", ["p"]) == "x<p>y</p>"
+    assert first_of(spark, "<p>a<UL>b<ul>c</UL>d</ul>e", ["ul", "ol"]) == "b<ul>c</UL>d"
+    assert first_of(spark, None, ["p"]) is None
 
 
 def test_links_need_container_item_and_attribute(spark):
