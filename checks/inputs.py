@@ -59,6 +59,10 @@ def chat_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"))
+
+
 def order_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as object keys under ten partition groups."""
     return table(spark, sf_dir, "orders").select(

@@ -353,13 +353,13 @@ LINKS = {
 @query
 def heading_blocks(spark, sf_dir):
     return extract_heading_blocks(
-        inputs.table(spark, sf_dir, "pages"), **HEADINGS
+        inputs.pages(spark, sf_dir), **HEADINGS
     )
 
 
 @query
 def extract_links_query(spark, sf_dir):
-    return extract_links(inputs.table(spark, sf_dir, "pages"), **LINKS)
+    return extract_links(inputs.pages(spark, sf_dir), **LINKS)
 
 
 @query
@@ -395,7 +395,7 @@ def clean_topics(spark, sf_dir):
 
 @query
 def topic_map(spark, sf_dir):
-    pages = inputs.table(spark, sf_dir, "pages")
+    pages = inputs.pages(spark, sf_dir)
     return build_topic_map(
         pages, pages, heading_options=HEADINGS, link_options=LINKS
     )

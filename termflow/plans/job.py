@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from termflow.functions.dates import Bound, day_bounds
 from termflow.plans.comment_tokens import comment_tokens
 from termflow.plans.word_statistics import comment_statistics
+from termflow.session import shared_folder
 from termflow.sources.readers import read_statistics
 from termflow.sources.writers import append_audit, write_partitioned
 from termflow.streaming.incremental import (
@@ -52,7 +53,8 @@ def run_job(
     start, end = settings.include_start_date, settings.include_end_date
     path, options = settings.target_path, settings.options
     if settings.incremental:
-        before = files_of_days(spark, path, start, end)
+        listed = shared_folder(spark, "files-before")
+        files_of_days(spark, path, start, end).write.parquet(listed)
         statistics = refreshed_statistics(
             read_statistics(spark, path), comments, topic_map, start, end, **options
         )
@@ -63,7 +65,7 @@ def run_job(
         statistics, path, only_touched=settings.incremental, table=settings.table
     )
     if settings.incremental:
-        drop_vanished(spark, path, before, start, end)
+        drop_vanished(spark, path, spark.read.parquet(listed), start, end)
     result = read_statistics(spark, path)
     if settings.audit_path is not None:
         append_audit(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,9 +70,11 @@ def append_audit(spark: SparkSession, path: str, run: dict) -> None:
     ).parquet(path)
 
 
-def drop_files(spark: SparkSession, paths: Sequence[str]) -> None:
-    """Delete files by their URIs through Hadoop's file system API."""
+def drop_files(spark: SparkSession, paths: Iterable[str]) -> int:
+    """Delete files by URI through Hadoop's file system API; their number."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    dropped = 0
     for path in paths:
         target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
-        target.getFileSystem(conf).delete(target, False)
+        dropped += target.getFileSystem(conf).delete(target, False)
+    return dropped

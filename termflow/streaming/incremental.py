@@ -73,26 +73,31 @@ def refreshed_statistics(
 
 def files_of_days(
     spark: SparkSession, path: str, start: Bound, end: Bound
-) -> set[str]:
-    """Paths of the stored files of a range of days."""
+) -> DataFrame:
+    """Paths (file) of the stored files of a range of days."""
     first, last = (str(day) for day in day_bounds(start, end))
-    files = (
+    return (
         read_statistics(spark, path)
         .where(F.col("date").between(first, last))
         .select(F.col("_metadata.file_path").alias("file"))
         .distinct()
     )
-    return {row["file"] for row in files.collect()}
 
 
 def drop_vanished(
-    spark: SparkSession, path: str, before: set[str], start: Bound, end: Bound
+    spark: SparkSession,
+    path: str,
+    files_before: DataFrame,
+    start: Bound,
+    end: Bound,
 ) -> int:
     """Delete files of a range of days that a rewrite left in place.
 
     Replacing only touched partitions keeps those of a topic and day that has
-    no comments any more. Their files are the ones that were there before.
+    no comments any more. Their files are the ones that were there before; they
+    alone reach the driver, one after the other.
     """
-    stale = sorted(before & files_of_days(spark, path, start, end))
-    drop_files(spark, stale)
-    return len(stale)
+    stale = files_of_days(spark, path, start, end).join(
+        files_before, "file", "left_semi"
+    )
+    return drop_files(spark, (row["file"] for row in stale.toLocalIterator()))

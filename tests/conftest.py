@@ -37,8 +37,10 @@ def spark(tmp_path_factory):
         "tests",
         "local[4]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
             "spark.ui.enabled": "false",
+            # Many tiny queries: quick compilation beats fast code.
+            "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(folder / "shared"),
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
