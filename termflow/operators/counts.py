@@ -88,26 +88,20 @@ def add_word_counts(tokens: DataFrame) -> DataFrame:
     )
 
 
-def count_comment_words(
-    words: DataFrame, max_topic_days: int | None = None
-) -> DataFrame:
-    """The counts of ``add_word_counts`` straight from comment words.
+def count_topic_words(words: DataFrame) -> DataFrame:
+    """Counts per topic, word and day straight from comment words.
 
     ``words`` has (id, word, date, topics) with ``topics`` an array of clean
     topics, and may hold repeated rows. It is shuffled once, by comment and
     word, after repeats were merged in the map tasks; a group gathers at most
     the distinct topic lists of the map. The first topic of each group carries
-    the comment's count towards the daily frequency, so one aggregate yields
-    both counts and no token is read twice.
-
-    ``max_topic_days`` bounds the number of (date, topic) pairs, if known. The
-    totals per pair are broadcast when the bound is small, else joined by
-    shuffle.
+    the comment's count towards the daily frequency (``first_places``), so one
+    aggregate yields both counts and no token is read twice.
     """
     per_comment = words.groupBy("id", "word", "date").agg(
         F.array_distinct(F.flatten(F.collect_set("topics"))).alias("topics")
     )
-    counts = (
+    return (
         per_comment.select(
             "date", "word", F.posexplode("topics").alias("place", "topic")
         )
@@ -117,7 +111,21 @@ def count_comment_words(
             F.count_if(F.col("place") == 0).alias("first_places"),
         )
     )
-    # Windows below span at most the number of topics: small, however hot.
+
+
+# About 100 bytes a pair of topic and day, hence some 50 MB.
+MAX_BROADCAST_PAIRS = 500_000
+
+
+def add_daily_totals(
+    counts: DataFrame, max_topic_days: int | None = None
+) -> DataFrame:
+    """Complete ``count_topic_words`` to the counts of ``add_word_counts``.
+
+    ``max_topic_days`` bounds the number of (date, topic) pairs, if known. The
+    totals per pair are broadcast when the bound is small, else joined by
+    shuffle. The windows span at most all topics: small, however hot the word.
+    """
     totals = (
         counts.groupBy("date", "topic")
         .agg(
@@ -142,7 +150,3 @@ def count_comment_words(
         .drop("first_places")
         .join(totals, ["date", "topic"])
     )
-
-
-# About 100 bytes a pair, hence some 50 MB.
-MAX_BROADCAST_PAIRS = 500_000

@@ -12,7 +12,7 @@ from termflow.plans.comment_tokens import comment_tokens
 from termflow.plans.word_statistics import comment_statistics
 from termflow.session import shared_folder
 from termflow.sources.readers import read_statistics
-from termflow.sources.writers import append_audit, write_partitioned
+from termflow.sources.writers import append_audit, drop_path, write_partitioned
 from termflow.streaming.incremental import (
     drop_vanished,
     files_of_days,
@@ -47,25 +47,35 @@ def run_job(
 ) -> dict[str, DataFrame]:
     """Write the statistics, record the run, return tokens and statistics.
 
-    The tokens are returned lazily: the statistics do not need them, so they
-    are computed only if used. The statistics are those read back.
+    Counts are kept in the shared folder until the statistics are written. The
+    tokens are returned lazily: the statistics do not need them, so they are
+    computed only if used. The statistics are those read back.
     """
     start, end = settings.include_start_date, settings.include_end_date
     path, options = settings.target_path, settings.options
+    scratch = shared_folder(spark, "job")
+    stored_counts = {**options, "counts_path": f"{scratch}/counts"}
     if settings.incremental:
-        listed = shared_folder(spark, "files-before")
+        listed = f"{scratch}/files-before"
         files_of_days(spark, path, start, end).write.parquet(listed)
         statistics = refreshed_statistics(
-            read_statistics(spark, path), comments, topic_map, start, end, **options
+            read_statistics(spark, path),
+            comments,
+            topic_map,
+            start,
+            end,
+            **stored_counts,
         )
     else:
-        statistics = comment_statistics(comments, topic_map, start, end, **options)
-
+        statistics = comment_statistics(
+            comments, topic_map, start, end, **stored_counts
+        )
     write_partitioned(
         statistics, path, only_touched=settings.incremental, table=settings.table
     )
     if settings.incremental:
         drop_vanished(spark, path, spark.read.parquet(listed), start, end)
+    drop_path(spark, scratch)
     result = read_statistics(spark, path)
     if settings.audit_path is not None:
         append_audit(

@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termflow.functions.dates import Bound, day_bounds
-from termflow.operators.counts import add_word_counts, count_comment_words
+from termflow.operators.counts import (
+    add_daily_totals,
+    add_word_counts,
+    count_topic_words,
+)
 from termflow.operators.rates import (
     add_change_in_average,
     add_five_row_average,
@@ -33,14 +37,29 @@ def topic_word_rates(
     topic_map: DataFrame,
     start: Bound,
     end: Bound,
+    *,
+    counts_path: str | None = None,
     **options,
 ) -> DataFrame:
-    """Counts and rates straight from comments, which are read once."""
+    """Counts and rates straight from comments, which are read once.
+
+    The counts are used twice, for totals and for details. With ``counts_path``
+    they are written to that new folder first and read back, so that nothing
+    before them can run again, whatever happens to executors. Without it the
+    result is lazy, and one pass over the comments depends on Spark reusing the
+    shuffle of the counts: it does, unless the map is a cached frame.
+    """
     first, last = day_bounds(start, end)
     days = (last - first).days + 1
-    words = comment_words(comments, topic_map, start, end, **options)
-    return count_comment_words(
-        words, days * _topic_bound(topic_map)
+    counts = comment_words(comments, topic_map, start, end, **options).transform(
+        count_topic_words
+    )
+    if counts_path is not None:
+        counts.write.parquet(counts_path)
+        reader = comments.sparkSession.read.schema(counts.schema)
+        counts = reader.parquet(counts_path)
+    return counts.transform(
+        add_daily_totals, days * _topic_bound(topic_map)
     ).transform(add_rates_and_specificity)
 
 
@@ -54,7 +73,8 @@ def comment_statistics(
     """``word_statistics`` of ``comment_tokens``, without storing tokens.
 
     Every comment is read and tokenised once and its words are shuffled once;
-    what follows works on counts. Options are those of ``comment_words``.
+    what follows works on counts. Options are those of ``comment_words`` and
+    ``topic_word_rates``.
     """
     return topic_word_rates(
         comments, topic_map, start, end, **options

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,11 +70,8 @@ def append_audit(spark: SparkSession, path: str, run: dict) -> None:
     ).parquet(path)
 
 
-def drop_files(spark: SparkSession, paths: Iterable[str]) -> int:
-    """Delete files by URI through Hadoop's file system API; their number."""
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder by URI through Hadoop's file system API."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    dropped = 0
-    for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
-        dropped += target.getFileSystem(conf).delete(target, False)
-    return dropped
+    target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    return target.getFileSystem(conf).delete(target, True)

@@ -22,7 +22,7 @@ from termflow.operators.rates import (
 from termflow.plans.word_statistics import topic_word_rates
 from termflow.schemas import WORD_STATISTICS, enforce_schema
 from termflow.sources.readers import read_statistics
-from termflow.sources.writers import drop_files
+from termflow.sources.writers import drop_path
 
 
 def last_rows_before(stored: DataFrame, day: str) -> DataFrame:
@@ -100,4 +100,6 @@ def drop_vanished(
     stale = files_of_days(spark, path, start, end).join(
         files_before, "file", "left_semi"
     )
-    return drop_files(spark, (row["file"] for row in stale.toLocalIterator()))
+    return sum(
+        drop_path(spark, row["file"]) for row in stale.toLocalIterator()
+    )

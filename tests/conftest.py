@@ -53,12 +53,12 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def comments(spark):
-    return spark.createDataFrame(COMMENT_ROWS, COMMENTS)
+    return spark.createDataFrame(COMMENT_ROWS, COMMENTS).coalesce(1).cache()
 
 
 @pytest.fixture(scope="session")
 def topic_map(spark):
-    return spark.createDataFrame(MAP_ROWS, TOPIC_MAP)
+    return spark.createDataFrame(MAP_ROWS, TOPIC_MAP).coalesce(1).cache()
 
 
 def rows(df, *columns):

@@ -170,7 +170,10 @@ def random_comments(spark, seed, n=400):
         community = "big" if rng.random() < 1 / 3 else f"c{rng.randrange(6)}"
         data.append((author, body, str(second), community))
     topic_map = [("big", "x,y"), ("BIG", "y,z")] + [(f"c{i}", f"x,t{i % 3}") for i in range(6)]
-    return spark.createDataFrame(data, COMMENTS), spark.createDataFrame(topic_map, TOPIC_MAP)
+    return (
+        spark.createDataFrame(data, COMMENTS).coalesce(2).cache(),
+        spark.createDataFrame(topic_map, TOPIC_MAP).coalesce(1).cache(),
+    )
 
 
 def plain_mean(values):
@@ -180,11 +183,11 @@ def plain_mean(values):
 
 def brute_force(comments, topic_map):
     """Statistics by plain loops over a small input."""
-    tokens = set()
+    tokens, mapped = set(), topic_map.collect()
     for c in comments.collect():
         day = str(datetime.fromtimestamp(int(c["created_utc"]), timezone.utc).date())
         key = None if c["author"] is None else f"{c['author']}_{c['created_utc']}"
-        for m in topic_map.collect():
+        for m in mapped:
             if m["subreddit"].lower() == c["subreddit"]:
                 for topic in m["topics"].split(","):
                     tokens |= {(key, topic, word, day) for word in c["body"].split()}
@@ -237,24 +240,37 @@ def test_shares_add_up_to_one(spark):
 
 
 def test_totals_join_without_broadcast(spark, comments, topic_map):
-    words = comment_words(comments, topic_map, START, END)
-    small = N.count_comment_words(words, 1)
-    unknown = N.count_comment_words(words)
-    assert rows(small, *GOLDEN_COLUMNS[:7]) == rows(unknown, *GOLDEN_COLUMNS[:7])
+    counts = N.count_topic_words(comment_words(comments, topic_map, START, END))
+    assert rows(N.add_daily_totals(counts, 1), *GOLDEN_COLUMNS[:7]) == rows(
+        N.add_daily_totals(counts), *GOLDEN_COLUMNS[:7]
+    )
+
+
+def stored(df, path):
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def test_comments_are_scanned_and_shuffled_once(spark, tmp_path, comments, topic_map):
     """The totals reuse the counts instead of reading comments again."""
-    path = str(tmp_path / "comments")
-    comments.write.parquet(path)
-    statistics = comment_statistics(spark.read.parquet(path), topic_map, START, END)
+    statistics = comment_statistics(
+        stored(comments, str(tmp_path / "c")), stored(topic_map, str(tmp_path / "m")), START, END
+    )
     statistics.collect()
     plan = statistics._jdf.queryExecution().executedPlan().toString()
     final = plan[plan.index("Final Plan") : plan.index("Initial Plan")]
-    assert final.count("FileScan") == 1
+    assert final.count("FileScan parquet [author") == 1
     assert "ReusedExchange" in final
 
 
+def test_stored_counts_cut_the_lineage(tmp_path, comments, topic_map):
+    path = str(tmp_path / "counts")
+    statistics = comment_statistics(comments, topic_map, START, END, counts_path=path)
+    assert rows(statistics, *GOLDEN_COLUMNS) == sorted(GOLDEN, key=repr)
+    plan = statistics._jdf.queryExecution().executedPlan().toString()
+    assert "first_places" in plan and "author" not in plan and "body" not in plan
+
+
 def test_trending_terms(spark):
     data = [
         ("t", "2022-01-01", word, specificity, change)
