@@ -71,7 +71,7 @@ def append_audit(spark: SparkSession, path: str, run: dict) -> None:
 
 
 def drop_path(spark: SparkSession, path: str) -> bool:
-    """Delete a file or folder by URI through Hadoop's file system API."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(path))
+    """Delete a file or folder through Hadoop's file system API."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark._jsc.hadoopConfiguration()
     return target.getFileSystem(conf).delete(target, True)

@@ -6,6 +6,8 @@ and rolling columns of later rows depend on its rates.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -100,6 +102,8 @@ def drop_vanished(
     stale = files_of_days(spark, path, start, end).join(
         files_before, "file", "left_semi"
     )
+    # The file paths are URIs: percent signs of directory names come encoded.
     return sum(
-        drop_path(spark, row["file"]) for row in stale.toLocalIterator()
+        drop_path(spark, unquote(row["file"]))
+        for row in stale.toLocalIterator()
     )

@@ -169,7 +169,7 @@ def random_comments(spark, seed, n=400):
         second = 1640995200 + 43200 * rng.randrange(20)
         community = "big" if rng.random() < 1 / 3 else f"c{rng.randrange(6)}"
         data.append((author, body, str(second), community))
-    topic_map = [("big", "x,y"), ("BIG", "y,z")] + [(f"c{i}", f"x,t{i % 3}") for i in range(6)]
+    topic_map = [("big", "x,y"), ("BIG", "y,z")] + [(f"c{i}", f"x,t/{i % 3}") for i in range(6)]
     return (
         spark.createDataFrame(data, COMMENTS).coalesce(2).cache(),
         spark.createDataFrame(topic_map, TOPIC_MAP).coalesce(1).cache(),
