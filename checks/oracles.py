@@ -70,7 +70,7 @@ TOKEN_STEPS = (
     WHERE day BETWEEN DATE '2024-01-03' AND DATE '2024-01-28'""",
     ),
     (
-        "topical",
+        "with_topics",
         """
     SELECT id, body, date, subreddit, topics
     FROM ranged JOIN (SELECT lower(subreddit) AS subreddit, topics FROM topic_map)
@@ -83,7 +83,7 @@ TOKEN_STEPS = (
            CASE WHEN rtrim(body, {BLANKS}) = '' AND body <> '' THEN []
            ELSE regexp_split_to_array(rtrim(lower(body), {BLANKS}),
                                       '[ \t\n\x0B\f\r]') END AS words_token
-    FROM topical WHERE body IS NOT NULL""",
+    FROM with_topics WHERE body IS NOT NULL""",
     ),
     (
         "unstopped",
@@ -382,7 +382,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "date_range_filter": doc("ranged", "SELECT id, date FROM ranged"),
         "topic_join": doc(
-            "topical", "SELECT id, date, subreddit, topics FROM topical"
+            "with_topics", "SELECT id, date, subreddit, topics FROM with_topics"
         ),
         "tokenize": doc(
             "tokenized",

@@ -75,7 +75,7 @@ def keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def topical(comments: DataFrame, topic_map: DataFrame) -> DataFrame:
+def with_topics(comments: DataFrame, topic_map: DataFrame) -> DataFrame:
     return (
         comments.transform(C.add_comment_id)
         .transform(C.add_date)
@@ -87,15 +87,15 @@ def topical(comments: DataFrame, topic_map: DataFrame) -> DataFrame:
     )
 
 
-def topical_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents_with_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     comments, topic_map, *_ = bounded(spark, sf_dir)
-    return topical(comments, topic_map)
+    return with_topics(comments, topic_map)
 
 
 def chat_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     comments, topic_map, *_ = chat_bounded(spark, sf_dir)
     return (
-        topical(comments, topic_map).drop("subreddit").transform(W.add_words)
+        with_topics(comments, topic_map).drop("subreddit").transform(W.add_words)
     )
 
 
@@ -129,7 +129,7 @@ def date_range_filter(spark, sf_dir):
 
 @query
 def topic_join(spark, sf_dir):
-    return topical_documents(spark, sf_dir).drop("body")
+    return documents_with_topics(spark, sf_dir).drop("body")
 
 
 def joined(tokens: str) -> list:
@@ -145,7 +145,7 @@ def joined(tokens: str) -> list:
 @query
 def tokenize(spark, sf_dir):
     return (
-        topical_documents(spark, sf_dir)
+        documents_with_topics(spark, sf_dir)
         .transform(W.tokenize)
         .select(*joined("words_token"))
     )
@@ -154,7 +154,7 @@ def tokenize(spark, sf_dir):
 @query
 def remove_stop_words(spark, sf_dir):
     return (
-        topical_documents(spark, sf_dir)
+        documents_with_topics(spark, sf_dir)
         .transform(W.tokenize)
         .transform(W.remove_stop_words)
         .select(*joined("words_no_stops"))
@@ -164,7 +164,7 @@ def remove_stop_words(spark, sf_dir):
 @query
 def split_words(spark, sf_dir):
     return (
-        topical_documents(spark, sf_dir)
+        documents_with_topics(spark, sf_dir)
         .transform(W.tokenize)
         .transform(W.remove_stop_words)
         .transform(W.split_words)

@@ -60,12 +60,18 @@ def size_percentiles(
             for name, index in indexes.items()
         )
     )
-    # One row per wanted size, from here to the end.
-    targets = sizes.agg(F.count("size").alias("n")).select(
-        F.lit(0).cast("bigint").alias("prefix"), F.inline(wanted)
+    top, *lower = DIGIT_SHIFTS
+    # The windows without keys run over the first digit's values.
+    targets = (
+        sizes.groupBy(F.shiftright("size", top).alias("longer"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("end", F.sum("rows").over(_upto()))
+        .withColumn("n", F.sum("rows").over(Window.partitionBy()))
+        .select("longer", "rows", "end", F.inline(wanted))
+        .transform(_containing_index)
     )
-    prefix = F.lit(0).cast("bigint")
-    for shift in DIGIT_SHIFTS:
+    prefix = F.shiftright("size", top)
+    for shift in lower:
         targets = _next_digit(sizes, targets, prefix, shift)
         prefix = F.shiftright("size", shift)
     return targets.agg(
@@ -76,36 +82,40 @@ def size_percentiles(
     )
 
 
+def _upto(*keys: str) -> Window:
+    return (
+        Window.partitionBy(*keys)
+        .orderBy("longer")
+        .rowsBetween(Window.unboundedPreceding, 0)
+    )
+
+
+def _containing_index(ranges: DataFrame) -> DataFrame:
+    """Keep the range of each wanted index, and rebase the index to it."""
+    index, start = F.col("index"), F.col("end") - F.col("rows")
+    return ranges.where((index >= start) & (index < F.col("end"))).select(
+        "name", (index - start).alias("index"), F.col("longer").alias("prefix")
+    )
+
+
 def _next_digit(
     sizes: DataFrame, targets: DataFrame, prefix: Column, shift: int
 ) -> DataFrame:
-    """Lengthen each target's prefix by one digit and rebase its index."""
+    """Lengthen each target's prefix by one digit."""
+    # One row per wanted size at most, hence the broadcast.
     wanted = targets.groupBy("prefix").agg(
         F.collect_list(F.struct("name", "index")).alias("wanted")
     )
-    digits = (
+    return (
         sizes.select(
             prefix.alias("prefix"), F.shiftright("size", shift).alias("longer")
         )
         .join(F.broadcast(wanted), "prefix")
         .groupBy("prefix", "wanted", "longer")
         .agg(F.count(F.lit(1)).alias("rows"))
-    )
-    upto = (
-        Window.partitionBy("prefix")
-        .orderBy("longer")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    index, start = F.col("index"), F.col("end") - F.col("rows")
-    return (
-        digits.withColumn("end", F.sum("rows").over(upto))
+        .withColumn("end", F.sum("rows").over(_upto("prefix")))
         .select("longer", "rows", "end", F.inline("wanted"))
-        .where((index >= start) & (index < F.col("end")))
-        .select(
-            "name",
-            (index - start).alias("index"),
-            F.col("longer").alias("prefix"),
-        )
+        .transform(_containing_index)
     )
 
 

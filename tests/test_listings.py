@@ -65,6 +65,11 @@ def test_size_percentiles_of_skewed_sizes(spark):
     assert row["p1"] == ordered[20] and row["p50"] == ordered[1000] and row["p99"] == ordered[1980]
 
 
+def test_size_percentiles_plan(spark):
+    plan = size_percentiles(sized(spark, [1]))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_size_percentiles_of_nothing(spark):
     assert set(size_percentiles(sized(spark, [])).first()) == {None}
 
