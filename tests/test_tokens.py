@@ -62,7 +62,7 @@ def test_join_without_broadcast_gives_the_same(comments, topic_map, limit):
 
 
 def test_token_plan_has_one_wide_shuffle(comments, topic_map):
-    tokens = comment_tokens(comments, topic_map, START, END)
+    tokens = comment_tokens(comments.repartition(3), topic_map, START, END)
     plan = tokens._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "Python" not in plan and "UDF" not in plan
