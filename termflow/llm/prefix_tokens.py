@@ -83,7 +83,6 @@ class PieceBpe(WordMemory):
             for pair in self.joined
         ), "pieces reach across the places where texts are taken apart"
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.whole: dict[int, bool] = {}
         self.chunks = ChunkIds(self)
         self.decoded = SegmentTexts(self)
 
@@ -105,38 +104,33 @@ class PieceBpe(WordMemory):
                 ranks[at] = score(parts[at] + parts[at + 1], none)
         return parts
 
-    def is_whole(self, token: int) -> bool:
-        """The piece's own string is encoded as this piece."""
-        if token not in self.whole:
-            self.whole[token] = len(self.merged(self.pieces[token])) == 1
-        return self.whole[token]
-
     def compatible(self, left: int, right: int) -> bool:
-        """No merge reaches across: both strings together give this pair."""
-        key = left, right
-        known = self.pairs.get(key)
-        if known is None:
-            first, second = self.pieces[left], self.pieces[right]
-            known = self.merged(first + second) == [first, second]
-            if len(self.pairs) >= 1_000_000:
-                self.pairs.clear()
-            self.pairs[key] = known
-        return known
+        """No merge reaches across: both strings together give this pair.
+
+        At the start of a text, where ``left`` is -1: the right one's own
+        string is encoded as this one piece.
+        """
+        pieces = [self.pieces[x] for x in (left, right) if x >= 0]
+        value = self.merged("".join(pieces)) == pieces
+        if len(self.pairs) >= 1_000_000:
+            self.pairs.clear()
+        self.pairs[left, right] = value
+        return value
 
     def encode_known(self, text: str) -> list[int]:
         """Ids of a string whose characters all are pieces."""
         last = [-1] * (len(text) + 1)  # last[i]: the token that ends prefix i
         starts = [0] * (len(text) + 1)
+        known = self.pairs.get
         for end, (token, length) in self.automaton.iter(text):
             end += 1
             if last[end] >= 0:
                 continue
             begin = end - length
-            if begin == 0:
-                right = self.is_whole(token)
-            else:
-                before = last[begin]
-                right = self.is_whole(token) and self.compatible(before, token)
+            before = last[begin] if begin else -1
+            right = known((before, token))
+            if right is None:
+                right = self.compatible(before, token)
             if right:
                 last[end], starts[end] = token, begin
         ids, end = [], len(text)
@@ -147,26 +141,26 @@ class PieceBpe(WordMemory):
 
     def encode_chunk(self, text: str) -> list[int]:
         """Ids of any string; characters that are no pieces become bytes."""
+        if self.singles.issuperset(text):
+            return self.encode_known(text)
         ids, known = [], []
         for char in text:
             if char in self.singles:
                 known.append(char)
                 continue
-            if known:
-                ids += self.encode_known("".join(known))
-                known = []
+            ids += self.encode_known("".join(known))
+            known = []
             if self.bytes:
                 ids += [self.bytes[value] for value in char.encode()]
             else:
                 ids.append(self.unknown)
-        return ids + self.encode_known("".join(known)) if known else ids
+        return ids + self.encode_known("".join(known))
 
     def encode_word(self, segment: str) -> str:
         """A segment: after a space unless it begins with a line feed."""
         if segment[:1] == "\n":
-            first = "\n" if len(segment) == 1 else "\n" + segment[1:]
-            head, rest = self.chunks[first[0]], first[1:]
-            return head + (self.pieces_of(rest) if rest else "")
+            rest = segment[1:]
+            return self.chunks["\n"] + (self.pieces_of(rest) if rest else "")
         return self.pieces_of(SPACE + segment)
 
     def pieces_of(self, text: str) -> str:

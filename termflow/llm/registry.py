@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from termflow.llm.packing import packing_query
 from termflow.llm.prefix_tokens import prefix_tokens_query
+from termflow.llm.quality import quality_query
 from termflow.llm.token_blocks import token_blocks_query
 
 QUERIES = {
     "op1_repair_token_blocks": token_blocks_query,
     "op6_prefix_table_pieces": prefix_tokens_query,
+    "op10_distribution_quality": quality_query,
     "op8_best_fit_packing": packing_query,
 }
 ORACLES: dict[str, str] = {}
