@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from termflow.llm.language import language_query
 from termflow.llm.line_runs import line_runs_query
+from termflow.llm.main_text import main_text_query
 from termflow.llm.packing import packing_query
 from termflow.llm.prefix_tokens import prefix_tokens_query
 from termflow.llm.quality import quality_query
@@ -11,8 +13,10 @@ from termflow.llm.token_blocks import token_blocks_query
 QUERIES = {
     "op1_repair_token_blocks": token_blocks_query,
     "op2_suffix_line_runs": line_runs_query,
+    "op4_hyperdimensional_language": language_query,
     "op6_prefix_table_pieces": prefix_tokens_query,
     "op10_distribution_quality": quality_query,
+    "op9_line_block_main_text": main_text_query,
     "op8_best_fit_packing": packing_query,
 }
 ORACLES: dict[str, str] = {}
