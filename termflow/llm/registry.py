@@ -8,6 +8,7 @@ from termflow.llm.main_text import main_text_query
 from termflow.llm.packing import packing_query
 from termflow.llm.prefix_tokens import prefix_tokens_query
 from termflow.llm.quality import quality_query
+from termflow.llm.quantised import near_vectors_query
 from termflow.llm.token_blocks import token_blocks_query
 
 QUERIES = {
@@ -16,6 +17,7 @@ QUERIES = {
     "op4_hyperdimensional_language": language_query,
     "op6_prefix_table_pieces": prefix_tokens_query,
     "op10_distribution_quality": quality_query,
+    "op7_quantised_near_vectors": near_vectors_query,
     "op9_line_block_main_text": main_text_query,
     "op8_best_fit_packing": packing_query,
 }
