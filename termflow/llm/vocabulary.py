@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import unicodedata
+from array import array
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
@@ -54,27 +55,31 @@ class WordBpe(WordMemory):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        # The model reads bytes as letters: printable ones as they are, the
+        # others as the letters from 256 on.
+        shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        hidden = [x for x in range(256) if x not in shown]
+        self.letters = {x: 256 + k for k, x in enumerate(hidden)}
 
     def encode_word(self, word: str) -> bytes:
-        import numpy as np
-
         lower = word.lower()
         stem = lower.rstrip(MARKS)
         # Letters and marks are separate words to it, and case is dropped.
-        if (
-            stem != word
-            and stem.isalpha()
-            and (
-                word.isascii()
-                or "Σ" not in word
-                and "İ" not in word
-                and unicodedata.is_normalized("NFC", word)
-            )
+        if stem.isalpha() and (
+            word.isascii()
+            or "Σ" not in word
+            and "İ" not in word
+            and unicodedata.is_normalized("NFC", word)
         ):
-            marks = lower[len(stem):]
-            return self[stem] + (self[marks] if marks else b"")
+            if stem != word:
+                marks = lower[len(stem):]
+                return self[stem] + (self[marks] if marks else b"")
+            if not stem.isascii():
+                stem = stem.encode().decode("latin-1").translate(self.letters)
+            return array("I", [x.id for x in self.model.tokenize(stem)]).tobytes()
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return array("I", ids).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:
