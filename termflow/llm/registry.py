@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from termflow.llm.jaccard_join import jaccard_query
 from termflow.llm.language import language_query
 from termflow.llm.line_runs import line_runs_query
 from termflow.llm.main_text import main_text_query
@@ -14,6 +15,7 @@ from termflow.llm.token_blocks import token_blocks_query
 QUERIES = {
     "op1_repair_token_blocks": token_blocks_query,
     "op2_suffix_line_runs": line_runs_query,
+    "op3_universe_partition_jaccard": jaccard_query,
     "op4_hyperdimensional_language": language_query,
     "op6_prefix_table_pieces": prefix_tokens_query,
     "op10_distribution_quality": quality_query,
