@@ -10,6 +10,7 @@ from termflow.llm.packing import packing_query
 from termflow.llm.prefix_tokens import prefix_tokens_query
 from termflow.llm.quality import quality_query
 from termflow.llm.quantised import near_vectors_query
+from termflow.llm.repeated_phrases import repeated_phrases_query
 from termflow.llm.token_blocks import token_blocks_query
 
 QUERIES = {
@@ -17,10 +18,11 @@ QUERIES = {
     "op2_suffix_line_runs": line_runs_query,
     "op3_universe_partition_jaccard": jaccard_query,
     "op4_hyperdimensional_language": language_query,
+    "op5_repeated_phrase_automata": repeated_phrases_query,
     "op6_prefix_table_pieces": prefix_tokens_query,
-    "op10_distribution_quality": quality_query,
     "op7_quantised_near_vectors": near_vectors_query,
-    "op9_line_block_main_text": main_text_query,
     "op8_best_fit_packing": packing_query,
+    "op9_line_block_main_text": main_text_query,
+    "op10_distribution_quality": quality_query,
 }
 ORACLES: dict[str, str] = {}
