@@ -235,6 +235,13 @@ def confirmed_phrases(table: DataFrame, row: str, block: str) -> DataFrame:
     )
 
 
+def found_in(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of x are among the sorted keys, and their first places there."""
+    place = np.searchsorted(keys, x)
+    place[place == len(keys)] = 0
+    return keys[place] == x, place
+
+
 def told_keys(told: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Keys reported to a block, sorted: both hashes and whether it has the first."""
     parts = [b"".join(told[name].to_pylist()) for name in ("keys", "more", "owned")]
@@ -259,7 +266,7 @@ def located(texts: list[bytes], confirmed: np.ndarray) -> list[np.ndarray]:
         words = hashed_spans(data, starts, ends)
         at = fingerprints(words)
         if len(at):
-            at = at[np.isin(window_hashes(words, PHRASE)[at], confirmed)]
+            at = at[found_in(confirmed, window_hashes(words, PHRASE)[at])[0]]
         # Bytes as letters, every word between single spaces.
         letters = data.decode("latin-1")
         parts = [letters[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
@@ -335,8 +342,8 @@ def later_windows(
     if len(words) < WINDOW or not len(keys):
         return np.zeros(0, np.int64)
     first, second = window_keys(words)
-    at = np.flatnonzero(np.isin(first, keys))
-    place = np.searchsorted(keys, first[at])
+    known, place = found_in(keys, first)
+    at, place = np.flatnonzero(known), place[known]
     # Equal first hashes are rare: walk on while the second one differs.
     while True:
         wrong = more[place] != second[at]
