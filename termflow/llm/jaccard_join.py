@@ -7,13 +7,16 @@ The job goes from cheap, linear steps to exact completion:
    with the least one only. Equal signatures within a batch of documents are
    paired there and travel once, so a hot signature costs a shard one entry per
    batch.
-2. Pairs are verified on the sets themselves: first the pair with most common
-   signatures of each set, then those that still join two components.
-3. What could be missing are links between different components. Signatures
-   met in several components are open; of each set's open signatures the most
-   frequent are left out as far as the scheme's slack allows. Pairs of different
-   components in the others are verified. Every link between different sets that
-   steps 1 and 2 did not already imply is among them.
+2. Linked sets share more signatures than their slack. Pairs of step 1 that do are
+   verified on the sets themselves: first the best one of each set, then those
+   that still join two components.
+3. What could be missing are links that show in no pair of step 1, because some
+   third set is the least of their common signatures. Those sets have rows with
+   the same least sets, and share at most the smaller count of both rows with
+   each. By prefix filtering, a set leaves out its rows with the most frequent
+   least sets, as long as all left out together are too few for a link: the
+   rarest common least set of a link is among the rows that both sets keep.
+   Pairs of different components whose bound is large enough are verified too.
 
 Links are decided on exact intersections of 64-bit shingle hashes.
 
@@ -50,9 +53,12 @@ IN_TASK = 4_000_000
 #: Row numbers or signatures sent to all tasks, at most; more are joined.
 MOST_BROADCAST = 4_000_000
 
-SETS = "row bigint, shingles binary"
-DEALT = "shard int, keys binary, rows binary, groups binary, counts binary"
+#: A signature found so often in one batch is paired there and travels once.
+HOT_IN_BATCH = 16
 
+SETS = "row bigint, shingles binary"
+DEALT = "shard int, keys binary, rows binary, notes binary"
+STARS = "a bigint, b bigint, in_batch boolean, n bigint, remaining bigint"
 
 def sizes_of(docs: DataFrame, row: str) -> DataFrame:
     """row, n_shingles of every document."""
@@ -83,47 +89,69 @@ def sets_of(docs: DataFrame) -> DataFrame:
     return docs.select("row", "text").mapInArrow(shingle, SETS)
 
 
+def star_rows(keys, rows, notes, in_batch: bool) -> list[np.ndarray]:
+    """Columns of STARS for entries ordered by key and row.
+
+    A row for each member, the least one included, of the signatures that
+    several share, added up. A note is four times what is left of the slack,
+    plus the signature's units.
+    """
+    starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    size = np.diff(np.r_[starts, len(keys)])
+    several = np.repeat(size, size) > 1
+    a, b = np.repeat(rows[starts], size)[several], rows[several]
+    notes = notes[several]
+    order = np.lexsort((b, a))
+    a, b, notes = a[order], b[order], notes[order]
+    starts = np.flatnonzero(
+        np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][: len(a)]
+    )
+    if not len(starts):
+        return [a, b, a > b, notes, notes]
+    return [
+        a[starts],
+        b[starts],
+        np.full(len(starts), in_batch),
+        np.add.reduceat(notes & 3, starts),
+        np.minimum.reduceat(notes >> 2, starts),
+    ]
+
+
 class Gathered:
-    """Signatures of a batch: one entry per signature and group."""
+    """Signatures of a batch of documents, dealt to shards."""
 
     def __init__(self):
-        self.keys, self.rows, self.groups, self.size = [], [], [], 0
+        self.keys, self.rows, self.notes, self.size = [], [], [], 0
 
-    def add(self, elements: np.ndarray, row: int, group: int) -> None:
+    def add(self, elements: np.ndarray, row: int) -> None:
         for band in bands(len(elements)):
-            keys = signatures(elements, band)[0]
+            keys, units, remaining = signatures(elements, band)
             self.keys.append(keys)
-            self.rows.append((row, len(keys)))
-            self.groups.append(group)
+            self.rows.append(np.full(len(keys), row, np.int64))
+            self.notes.append(units + 4 * remaining)
             self.size += len(keys)
 
-    def dealt(self, schema: pa.Schema, local_pairs: bool) -> pa.RecordBatch:
-        """Entries by shard; with ``local_pairs``, pairs met here as shard -1."""
-        keys = np.concatenate(self.keys)
-        lengths = [n for _, n in self.rows]
-        rows = np.repeat(np.array([r for r, _ in self.rows], np.int64), lengths)
-        groups = np.repeat(np.array(self.groups, np.int64), lengths)
-        order = np.lexsort((rows, groups, keys))
-        keys, rows, groups = keys[order], rows[order], groups[order]
-        first = np.r_[
-            True, (keys[1:] != keys[:-1]) | (groups[1:] != groups[:-1])
-        ]
-        starts = np.flatnonzero(first)
-        counts = np.diff(np.r_[starts, len(keys)])
+    def dealt(self, schema: pa.Schema) -> pa.RecordBatch:
+        """Entries by shard; star rows of hot signatures, packed, as shard -1."""
+        keys, rows, notes = map(np.concatenate, (self.keys, self.rows, self.notes))
+        order = np.lexsort((rows, keys))
+        keys, rows, notes = keys[order], rows[order], notes[order]
+        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+        size = np.diff(np.r_[starts, len(keys)])
+        hot = np.repeat(size >= HOT_IN_BATCH, size)
         out = []
-        if local_pairs:
-            least = np.repeat(rows[starts], counts)
-            met = least != rows
-            pairs, times = counted_pairs(least[met], rows[met])
-            if len(times):
-                out.append((-1, pairs[:, 0], pairs[:, 1], times, times))
-        keys, rows, groups = keys[starts], rows[starts], groups[starts]
+        if hot.any():
+            a, b, _, n, left = star_rows(keys[hot], rows[hot], notes[hot], True)
+            out.append((-1, n, np.stack([a, b], 1), left))
+        keep = ~hot
+        keep[starts] = True
+        keys, rows, notes = keys[keep], rows[keep], notes[keep]
         shard = (keys >> U64(64 - 10)).astype(np.int64)
         edges = np.searchsorted(shard, np.arange(SHARDS + 1))
         for k in range(SHARDS):
             part = slice(edges[k], edges[k + 1])
             if edges[k] < edges[k + 1]:
-                out.append((k, keys[part], rows[part], groups[part], counts[part]))
+                out.append((k, keys[part], rows[part], notes[part]))
         columns = zip(*out)
         return pa.RecordBatch.from_arrays(
             [pa.array(next(columns), pa.int32())]
@@ -135,56 +163,12 @@ class Gathered:
         )
 
 
-def counted_pairs(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct pairs as rows, and how often each occurs."""
-    if not len(a):
-        return np.zeros((0, 2), np.int64), np.zeros(0, np.int64)
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    starts = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-    return (
-        np.stack([a[starts], b[starts]], 1),
-        np.diff(np.r_[starts, len(a)]).astype(np.int64),
-    )
-
-
-def met_in_shards(dealt: DataFrame, tasks: int, find, out: str) -> DataFrame:
-    """Apply ``find`` to all entries of each task's shards.
+def star_table(docs: DataFrame, row: str, tasks: int) -> DataFrame:
+    """STARS: units n that b shares with the least set a.
 
-    ``find`` gets keys, rows, groups and counts ordered by key and row, and
-    returns arrays for ``out``. Pairs met before the shuffle are handed on.
+    Where ``in_batch``, a is only the least one of b's batch.
     """
-    schema = arrow_schema(out)
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
-        for batch in batches:
-            for shard, *parts in zip(*(c.to_pylist() for c in batch.columns)):
-                arrays = [
-                    np.frombuffer(x, kind)
-                    for x, kind in zip(parts, (U64, np.int64, np.int64, np.int64))
-                ]
-                if shard >= 0:
-                    held.append(arrays)
-                    continue
-                pairs = [arrays[0].view(np.int64), arrays[1], arrays[2]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in pairs], schema=schema
-                )
-        if held:
-            keys, rows, groups, counts = map(np.concatenate, zip(*held))
-            order = np.lexsort((rows, keys))
-            found = find(keys[order], rows[order], groups[order], counts[order])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in found], schema=schema
-            )
-
-    return dealt.repartition(tasks, "shard").mapInArrow(meet, out)
-
-
-def star_pairs(docs: DataFrame, row: str, tasks: int) -> DataFrame:
-    """a < b, n: sets that share n signatures with the least row of each."""
-    schema = arrow_schema(DEALT)
+    dealt_schema, out_schema = arrow_schema(DEALT), arrow_schema(STARS)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered = Gathered()
@@ -192,24 +176,45 @@ def star_pairs(docs: DataFrame, row: str, tasks: int) -> DataFrame:
             for number, text in zip(batch["row"], batch["text"]):
                 elements = shingle_set(text.as_py())
                 if len(elements):
-                    gathered.add(elements, number.as_py(), 0)
+                    gathered.add(elements, number.as_py())
                 if gathered.size >= TOGETHER:
-                    yield gathered.dealt(schema, True)
+                    yield gathered.dealt(dealt_schema)
                     gathered = Gathered()
         if gathered.size:
-            yield gathered.dealt(schema, True)
+            yield gathered.dealt(dealt_schema)
 
-    def stars(keys, rows, groups, counts):
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        least = np.repeat(rows[starts], np.diff(np.r_[starts, len(keys)]))
-        met = least != rows
-        pairs, times = counted_pairs(least[met], rows[met])
-        return pairs[:, 0], pairs[:, 1], times
+    def rows_of(columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, out_schema)],
+            schema=out_schema,
+        )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            for shard, *parts in zip(*(c.to_pylist() for c in batch.columns)):
+                keys, rows, notes = (np.frombuffer(x, np.int64) for x in parts)
+                if shard >= 0:
+                    held.append((keys.view(U64), rows, notes))
+                    continue
+                a, b = rows.reshape(-1, 2).T
+                yield rows_of([a, b, np.full(len(a), True), keys, notes])
+        if held:
+            keys, rows, notes = map(np.concatenate, zip(*held))
+            held.clear()
+            order = np.lexsort((rows, keys))
+            yield rows_of(
+                star_rows(keys[order], rows[order], notes[order], False)
+            )
 
     linkable = docs.where(F.col("doc_id").isNotNull())
     dealt = linkable.select(F.col(row).alias("row"), "text").mapInArrow(index, DEALT)
-    met = met_in_shards(dealt, tasks, stars, "a bigint, b bigint, n bigint")
-    return met.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    return (
+        dealt.repartition(tasks, "shard")
+        .mapInArrow(meet, STARS)
+        .groupBy("a", "b", "in_batch")
+        .agg(F.sum("n").alias("n"), F.min("remaining").alias("remaining"))
+    )
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -261,122 +266,121 @@ def sent_if_small(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= MOST_BROADCAST else keys
 
 
-def open_signatures(labelled: DataFrame, tasks: int) -> DataFrame:
-    """key, f: signatures that sets of several components share."""
-    schema = arrow_schema(DEALT)
-
-    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gathered = Gathered()
-        for batch in batches:
-            for number, label, data in zip(
-                batch["row"], batch["component"], batch["shingles"]
-            ):
-                elements = np.frombuffer(data.as_buffer(), U64)
-                gathered.add(elements, number.as_py(), label.as_py())
-                if gathered.size >= TOGETHER:
-                    yield gathered.dealt(schema, False)
-                    gathered = Gathered()
-        if gathered.size:
-            yield gathered.dealt(schema, False)
-
-    def shared(keys, rows, groups, counts):
-        starts = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-        least = np.minimum.reduceat(groups, starts)
-        most = np.maximum.reduceat(groups, starts)
-        several = least != most
-        sums = np.add.reduceat(counts, starts)[several]
-        return keys[starts][several].view(np.int64), sums
-
-    dealt = labelled.mapInArrow(index, DEALT)
-    return met_in_shards(dealt, tasks, shared, "key bigint, f bigint")
+def plausible_pairs(stars: DataFrame) -> DataFrame:
+    """a < b, n: rows of step 1 that share more units than either has left."""
+    own = stars.groupBy(F.col("b").alias("a")).agg(
+        F.min("remaining").alias("a_remaining")
+    )
+    return (
+        stars.where("a != b")
+        .groupBy("a", "b")
+        .agg(F.sum("n").alias("n"), F.min("remaining").alias("b_remaining"))
+        .join(own, "a")
+        .where("n > greatest(a_remaining, b_remaining)")
+        .select("a", "b", "n")
+    )
 
 
-def members(labelled: DataFrame, opened: DataFrame) -> DataFrame:
-    """key, row, component of open signatures that the sets do not leave out."""
-    out = (
-        "key bigint, row bigint, component bigint, band int, units int, slack int"
+def hidden_pairs(stars: DataFrame, labels: DataFrame) -> DataFrame:
+    """Step 3: pairs of different components that may share enough."""
+    in_batch = stars.where("in_batch and a != b")
+    through = in_batch.select(
+        F.col("a").alias("least"), "b", "n", "remaining"
+    ).join(
+        stars.where("not in_batch").select(
+            "a", F.col("b").alias("least"), F.col("n").alias("other")
+        ),
+        "least",
     )
-    schema = arrow_schema(out)
-
-    def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, label, data in zip(
-                batch["row"], batch["component"], batch["shingles"]
-            ):
-                elements = np.frombuffer(data.as_buffer(), U64)
-                for band in bands(len(elements)):
-                    keys, units, left = signatures(elements, band)
-                    n = len(keys)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(keys.view(np.int64)),
-                            pa.array(np.full(n, number.as_py())),
-                            pa.array(np.full(n, label.as_py())),
-                            pa.array(np.full(n, band, np.int32)),
-                            pa.array(units.astype(np.int32)),
-                            pa.array(np.full(n, left, np.int32)),
-                        ],
-                        schema=schema,
-                    )
-
-    by_frequency = (
-        Window.partitionBy("row", "band")
-        .orderBy(F.desc("f"))
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = (
+        stars.select("a", "b", "n", "remaining")
+        .unionByName(
+            through.select("a", "b", F.least("n", "other").alias("n"), "remaining")
+        )
+        .groupBy("a", "b")
+        .agg(F.sum("n").alias("n"), F.min("remaining").alias("remaining"))
     )
+    sizes = rows.groupBy("a").agg(F.count("*").alias("size"))
+    whole = Window.partitionBy("b")
+    frequent_first = whole.orderBy(F.desc("size"), F.desc("a")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    dropped = F.col("so_far") <= F.col("remaining")
+    rows = (
+        rows.join(sizes, "a")
+        .withColumn("remaining", F.min("remaining").over(whole))
+        .withColumn("so_far", F.sum("n").over(frequent_first))
+        .withColumn(
+            "dropped", F.sum(F.when(dropped, F.col("n")).otherwise(0)).over(whole)
+        )
+        .where(~dropped)
+    )
+    for side in "ab":
+        rows = rows.join(
+            labels.select(
+                F.col("node").alias(side), F.col("component").alias(f"{side}_label")
+            ),
+            side,
+            "left",
+        ).withColumn(f"{side}_label", F.coalesce(f"{side}_label", side))
+    rows = stored(
+        rows.select(
+            F.col("a").alias("least"), "b", "n", "remaining", "dropped",
+            F.col("b_label").alias("label"),
+            (F.col("a_label") != F.col("b_label")).alias("apart"),
+        ),
+        "rows",
+    )
+    x, y = rows.where("apart").alias("x"), rows.alias("y")
+    once = ~F.col("y.apart") | (F.col("x.b") < F.col("y.b"))
     return (
-        labelled.mapInArrow(spell, out)
-        .join(sent_if_small(opened), "key")
-        .withColumn("so_far", F.sum("units").over(by_frequency))
-        .where("so_far > slack")
-        .select("key", "row", "component")
+        x.join(y, "least")
+        .where((F.col("x.label") != F.col("y.label")) & once)
+        .groupBy(
+            F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")
+        )
+        .agg(
+            F.sum(F.least("x.n", "y.n")).alias("kept"),
+            F.min(F.least("x.dropped", "y.dropped")).alias("dropped"),
+            F.max(F.greatest("x.remaining", "y.remaining")).alias("remaining"),
+        )
+        .where("kept + dropped > remaining")
+        .select("a", "b")
     )
 
 
+def sets_in(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The stored sets of all documents that the pairs name."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
+    nodes = stored(nodes, "nodes")
+    return stored(sets_of(docs.join(sent_if_small(nodes), "row")), "sets")
+
+
 def all_links(docs: DataFrame, row: str, n_shingles: int) -> DataFrame:
     """node, component by least row number, for rows with links."""
     wanted = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     tasks = max(int(wanted), n_shingles // IN_TASK)
-    stars = stored(star_pairs(docs, row, tasks), "stars")
-    nodes = stored(
-        stars.select(F.col("a").alias("row"))
-        .unionByName(stars.select(F.col("b").alias("row")))
-        .distinct(),
-        "nodes",
-    )
+    stars = stored(star_table(docs, row, tasks), "stars")
     plain = docs.select(F.col(row).alias("row"), "text")
-    sets = stored(sets_of(plain.join(sent_if_small(nodes), "row")), "sets")
-    best = stars.groupBy("b").agg(
+
+    plausible = stored(plausible_pairs(stars), "pairs")
+    sets = sets_in(plausible, plain)
+    best = plausible.groupBy("b").agg(
         F.max_by("a", F.struct("n", -F.col("a"))).alias("a")
     )
     links = stored(verified(best.select("a", "b"), sets), "links")
-    labels = components(links)
     rest = between_components(
-        stars.select("a", "b").join(best, ["a", "b"], "left_anti"), labels
+        plausible.select("a", "b").join(best, ["a", "b"], "left_anti"),
+        components(links),
     )
     links = stored(links.unionByName(verified(rest, sets)), "links")
-    labels = components(links)
 
-    labelled = stored(
-        sets.join(labels, F.col("row") == F.col("node"), "left").select(
-            "row", "shingles", F.coalesce("component", "row").alias("component")
-        ),
-        "labelled",
-    )
-    opened = stored(open_signatures(labelled, tasks), "open")
-    own = stored(members(labelled, opened), "members")
-    pairs = (
-        own.alias("x")
-        .join(own.alias("y"), "key")
-        .where(F.col("x.component") < F.col("y.component"))
-        .select(
-            F.least("x.row", "y.row").alias("a"),
-            F.greatest("x.row", "y.row").alias("b"),
-        )
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
+    hidden = hidden_pairs(stars, components(links)).join(
+        plausible, ["a", "b"], "left_anti"
     )
-    return components(stored(links.unionByName(verified(pairs, sets)), "links"))
+    hidden = stored(hidden, "pairs")
+    found = verified(hidden, sets_in(hidden, plain))
+    return components(stored(links.unionByName(found), "links"))
 
 
 def near_documents(docs: DataFrame, name: str) -> DataFrame:
@@ -402,7 +406,6 @@ def near_documents(docs: DataFrame, name: str) -> DataFrame:
             F.col("first.node").alias("first_node"),
         )
     )
-    # Rows are numbered once more by nobody: all joins go by the stored number.
     found = sizes.join(
         labels.join(firsts, "component"), F.col("row") == F.col("node"), "left"
     ).select(

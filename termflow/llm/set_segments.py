@@ -10,10 +10,11 @@ a segment indexed by its one-deletion neighbourhood too. A set is indexed in the
 scheme of its own band and in that of the band below.
 
 The allocation chooses by cost how many segments have neighbourhoods. The
-schemes tolerate ``slack`` more differences than needed; so a set may leave out
-signatures of that many units, and leaves out the most frequent ones, above all
-the empty subset. Two sets leave out the same among their common signatures,
-because frequency decides, so the smaller of both omissions bounds the loss.
+schemes tolerate ``slack`` more differences than needed, in units of one per
+segment and two per segment with a neighbourhood. Linked sets therefore share
+signatures of more than ``slack`` units. A set leaves out the empty subset, which
+many have, if that costs it no more; both then leave out the same, and share more
+units than either has left.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ import numpy as np
 from termflow.llm.shingles import U64, mixed
 
 #: Cost of a segment subset with at most one element, in signatures.
-POOR_SUBSET = 5.0
+POOR_SUBSET = 10.0
 
 
 class Scheme(NamedTuple):
@@ -57,7 +58,7 @@ def scheme(band: int) -> Scheme:
     low = 1 if band == 0 else scheme(band - 1).high + 1
     high = low * 5 // 4
     most = (high + high * 5 // 4) // 9
-    slack = most // 8 + 1 if most else 0
+    slack = most // 5 + 2 if most else 0
     return Scheme(low, high, *allocation(high, most + 1 + slack), slack)
 
 
