@@ -16,7 +16,9 @@ The job goes from cheap, linear steps to exact completion:
    each. By prefix filtering, a set leaves out its rows with the most frequent
    least sets, as long as all left out together are too few for a link: the
    rarest common least set of a link is among the rows that both sets keep.
-   Pairs of different components whose bound is large enough are verified too.
+   First each set is verified with the most central one beside it, which joins
+   groups of copies in a linear number of pairs; then all pairs of still
+   different components whose bound is large enough.
 
 Links are decided on exact intersections of 64-bit shingle hashes.
 
@@ -281,8 +283,8 @@ def plausible_pairs(stars: DataFrame) -> DataFrame:
     )
 
 
-def hidden_pairs(stars: DataFrame, labels: DataFrame) -> DataFrame:
-    """Step 3: pairs of different components that may share enough."""
+def rare_rows(stars: DataFrame) -> DataFrame:
+    """Step 3: least, b, n, remaining, dropped, total after prefix filtering."""
     in_batch = stars.where("in_batch and a != b")
     through = in_batch.select(
         F.col("a").alias("least"), "b", "n", "remaining"
@@ -309,28 +311,66 @@ def hidden_pairs(stars: DataFrame, labels: DataFrame) -> DataFrame:
     rows = (
         rows.join(sizes, "a")
         .withColumn("remaining", F.min("remaining").over(whole))
+        .withColumn("total", F.sum("n").over(whole))
         .withColumn("so_far", F.sum("n").over(frequent_first))
         .withColumn(
             "dropped", F.sum(F.when(dropped, F.col("n")).otherwise(0)).over(whole)
         )
         .where(~dropped)
     )
-    for side in "ab":
+    return rows.select(
+        F.col("a").alias("least"), "b", "n", "remaining", "dropped", "total"
+    )
+
+
+def labelled_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with the components of b (label) and of the least set."""
+    for side, name in (("least", "least_label"), ("b", "label")):
         rows = rows.join(
             labels.select(
-                F.col("node").alias(side), F.col("component").alias(f"{side}_label")
+                F.col("node").alias(side), F.col("component").alias(name)
             ),
             side,
             "left",
-        ).withColumn(f"{side}_label", F.coalesce(f"{side}_label", side))
+        ).withColumn(name, F.coalesce(name, side))
+    return rows
+
+
+def central_pairs(rows: DataFrame) -> DataFrame:
+    """Each set with the most central one of its least sets' rows.
+
+    That is the one that shares most in all, in a group of copies the one the
+    others were made from. And the sets that are not in its component with the
+    most central among them.
+    """
+
+    def with_leader(rows: DataFrame) -> DataFrame:
+        leaders = rows.groupBy("least").agg(
+            F.max_by(
+                F.struct("b", "label"), F.struct("total", -F.col("b"))
+            ).alias("leader")
+        )
+        return rows.join(leaders, "least").where(
+            F.col("label") != F.col("leader.label")
+        )
+
+    first = with_leader(rows)
+    second = with_leader(first.drop("leader"))
+    return (
+        first.unionByName(second)
+        .select(
+            F.least("b", "leader.b").alias("a"),
+            F.greatest("b", "leader.b").alias("b"),
+        )
+        .distinct()
+    )
+
+
+def hidden_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs of different components that may share enough."""
     rows = stored(
-        rows.select(
-            F.col("a").alias("least"), "b", "n", "remaining", "dropped",
-            F.col("b_label").alias("label"),
-            (F.col("a_label") != F.col("b_label")).alias("apart"),
-        ),
-        "rows",
-    )
+        rows.withColumn("apart", F.col("label") != F.col("least_label")), "rows"
+    )
     x, y = rows.where("apart").alias("x"), rows.alias("y")
     once = ~F.col("y.apart") | (F.col("x.b") < F.col("y.b"))
     return (
@@ -375,8 +415,17 @@ def all_links(docs: DataFrame, row: str, n_shingles: int) -> DataFrame:
     )
     links = stored(links.unionByName(verified(rest, sets)), "links")
 
-    hidden = hidden_pairs(stars, components(links)).join(
-        plausible, ["a", "b"], "left_anti"
+    rows = stored(rare_rows(stars), "rows")
+    central = central_pairs(labelled_rows(rows, components(links)))
+    central = stored(
+        central.join(plausible, ["a", "b"], "left_anti").select("a", "b"), "pairs"
+    )
+    found = verified(central, sets_in(central, plain))
+    links = stored(links.unionByName(found), "links")
+
+    tested = plausible.select("a", "b").unionByName(central)
+    hidden = hidden_pairs(labelled_rows(rows, components(links))).join(
+        tested, ["a", "b"], "left_anti"
     )
     hidden = stored(hidden, "pairs")
     found = verified(hidden, sets_in(hidden, plain))
