@@ -1,9 +1,7 @@
 """Time the headline queries and print one JSON line.
 
 ``BENCH_SF_DIR``, ``BENCH_CPUS`` and ``BENCH_REPEATS`` set data, cores and runs
-per query (the best one counts). With ``BENCH_SHAPES=1`` the statistics are also
-run in the shape of self-joins and ML transformers, for comparison; that time
-is not part of the total.
+per query (the best one counts).
 """
 
 from __future__ import annotations
@@ -16,7 +14,6 @@ from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-from checks.joined_shape import joined_statistics  # noqa: E402
 from checks.registry import QUERIES  # noqa: E402
 from termflow.session import build_session  # noqa: E402
 
@@ -68,10 +65,6 @@ def main() -> None:
         "queries": seconds,
         "sf": Path(sf_dir).name.removeprefix("sf"),
     }
-    if os.environ.get("BENCH_SHAPES"):
-        line["joined_shape"] = best_time(
-            joined_statistics, spark, sf_dir, repeats
-        )
     print(json.dumps(line))
 
 

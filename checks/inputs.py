@@ -5,22 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termflow.sources.readers import read_source, spread
+from termflow.sources.readers import read_source
 
+# All days of the comments, and a range for what filters by day.
+FIRST, LAST = "2024-01-01", "2024-01-30"
 START, END = "2024-01-03", "2024-01-28"
 FIRST_SECOND = 1704067200  # 2024-01-01T00:00:00Z
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # What a date is depends on the session's time zone.
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return read_source(spark, f"{sf_dir}/{name}.parquet")
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as comments: 50 authors, 30 days, 20 communities."""
     doc = F.col("doc_id")
-    return spread(table(spark, sf_dir, "documents")).select(
+    return table(spark, sf_dir, "documents").select(
         F.concat(F.lit("u"), doc % 50).alias("author"),
         F.col("text").alias("body"),
         (FIRST_SECOND + (doc * 7919) % (30 * 86400))
@@ -49,7 +49,7 @@ def topic_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chat_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as comments, one community per role."""
     conv, turn = F.col("conv_id"), F.col("turn")
-    return spread(table(spark, sf_dir, "conversations")).select(
+    return table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("c"), conv).alias("author"),
         F.col("text").alias("body"),
         (FIRST_SECOND + (conv * 100003 + turn * 60) % (30 * 86400))
@@ -60,7 +60,7 @@ def chat_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages"))
+    return table(spark, sf_dir, "pages")
 
 
 def order_listing(spark: SparkSession, sf_dir: str) -> DataFrame:

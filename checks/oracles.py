@@ -67,7 +67,7 @@ TOKEN_STEPS = (
         "ranged",
         """
     SELECT id, body, subreddit, CAST(day AS VARCHAR) AS date FROM keyed
-    WHERE day BETWEEN DATE '2024-01-03' AND DATE '2024-01-28'""",
+    WHERE day BETWEEN DATE '2024-01-01' AND DATE '2024-01-30'""",
     ),
     (
         "with_topics",
@@ -318,20 +318,13 @@ RAW_NAMES = """
                    ELSE '/r/' || source || '/' END AS raw
     FROM documents"""
 
-# Labels in the form the rules expect; picked by document number.
-RAW_TOPICS = (
-    'TV:Netflix Related',
-    'Gaming:Netflix Related',
-    '"Quoted", label',
-    'Animals:Wallpapers',
-    'Self-Improvement:Programming',
-    'Self-Improvement:Sex',
-    'Sports:Instruments:CryptoCurrency',
-    'Facebook:Dogs',
-    'General:Physics',
-    'Cringe:Sci-fi',
-    'untouched',
-)
+# A rule's own text between two columns, so that every rule applies.
+RULE_TEXTS = "[" + ", ".join(quoted(old) for old, _ in TOPIC_RULES) + "]"
+RAW_TOPICS = f"""
+    SELECT doc_id, upper(lang[1]) || lower(lang[2:])
+           || coalesce({RULE_TEXTS}[doc_id % {len(TOPIC_RULES) + 1} + 1], '')
+           || source AS raw
+    FROM documents"""
 
 
 def after(steps, last: str, select: str) -> str:
@@ -362,16 +355,21 @@ def oracle_sql() -> dict[str, str]:
     )
     pages = lambda last, select: after(PAGE_STEPS, last, select)
     comments = doc("comments", "SELECT * FROM comments")
-    picked = "[" + ", ".join(quoted(t) for t in RAW_TOPICS) + "]"
+    bounded = lambda sql: sql.replace("01-01'", "01-03'").replace(
+        "01-30'", "01-28'"
+    )
+    empty_topic = bounded(statistics).replace(
+        "% 3)\n           AS topics", "% 3) || ','\n           AS topics"
+    )
     key_value = "string_split(string_split(key, '/')[-2], '=')[2]"
     return {
         "word_statistics": statistics,
-        "comment_statistics": statistics,
-        "topic_terms_job": statistics,
-        "incremental_equals_full": statistics,
+        "comment_statistics": bounded(statistics),
+        "topic_terms_job": bounded(statistics),
+        "incremental_equals_full": empty_topic,
         "partitioned_roundtrip": chat_statistics,
-        "comment_tokens": doc(
-            "tokens", "SELECT id, topic, word, date FROM tokens"
+        "comment_tokens": bounded(
+            doc("tokens", "SELECT id, topic, word, date FROM tokens")
         ),
         "chat_tokens": after(
             CHAT_STEPS, "tokens", "SELECT id, topic, word, date FROM tokens"
@@ -380,7 +378,9 @@ def oracle_sql() -> dict[str, str]:
         "unix_to_date": doc(
             "keyed", "SELECT id, CAST(day AS VARCHAR) AS date FROM keyed"
         ),
-        "date_range_filter": doc("ranged", "SELECT id, date FROM ranged"),
+        "date_range_filter": bounded(
+            doc("ranged", "SELECT id, date FROM ranged")
+        ),
         "topic_join": doc(
             "with_topics", "SELECT id, date, subreddit, topics FROM with_topics"
         ),
@@ -459,9 +459,7 @@ def oracle_sql() -> dict[str, str]:
             FROM ({RAW_NAMES})""",
         "clean_topics": f"""
             SELECT doc_id, {replaced("raw", TOPIC_RULES)} AS topics
-            FROM (SELECT doc_id,
-                         {picked}[doc_id % {len(RAW_TOPICS)} + 1] AS raw
-                  FROM documents)""",
+            FROM ({RAW_TOPICS})""",
         "heading_blocks": pages(
             "heading_blocks", "SELECT * FROM heading_blocks"
         ),
@@ -491,6 +489,27 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT list_sort(list(CAST(round(l_extendedprice * 100)
                                              AS BIGINT))) AS s
                   FROM lineitem)""",
+        "catalog_table": f"""
+            SELECT * FROM ({chat_statistics})
+            WHERE date BETWEEN '2024-01-01' AND '2024-01-03'""",
+        "optional_table": """
+            SELECT n_nationkey, n_name, true AS was_absent FROM nation""",
+        "audit_record": f"""
+            SELECT min(date) AS min_date, max(date) AS max_date,
+                   count(*) AS rows
+            FROM ({chat_statistics}) WHERE date <= '2024-01-10'
+            UNION ALL
+            SELECT min(date), max(date), count(*)
+            FROM ({chat_statistics}) WHERE date >= '2024-01-10'""",
+        "file_audit": """
+            SELECT count(*) FILTER (o_orderdate < TIMESTAMP '1995-01-01')
+                   AS num_old_keys,
+                   count(*) FILTER (o_orderdate >= TIMESTAMP '1995-01-01')
+                   AS num_new_keys,
+                   CAST(min(round(o_totalprice * 100)) AS BIGINT) AS size_min,
+                   CAST(max(round(o_totalprice * 100)) AS BIGINT) AS size_max,
+                   count(DISTINCT o_custkey % 10) AS groups
+            FROM orders""",
         "read_parquet_source": "SELECT * FROM conversations",
         "json_comments": comments,
         "topic_map_csv": pages(

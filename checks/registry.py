@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import inputs
-from checks.inputs import END, START
-from checks.oracles import RAW_TOPICS
+from checks.inputs import END, FIRST, LAST, START
 from termflow.functions.names import (
     TOPIC_RULES,
     community_name,
@@ -28,6 +27,7 @@ from termflow.operators.topic_lists import (
 )
 from termflow.operators.trending import trending_terms
 from termflow.plans.comment_tokens import comment_tokens
+from termflow.plans.file_audit import audit_files
 from termflow.plans.job import JobSettings, run_job
 from termflow.plans.topic_map import build_topic_map
 from termflow.plans.word_statistics import (
@@ -35,12 +35,15 @@ from termflow.plans.word_statistics import (
     topic_word_rates,
     word_statistics,
 )
-from termflow.schemas import COMMENT_TOKENS, enforce_schema
+from termflow.schemas import COMMENT_TOKENS, WORD_STATISTICS, enforce_schema
 from termflow.session import shared_folder
 from termflow.sources.readers import (
+    read_audit,
     read_json_comments,
+    read_source,
     read_statistics,
     read_topic_map,
+    table_or_none,
 )
 from termflow.sources.writers import write_partitioned, write_topic_map
 
@@ -54,16 +57,21 @@ def query(function: Query) -> Query:
     return function
 
 
+def every_day(spark: SparkSession, sf_dir: str) -> tuple:
+    return inputs.comments(spark, sf_dir), inputs.topic_map(spark, sf_dir), FIRST, LAST
+
+
 def bounded(spark: SparkSession, sf_dir: str) -> tuple:
+    """For queries whose feature is a range of days."""
     return inputs.comments(spark, sf_dir), inputs.topic_map(spark, sf_dir), START, END
 
 
-def chat_bounded(spark: SparkSession, sf_dir: str) -> tuple:
+def chat(spark: SparkSession, sf_dir: str) -> tuple:
     return (
         inputs.chat_comments(spark, sf_dir),
         inputs.chat_map(spark, sf_dir),
-        START,
-        END,
+        FIRST,
+        LAST,
     )
 
 
@@ -79,7 +87,7 @@ def with_topics(comments: DataFrame, topic_map: DataFrame) -> DataFrame:
     return (
         comments.transform(C.add_comment_id)
         .transform(C.add_date)
-        .transform(C.filter_dates, START, END)
+        .transform(C.filter_dates, FIRST, LAST)
         .transform(C.add_topics, topic_map)
         .select(
             "id", "body", F.col("date").cast("string"), "subreddit", "topics"
@@ -88,21 +96,19 @@ def with_topics(comments: DataFrame, topic_map: DataFrame) -> DataFrame:
 
 
 def documents_with_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    comments, topic_map, *_ = bounded(spark, sf_dir)
+    comments, topic_map, *_ = every_day(spark, sf_dir)
     return with_topics(comments, topic_map)
 
 
 def chat_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    comments, topic_map, *_ = chat_bounded(spark, sf_dir)
+    comments, topic_map, *_ = chat(spark, sf_dir)
     return (
         with_topics(comments, topic_map).drop("subreddit").transform(W.add_words)
     )
 
 
 def stat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comment_tokens(*bounded(spark, sf_dir)).withColumnRenamed(
-        "id", "comment_id"
-    )
+    return comment_tokens(*every_day(spark, sf_dir))
 
 
 # Comments to tokens
@@ -202,7 +208,7 @@ def comment_tokens_query(spark, sf_dir):
 
 @query
 def chat_tokens(spark, sf_dir):
-    return comment_tokens(*chat_bounded(spark, sf_dir))
+    return comment_tokens(*chat(spark, sf_dir))
 
 
 # Tokens to statistics
@@ -213,8 +219,8 @@ def sum_column(spark, sf_dir):
     items = inputs.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus"
     )
-    return N.sum_column(
-        items, "l_linenumber", ["l_returnflag", "l_linestatus"], "total"
+    return N.with_group_totals(
+        items, "l_linenumber", {"total": ["l_returnflag", "l_linestatus"]}
     )
 
 
@@ -225,15 +231,15 @@ def daily_word_frequency(spark, sf_dir):
 
 @query
 def daily_word_frequency_in_topic(spark, sf_dir):
-    return daily_word_frequency(spark, sf_dir).transform(
-        N.add_daily_word_frequency_in_topic
-    )
+    return stat_tokens(spark, sf_dir).transform(N.topic_word_frequencies)
 
 
 @query
 def topic_daily_word_count(spark, sf_dir):
-    return daily_word_frequency_in_topic(spark, sf_dir).transform(
-        N.add_topic_daily_word_count
+    return N.with_group_totals(
+        daily_word_frequency_in_topic(spark, sf_dir),
+        "daily_word_frequency_in_topic",
+        {"topic_daily_word_count": ["date", "topic"]},
     )
 
 
@@ -250,7 +256,9 @@ def rate_and_specificity(spark, sf_dir):
 
 
 def rates(spark, sf_dir):
-    return topic_word_rates(*bounded(spark, sf_dir))
+    return topic_word_rates(*every_day(spark, sf_dir)).withColumn(
+        "date", F.col("date").cast("string")
+    )
 
 
 @query
@@ -284,7 +292,7 @@ def stats_id(spark, sf_dir):
 
 @query
 def word_statistics_query(spark, sf_dir):
-    return word_statistics(comment_tokens(*bounded(spark, sf_dir)))
+    return word_statistics(comment_tokens(*every_day(spark, sf_dir)))
 
 
 @query
@@ -295,7 +303,7 @@ def comment_statistics_query(spark, sf_dir):
 @query
 def trending_terms_query(spark, sf_dir):
     return trending_terms(
-        comment_statistics(*bounded(spark, sf_dir)), 1.2, 10
+        comment_statistics(*every_day(spark, sf_dir)), 1.2, 10
     ).select(
         "topic", "date", "word", "topic_specificity", R.CHANGE, "place"
     )
@@ -307,7 +315,7 @@ def trending_terms_query(spark, sf_dir):
 @query
 def partitioned_roundtrip(spark, sf_dir):
     path = shared_folder(spark, "statistics")
-    write_partitioned(comment_statistics(*chat_bounded(spark, sf_dir)), path)
+    write_partitioned(comment_statistics(*chat(spark, sf_dir)), path)
     return read_statistics(spark, path)
 
 
@@ -323,8 +331,12 @@ def topic_terms_job(spark, sf_dir):
 
 @query
 def incremental_equals_full(spark, sf_dir):
-    """A fifth of the comments from the 15th on arrives late."""
+    """A fifth of the comments from the 15th on arrives late.
+
+    Lists of the map end in a comma, so there is an empty topic too.
+    """
     comments, topic_map, start, end = bounded(spark, sf_dir)
+    topic_map = topic_map.withColumn("topics", F.concat("topics", F.lit(",")))
     day = "2024-01-15"
     path = shared_folder(spark, "incremental")
     second = F.col("created_utc").cast("bigint")
@@ -386,8 +398,12 @@ def clean_names(spark, sf_dir):
 
 @query
 def clean_topics(spark, sf_dir):
-    labels = F.array(*map(F.lit, RAW_TOPICS))
-    raw = F.get(labels, F.col("doc_id") % len(RAW_TOPICS))
+    """A label per document: a rule's own text between columns of the table."""
+    number = (F.col("doc_id") % (len(TOPIC_RULES) + 1)).cast("int")
+    texts = F.array(*(F.lit(old) for old, _ in TOPIC_RULES))
+    raw = F.concat(
+        F.initcap("lang"), F.coalesce(F.get(texts, number), F.lit("")), "source"
+    )
     return inputs.table(spark, sf_dir, "documents").select(
         "doc_id", replace_in_order(raw, TOPIC_RULES).alias("topics")
     )
@@ -423,9 +439,65 @@ def topic_map_csv(spark, sf_dir):
     return read_topic_map(spark, path)
 
 
+@query
+def catalog_table(spark, sf_dir):
+    """Statistics as a catalog table: two days first, then one more."""
+    comments, topic_map, *_ = chat(spark, sf_dir)
+    path = shared_folder(spark, "table")
+    name = "statistics_" + path.rsplit("-", 1)[1]
+    first = JobSettings(FIRST, "2024-01-02", path, table=name)
+    run_job(spark, comments, topic_map, first)
+    more = JobSettings(
+        "2024-01-03", "2024-01-03", path, table=name, incremental=True
+    )
+    run_job(spark, comments, topic_map, more)
+    spark.catalog.refreshTable(name)
+    return read_source(spark, name, "table").select(*WORD_STATISTICS.names)
+
+
+@query
+def optional_table(spark, sf_dir):
+    """A table by name, and none where there is none."""
+    nations = inputs.table(spark, sf_dir, "nation")
+    path = shared_folder(spark, "nations")
+    name = "nations_" + path.rsplit("-", 1)[1]
+    absent = table_or_none(spark, name) is None
+    nations.write.option("path", path).saveAsTable(name)
+    present = table_or_none(spark, name)
+    return present.select("n_nationkey", "n_name", F.lit(absent).alias("was_absent"))
+
+
+@query
+def audit_record(spark, sf_dir):
+    """Two runs, the second from the last day that the first recorded."""
+    comments, topic_map, *_ = chat(spark, sf_dir)
+    folder = shared_folder(spark, "audited")
+    target, audit = f"{folder}/statistics", f"{folder}/audit"
+    first = JobSettings(FIRST, "2024-01-10", target, audit_path=audit)
+    run_job(spark, comments, topic_map, first)
+    later = JobSettings(None, LAST, target, audit_path=audit, incremental=True)
+    run_job(spark, comments, topic_map, later)
+    return read_audit(spark, audit).select("min_date", "max_date", "rows")
+
+
 # File audit
 
 
+@query
+def file_audit(spark, sf_dir):
+    """Freshness, smallest and largest size, and number of groups of orders."""
+    found = audit_files(inputs.order_listing(spark, sf_dir), "1995-01-01")
+    sizes = found["sizes"].select("size_min", "size_max")
+    groups = found["latest_keys"].agg(F.count(F.lit(1)).alias("groups"))
+    one = F.lit(1).alias("one")
+    return (
+        found["freshness"].select(one, "*")
+        .join(sizes.select(one, "*"), "one")
+        .join(groups.select(one, "*"), "one")
+        .drop("one")
+    )
+
+
 @query
 def partition_value_query(spark, sf_dir):
     return inputs.order_listing(spark, sf_dir).select(

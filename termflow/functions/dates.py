@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 Bound = date | datetime | str
 
-# Up to twelve digits: what is longer lies past the year 30000.
-EPOCH = r"^\s*([+-]?0*\d{1,12})(\.\d*)?\s*$"
+EPOCH = r"^\s*([+-]?\d+)(\.\d*)?\s*$"
+DAY_SECONDS = 86_400
 
 
 def epoch_seconds(text: str | Column) -> Column:
@@ -23,8 +23,14 @@ def epoch_seconds(text: str | Column) -> Column:
 
 
 def epoch_day(text: str | Column) -> Column:
-    """Calendar day of an epoch string in the session time zone."""
-    return F.to_date(F.timestamp_seconds(epoch_seconds(text)))
+    """UTC day of an epoch string, in any session time zone.
+
+    Whole days are counted on decimals, which hold every bigint. NULL for what
+    is no bigint, and for the days past year five million that no DATE holds.
+    """
+    seconds = epoch_seconds(text).cast("decimal(19,0)")
+    days = F.floor(seconds / F.lit(DAY_SECONDS).cast("decimal(5,0)"))
+    return F.date_from_unix_date(days.try_cast("int"))
 
 
 def _as_datetime(bound: Bound) -> datetime:

@@ -8,18 +8,8 @@ from pyspark.sql import functions as F
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_if_small(
-    df: DataFrame, max_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
-    """``df`` with a broadcast hint if its rows take at most ``max_bytes``.
-
-    The size comes from one aggregate over ``df``, of which a single number
-    reaches the driver. Use it for stored dimension tables, not for frames that
-    are costly to compute. A larger ``df`` is returned without a hint: the join
-    then shuffles, and AQE splits the partitions of hot keys.
-    """
-    if max_bytes <= 0:
-        return df
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes that the rows take; one number reaches the driver."""
     row_bytes = sum(
         (
             F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
@@ -27,5 +17,21 @@ def broadcast_if_small(
         ),
         F.lit(16 * len(df.columns)),
     )
-    size = df.select(F.sum(row_bytes).alias("bytes")).first()["bytes"] or 0
+    return df.select(F.sum(row_bytes).alias("bytes")).first()["bytes"] or 0
+
+
+def broadcast_if_small(
+    df: DataFrame,
+    max_bytes: int = BROADCAST_BYTES,
+    known_bytes: int | None = None,
+) -> DataFrame:
+    """``df`` with a broadcast hint if its rows take at most ``max_bytes``.
+
+    Without ``known_bytes`` they are measured, by an aggregate that runs at once;
+    so not for frames that are costly to compute. A larger ``df`` is returned
+    without a hint: the join then shuffles, and AQE splits partitions of hot keys.
+    """
+    if max_bytes <= 0:
+        return df
+    size = measured_bytes(df) if known_bytes is None else known_bytes
     return F.broadcast(df) if size <= max_bytes else df

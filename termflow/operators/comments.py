@@ -6,7 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termflow.functions.dates import Bound, day_bounds, epoch_day
-from termflow.operators.broadcasts import BROADCAST_BYTES, broadcast_if_small
+from termflow.operators.broadcasts import (
+    BROADCAST_BYTES,
+    broadcast_if_small,
+    measured_bytes,
+)
 
 
 def add_comment_id(comments: DataFrame) -> DataFrame:
@@ -17,7 +21,7 @@ def add_comment_id(comments: DataFrame) -> DataFrame:
 
 
 def add_date(comments: DataFrame) -> DataFrame:
-    """Day of ``created_utc`` in the session time zone, which should be UTC."""
+    """UTC day of ``created_utc``."""
     return comments.withColumn("date", epoch_day("created_utc"))
 
 
@@ -34,12 +38,14 @@ def add_topics(
     topic_map: DataFrame,
     normalize_left: bool = False,
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    map_bytes: int | None = None,
 ) -> DataFrame:
     """Attach ``topics`` by community name; comments without any are dropped.
 
     Only the names of the map are lower-cased, so a comment whose name has
     capitals finds no topics unless ``normalize_left``. A name that occurs in
-    several rows of the map multiplies its comments.
+    several rows of the map multiplies its comments. ``map_bytes`` is the size of
+    the map where it is known.
     """
     names = topic_map.select(
         F.lower("subreddit").alias("subreddit"), "topics"
@@ -47,5 +53,31 @@ def add_topics(
     if normalize_left:
         comments = comments.withColumn("subreddit", F.lower("subreddit"))
     return comments.join(
-        broadcast_if_small(names, max_broadcast_bytes), "subreddit"
+        broadcast_if_small(names, max_broadcast_bytes, map_bytes), "subreddit"
     )
+
+
+def mark_repeated_ids(
+    comments: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Add ``is_repeated``: another row has the same id (or NULL, as this one).
+
+    Ids are counted at once, without the bodies. Without repeated ones nothing is
+    joined. They are usually few; only a large size of them moves the bodies.
+    """
+    repeated = (
+        comments.groupBy(F.col("id").alias("repeated_id"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select("repeated_id", F.lit(True).alias("is_repeated"))
+    )
+    size = measured_bytes(repeated)
+    if not size:
+        return comments.withColumn("is_repeated", F.lit(False))
+    return comments.join(
+        broadcast_if_small(repeated, max_broadcast_bytes, size),
+        F.col("id").eqNullSafe(F.col("repeated_id")),
+        "left",
+    ).withColumn(
+        "is_repeated", F.coalesce("is_repeated", F.lit(False))
+    ).drop("repeated_id")

@@ -8,103 +8,99 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from termflow.operators.broadcasts import BROADCAST_BYTES
 
-def sum_column(
-    df: DataFrame, col_to_sum: str, group_by: Sequence[str], new_col: str
+
+def with_group_totals(
+    rows: DataFrame, value: str, totals: dict[str, Sequence[str]]
 ) -> DataFrame:
-    """Add the sum per group to every row; rows with a NULL key are dropped.
+    """Sums of ``value`` over the groups of each key list, on every row.
 
-    Sums are aggregated and joined back, not taken over a window, so that a
-    large group is never gathered in one task.
+    ``totals`` maps the new column to its keys; rows with a NULL key go. Sums
+    combine before the shuffle and are joined without a hint: Spark broadcasts
+    them if their measured size allows, else it splits the joins of hot keys.
     """
-    totals = df.groupBy(*group_by).agg(F.sum(col_to_sum).alias(new_col))
-    return df.join(totals, list(group_by))
-
-
-def _daily_frequencies(tokens: DataFrame) -> DataFrame:
-    """(date, word, daily_word_frequency, total_daily_word_count)."""
-    # Distinct rows and not a distinct count of ids: a NULL id counts as one.
-    frequency = (
-        tokens.select("comment_id", "word", "date")
-        .distinct()
-        .groupBy("date", "word")
-        .agg(F.count("word").alias("daily_word_frequency"))
-    )
-    # One row per calendar day, so the broadcast is bounded by the date range.
-    total = frequency.groupBy("date").agg(
-        F.sum("daily_word_frequency").alias("total_daily_word_count")
-    )
-    return frequency.join(F.broadcast(total), "date")
+    for name, keys in totals.items():
+        sums = rows.groupBy(*keys).agg(F.sum(value).alias(name))
+        rows = rows.join(sums, [*keys])
+    return rows
 
 
-def add_daily_word_frequency(tokens: DataFrame) -> DataFrame:
-    """Number of comments with the word that day, and the day's sum of them.
+def daily_frequencies(tokens: DataFrame) -> DataFrame:
+    """(date, word, daily_word_frequency, total_daily_word_count).
 
-    A comment counts once however many topics it has. One output row per token.
+    Comments with the word that day, however many topics they have, and the
+    day's sum of these. A NULL id counts as one comment.
     """
-    return tokens.join(_daily_frequencies(tokens), ["date", "word"]).select(
-        "topic",
-        "word",
-        "date",
-        "daily_word_frequency",
-        "total_daily_word_count",
+    unique = tokens.select("id", "word", "date").distinct()
+    per_word = unique.groupBy("date", "word").agg(
+        F.count("word").alias("daily_word_frequency")
+    )
+    return with_group_totals(
+        per_word, "daily_word_frequency", {"total_daily_word_count": ["date"]}
     )
 
 
-def add_daily_word_frequency_in_topic(df: DataFrame) -> DataFrame:
-    """Number of tokens per topic, word and day; one row for each of them."""
-    return df.groupBy(
+def add_daily_word_frequency(tokens: DataFrame) -> DataFrame:
+    """Topic, word, day and daily frequencies, one output row per token."""
+    return tokens.join(daily_frequencies(tokens), ["date", "word"]).select(
         "topic",
         "word",
         "date",
         "daily_word_frequency",
         "total_daily_word_count",
-    ).agg(F.count("word").alias("daily_word_frequency_in_topic"))
-
-
-def add_topic_daily_word_count(df: DataFrame) -> DataFrame:
-    """Sum of the frequencies in topic over the words of a topic and day."""
-    return sum_column(
-        df,
-        "daily_word_frequency_in_topic",
-        ["date", "topic"],
-        "topic_daily_word_count",
     )
 
 
-def add_word_counts(tokens: DataFrame) -> DataFrame:
-    """All counts of a token table, one row per topic, word and day.
+def topic_word_frequencies(tokens: DataFrame) -> DataFrame:
+    """One row per topic, word and day: tokens in topic, daily frequencies.
 
-    Tokens are counted per topic before the daily frequency is joined, so the
-    join is between counts and no hot word meets its own tokens.
+    Tokens are counted before the join, in which a hot word of a day has one row
+    per topic and never its tokens.
     """
     in_topic = (
         tokens.where(F.col("word").isNotNull() & F.col("date").isNotNull())
         .groupBy("date", "word", "topic")
         .agg(F.count("word").alias("daily_word_frequency_in_topic"))
     )
-    return in_topic.transform(add_topic_daily_word_count).join(
-        _daily_frequencies(tokens), ["date", "word"]
+    return in_topic.join(daily_frequencies(tokens), ["date", "word"])
+
+
+def add_word_counts(tokens: DataFrame) -> DataFrame:
+    """All counts of a token table, one row per topic, word and day."""
+    return with_group_totals(
+        topic_word_frequencies(tokens),
+        "daily_word_frequency_in_topic",
+        {"topic_daily_word_count": ["date", "topic"]},
     )
 
 
 def count_topic_words(words: DataFrame) -> DataFrame:
     """Counts per topic, word and day straight from comment words.
 
-    ``words`` has (id, word, date, topics) with ``topics`` an array of clean
-    topics, and may hold repeated rows. It is shuffled once, by comment and
-    word, after repeats were merged in the map tasks; a group gathers at most
-    the distinct topic lists of the map. The first topic of each group carries
-    the comment's count towards the daily frequency (``first_places``), so one
-    aggregate yields both counts and no token is read twice.
+    ``words`` has (id, word, date, topics, is_repeated) with ``topics`` an array
+    of distinct topics. Words of a comment whose id occurs once in the input go
+    straight to the counts. Only those of repeated ids, NULL among them, are
+    merged by comment and word first. The least topic of a comment's word carries
+    its count towards the daily frequency (``first_places``), so one aggregate
+    yields both counts and no token is read twice.
     """
-    per_comment = words.groupBy("id", "word", "date").agg(
-        F.array_distinct(F.flatten(F.collect_set("topics"))).alias("topics")
+    once = words.where(~F.col("is_repeated")).select(
+        "date", "word", F.array_sort("topics").alias("topics")
     )
-    return (
-        per_comment.select(
-            "date", "word", F.posexplode("topics").alias("place", "topic")
+    merged = (
+        words.where("is_repeated")
+        .groupBy("id", "word", "date")
+        .agg(F.flatten(F.collect_set("topics")).alias("topics"))
+        .select(
+            "date",
+            "word",
+            F.array_sort(F.array_distinct("topics")).alias("topics"),
         )
+    )
+    return (
+        once.unionByName(merged)
+        .select("date", "word", F.posexplode("topics").alias("place", "topic"))
         .groupBy("date", "word", "topic")
         .agg(
             F.count("word").alias("daily_word_frequency_in_topic"),
@@ -113,18 +109,14 @@ def count_topic_words(words: DataFrame) -> DataFrame:
     )
 
 
-# About 100 bytes a pair of topic and day, hence some 50 MB.
-MAX_BROADCAST_PAIRS = 500_000
-
-
 def add_daily_totals(
-    counts: DataFrame, max_topic_days: int | None = None
+    counts: DataFrame, max_bytes: int | None = None
 ) -> DataFrame:
     """Complete ``count_topic_words`` to the counts of ``add_word_counts``.
 
-    ``max_topic_days`` bounds the number of (date, topic) pairs, if known. The
-    totals per pair are broadcast when the bound is small, else joined by
-    shuffle. The windows span at most all topics: small, however hot the word.
+    ``max_bytes`` bounds the size of the totals per day and topic, if known. They
+    are broadcast when the bound is small, else joined by shuffle. The windows
+    span at most all topics: small, however hot the word.
     """
     totals = (
         counts.groupBy("date", "topic")
@@ -140,7 +132,7 @@ def add_daily_totals(
         )
         .drop("first_places")
     )
-    if max_topic_days is not None and max_topic_days <= MAX_BROADCAST_PAIRS:
+    if max_bytes is not None and max_bytes <= BROADCAST_BYTES:
         totals = F.broadcast(totals)
     return (
         counts.withColumn(

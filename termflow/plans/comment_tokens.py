@@ -15,6 +15,7 @@ from termflow.operators.comments import (
     add_date,
     add_topics,
     filter_dates,
+    mark_repeated_ids,
 )
 from termflow.operators.tokens import (
     explode_topics,
@@ -37,17 +38,21 @@ def comment_words(
     drop_empty_topics: bool = False,
     day_column: str | None = None,
     max_broadcast_bytes: int = BROADCAST_BYTES,
+    map_bytes: int | None = None,
+    mark_repeated: bool = False,
 ) -> DataFrame:
     """(id, word, date, topics) with an array of topics; no wide shuffle.
 
     Rows repeat where a comment occurs more than once in the input or in the
-    map. ``day_column`` names a column of ``comments`` that holds the day of
+    map; ``mark_repeated`` adds the column ``is_repeated`` that says so.
+    ``date`` is a DATE. ``map_bytes`` is the size of the map where it is known,
+    else it is measured. ``day_column`` names a column of ``comments`` that holds the day of
     ``created_utc``; given a table partitioned by it, only the days in range
     are read.
     """
     if day_column is not None:
         comments = filter_dates(comments, start, end, day_column)
-    return (
+    joined = (
         comments.select(*COMMENTS.names)
         .transform(add_comment_id)
         .transform(add_date)
@@ -58,9 +63,14 @@ def comment_words(
             split_topic_lists(topic_map, drop_empty_topics),
             normalize_left,
             max_broadcast_bytes,
+            map_bytes,
         )
-        .select("id", F.col("date").cast("string"), "body", "topics")
-        .transform(tokenize)
+        .select("id", "date", "body", "topics")
+    )
+    if mark_repeated:
+        joined = mark_repeated_ids(joined, max_broadcast_bytes)
+    return (
+        joined.transform(tokenize)
         .transform(remove_stop_words, stop_words)
         .transform(explode_words)
     )

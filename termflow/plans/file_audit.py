@@ -25,8 +25,10 @@ def audit_files(
     ``start`` or later; warns about older files. A malformed key fails the
     query on ``latest_keys``; nothing is ever deleted.
     """
-    freshness = freshness_counts(listing, start)
-    counts = freshness.first()
+    counted = freshness_counts(listing, start)
+    counts = counted.first()
+    # Counted once: the frame returned holds the row that was found.
+    freshness = listing.sparkSession.createDataFrame([counts], counted.schema)
     if counts["num_old_keys"] + counts["num_new_keys"] == 0:
         raise ValueError("no keys found")
     if counts["num_old_keys"] > 0:

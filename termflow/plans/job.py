@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import uuid
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,11 +12,16 @@ from termflow.functions.dates import Bound, day_bounds
 from termflow.plans.comment_tokens import comment_tokens
 from termflow.plans.word_statistics import comment_statistics
 from termflow.session import shared_folder
-from termflow.sources.readers import read_statistics
-from termflow.sources.writers import append_audit, drop_path, write_partitioned
+from termflow.sources.readers import read_audit, read_statistics
+from termflow.sources.writers import (
+    append_audit,
+    drop_path,
+    path_exists,
+    write_partitioned,
+)
 from termflow.streaming.incremental import (
     drop_vanished,
-    files_of_days,
+    partitions_of_days,
     refreshed_statistics,
 )
 
@@ -26,16 +32,21 @@ class JobSettings:
 
     ``incremental`` refreshes only the days from ``include_start_date`` to
     ``include_end_date`` of the statistics stored at ``target_path``; otherwise
-    they are replaced as a whole. ``table`` also registers them in the catalog.
-    ``options`` go to ``comment_words``.
+    they are replaced as a whole. Without a start, an incremental run begins at
+    the last day the audit names. ``table`` also registers the statistics in the
+    catalog; ``tokens_path`` stores the tokens of the range. ``scratch_path`` is
+    a folder all executors share, by default that of checkpoints. ``options`` go
+    to ``comment_words``.
     """
 
-    include_start_date: Bound
+    include_start_date: Bound | None
     include_end_date: Bound
     target_path: str
     table: str | None = None
     audit_path: str | None = None
     incremental: bool = False
+    tokens_path: str | None = None
+    scratch_path: str | None = None
     options: dict = field(default_factory=dict)
 
 
@@ -47,44 +58,75 @@ def run_job(
 ) -> dict[str, DataFrame]:
     """Write the statistics, record the run, return tokens and statistics.
 
-    Counts are kept in the shared folder until the statistics are written. The
-    tokens are returned lazily: the statistics do not need them, so they are
-    computed only if used. The statistics are those read back.
+    Counts are kept in the scratch folder until the statistics are written. The
+    tokens are those stored, if they are, else lazy: the statistics do not need
+    them. The statistics are those read back. An incremental run on a target
+    that does not exist yet is a full one.
     """
+    if settings.incremental and settings.include_start_date is None:
+        settings = replace(
+            settings, include_start_date=last_audited_day(spark, settings.audit_path)
+        )
+    if settings.incremental and not path_exists(spark, settings.target_path):
+        settings = replace(settings, incremental=False)
     start, end = settings.include_start_date, settings.include_end_date
     path, options = settings.target_path, settings.options
-    scratch = shared_folder(spark, "job")
-    stored_counts = {**options, "counts_path": f"{scratch}/counts"}
-    if settings.incremental:
-        listed = f"{scratch}/files-before"
-        files_of_days(spark, path, start, end).write.parquet(listed)
-        statistics = refreshed_statistics(
-            read_statistics(spark, path),
-            comments,
-            topic_map,
-            start,
-            end,
-            **stored_counts,
-        )
-    else:
-        statistics = comment_statistics(
-            comments, topic_map, start, end, **stored_counts
-        )
-    write_partitioned(
-        statistics, path, only_touched=settings.incremental, table=settings.table
-    )
-    if settings.incremental:
-        drop_vanished(spark, path, spark.read.parquet(listed), start, end)
-    drop_path(spark, scratch)
+    scratch = settings.scratch_path or shared_folder(spark, "job")
+    scratch = f"{scratch.rstrip('/')}/{uuid.uuid4().hex}"
+    try:
+        _write_statistics(spark, comments, topic_map, settings, scratch)
+    finally:
+        drop_path(spark, scratch)
     result = read_statistics(spark, path)
     if settings.audit_path is not None:
         append_audit(
             spark, settings.audit_path, _written(result, settings).first().asDict()
         )
-    return {
-        "comment_tokens": comment_tokens(comments, topic_map, start, end, **options),
-        "word_statistics": result,
-    }
+    tokens = comment_tokens(comments, topic_map, start, end, **options)
+    if settings.tokens_path is not None:
+        tokens.write.mode("overwrite").parquet(settings.tokens_path)
+        tokens = spark.read.schema(tokens.schema).parquet(settings.tokens_path)
+    return {"comment_tokens": tokens, "word_statistics": result}
+
+
+def _write_statistics(
+    spark: SparkSession,
+    comments: DataFrame,
+    topic_map: DataFrame,
+    settings: JobSettings,
+    scratch: str,
+) -> None:
+    start, end = settings.include_start_date, settings.include_end_date
+    path = settings.target_path
+    options = {**settings.options, "counts_path": f"{scratch}/counts"}
+    if not settings.incremental:
+        statistics = comment_statistics(comments, topic_map, start, end, **options)
+        write_partitioned(statistics, path, table=settings.table)
+        return
+    listed = f"{scratch}/partitions-before"
+    partitions_of_days(spark, path, start, end).write.parquet(listed)
+    before = spark.read.parquet(listed)
+    refreshed = refreshed_statistics(
+        read_statistics(spark, path), comments, topic_map, start, end, **options
+    )
+    # Partitions of later days are known already; new ones are of counted days.
+    counted = spark.read.parquet(options["counts_path"]).select(
+        "topic", F.col("date").cast("string")
+    )
+    write_partitioned(
+        refreshed, path, only_touched=True, table=settings.table, touched=counted
+    )
+    drop_vanished(spark, path, before, start, end)
+
+
+def last_audited_day(spark: SparkSession, audit_path: str | None) -> str:
+    """The latest day that the audit at ``audit_path`` says was written."""
+    if audit_path is None or not path_exists(spark, audit_path):
+        raise ValueError("an incremental run without a start needs an audit")
+    day = read_audit(spark, audit_path).agg(F.max("max_date")).first()[0]
+    if day is None:
+        raise ValueError("the audit names no day")
+    return day
 
 
 def _written(stored: DataFrame, settings: JobSettings) -> DataFrame:

@@ -22,14 +22,13 @@ from termflow.schemas import WORD_STATISTICS, enforce_schema
 
 
 def word_statistics(tokens: DataFrame) -> DataFrame:
-    """Statistics of a table of comment tokens, which is read twice."""
-    return (
-        tokens.select("date", "id", "topic", "word")
-        .withColumnRenamed("id", "comment_id")
-        .transform(add_word_counts)
-        .transform(add_rates_and_specificity)
-        .transform(_finish)
-    )
+    """Statistics of a table of comment tokens, which is read twice.
+
+    Lazy tokens are therefore computed twice; store them first, or use
+    ``comment_statistics``.
+    """
+    rates = add_rates_and_specificity(add_word_counts(tokens))
+    return _finish(rates)
 
 
 def topic_word_rates(
@@ -50,16 +49,24 @@ def topic_word_rates(
     shuffle of the counts: it does, unless the map is a cached frame.
     """
     first, last = day_bounds(start, end)
-    days = (last - first).days + 1
-    counts = comment_words(comments, topic_map, start, end, **options).transform(
-        count_topic_words
-    )
+    days = max((last - first).days + 1, 0)
+    # The map is measured here, once, for its own join and for the totals.
+    map_bytes, topic_bytes = measure_map(topic_map)
+    counts = comment_words(
+        comments,
+        topic_map,
+        start,
+        end,
+        map_bytes=map_bytes,
+        mark_repeated=True,
+        **options,
+    ).transform(count_topic_words)
     if counts_path is not None:
         counts.write.parquet(counts_path)
         reader = comments.sparkSession.read.schema(counts.schema)
         counts = reader.parquet(counts_path)
     return counts.transform(
-        add_daily_totals, days * _topic_bound(topic_map)
+        add_daily_totals, days * topic_bytes
     ).transform(add_rates_and_specificity)
 
 
@@ -84,14 +91,25 @@ def comment_statistics(
 def _finish(rates: DataFrame) -> DataFrame:
     """Rolling columns and key; unique by (topic, date, word) already."""
     return (
-        rates.transform(add_five_row_average)
+        rates.withColumn("date", F.col("date").cast("string"))
+        .transform(add_five_row_average)
         .transform(add_change_in_average)
         .transform(add_statistics_id)
         .transform(enforce_schema, WORD_STATISTICS, distinct=False)
     )
 
 
-def _topic_bound(topic_map: DataFrame) -> int:
-    """No fewer than the distinct topics of the map."""
+def measure_map(topic_map: DataFrame) -> tuple[int, int]:
+    """Bytes of the map, and of a row of totals for each of its topics.
+
+    A row of totals has the topic's name and four numbers of a day; names that
+    occur in several lists count each time, so this is an upper bound.
+    """
     commas = F.length("topics") - F.length(F.replace("topics", F.lit(",")))
-    return topic_map.agg(F.sum(commas + 1).alias("n")).first()["n"] or 0
+    text = F.coalesce(F.octet_length("topics"), F.lit(0))
+    name = F.coalesce(F.octet_length("subreddit"), F.lit(0))
+    row = topic_map.agg(
+        F.sum(text + name + 64).alias("map"),
+        F.sum(text + 64 * (F.coalesce(commas, F.lit(0)) + 1)).alias("totals"),
+    ).first()
+    return row["map"] or 0, row["totals"] or 0

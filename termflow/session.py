@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -13,7 +12,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def build_session(
     app_name: str = "termflow", master: str | None = None, **configs: str
 ) -> SparkSession:
-    """A session in UTC, in which days of epoch seconds are UTC days."""
+    """A session in UTC, so that timestamps are shown and compared in UTC."""
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
@@ -24,14 +23,13 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path under the folder the cluster shares for checkpoints.
+    """A new path in the folder that executors and driver share.
 
-    A local session without that setting gets a temporary folder. A cluster
-    must name one, since its tasks cannot see each other's disks.
+    That is ``spark.checkpoint.dir``, or a folder of the warehouse where it is
+    not set. Who asks for the path deletes it.
     """
     root = spark.conf.get(CHECKPOINT_DIR, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a shared folder")
-        root = tempfile.mkdtemp(prefix="termflow-")
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        root = f"{warehouse.rstrip('/')}/checkpoints"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

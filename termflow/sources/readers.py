@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termflow.schemas import COMMENTS, TOPIC_MAP, WORD_STATISTICS
+from termflow.schemas import AUDIT, COMMENTS, TOPIC_MAP, WORD_STATISTICS
 
 
 def read_source(
@@ -27,13 +27,24 @@ def read_source(
     return reader.load(location)
 
 
-def read_json_comments(spark: SparkSession, path: str) -> DataFrame:
+def read_json_comments(
+    spark: SparkSession, path: str, mode: str = "FAILFAST"
+) -> DataFrame:
     """The four comment fields of JSON lines, all as strings.
 
     With the schema given nothing is inferred: there is no extra pass over the
-    input, and a numeric ``created_utc`` still arrives as a string.
+    input, and a numeric ``created_utc`` still arrives as a string. A line that
+    is no JSON object fails the query; with ``mode="PERMISSIVE"`` it becomes a
+    row of NULLs, which ``corrupt_lines`` counts.
     """
-    return spark.read.schema(COMMENTS).json(path)
+    return spark.read.schema(COMMENTS).option("mode", mode).json(path)
+
+
+def corrupt_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row: the number of lines that are no JSON object (corrupt_lines)."""
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    is_object = F.from_json("value", "map<string,string>").isNotNull()
+    return lines.agg(F.count_if(~is_object).alias("corrupt_lines"))
 
 
 def read_topic_map(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +62,15 @@ def read_topic_map(spark: SparkSession, path: str) -> DataFrame:
 def read_statistics(spark: SparkSession, path: str) -> DataFrame:
     """Stored statistics; their ``date`` would otherwise be read as DATE."""
     stored = spark.read.schema(WORD_STATISTICS).parquet(path)
-    return stored.select(*WORD_STATISTICS.names)
+    # An empty topic has no directory name of its own and comes back as NULL.
+    return stored.withColumn(
+        "topic", F.coalesce("topic", F.lit(""))
+    ).select(*WORD_STATISTICS.names)
+
+
+def read_audit(spark: SparkSession, path: str) -> DataFrame:
+    """The runs that ``append_audit`` recorded."""
+    return spark.read.schema(AUDIT).parquet(path)
 
 
 def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
@@ -60,7 +79,12 @@ def table_or_none(spark: SparkSession, name: str) -> DataFrame | None:
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Listing (key, last_modified, size) of the files below a folder."""
+    """Listing (key, last_modified, size) of the files below a folder.
+
+    Spark keeps the index of the files on the driver, so this is for folders of
+    up to some million files. For a larger store read the inventory table that
+    the store writes, with ``read_source``, and select the same three columns.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -71,13 +95,3 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
         F.col("modificationTime").alias("last_modified"),
         F.col("length").alias("size"),
     )
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a plain scan out to all cores if it has fewer splits.
-
-    Meant for few large or unsplittable files, whose rows one task would
-    otherwise tokenise alone. A scan with enough splits is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -20,13 +20,15 @@ def write_partitioned(
     sort_by: Sequence[str] = ("word",),
     only_touched: bool = False,
     table: str | None = None,
+    touched: DataFrame | None = None,
 ) -> None:
     """Write parquet as ``topic=…/date=…/`` and optionally register a table.
 
     Rows are gathered per partition value, so each gets few files, but AQE
     splits a value that is too big for one task and joins small ones. Rows are
     sorted within files, which lets readers skip row groups by word.
-    ``only_touched`` replaces the partitions that occur in ``df`` and no other.
+    ``only_touched`` replaces the partitions that occur in ``df`` and no other;
+    of these the catalog learns the ones in ``touched``, by default all of them.
     """
     sorted_rows = df.hint("rebalance", *partition_by).sortWithinPartitions(
         *partition_by, *sort_by
@@ -43,11 +45,46 @@ def write_partitioned(
         writer.save(path)
     elif only_touched and df.sparkSession.catalog.tableExists(table):
         writer.save(path)
-        df.sparkSession.catalog.recoverPartitions(table)
+        values = df if touched is None else touched
+        add_partitions(df.sparkSession, table, values, partition_by)
     else:
         writer.option("path", path).saveAsTable(table)
 
 
+def add_partitions(
+    spark: SparkSession,
+    table: str,
+    touched: DataFrame,
+    partition_by: Sequence[str] = PARTITION_BY,
+    together: int = 500,
+) -> None:
+    """Make the catalog know the partitions that occur in ``touched``.
+
+    Only their values reach the driver, in batches; stored ones are not listed.
+    """
+    def quoted(value) -> str:
+        return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    batch: list[str] = []
+
+    def flush() -> None:
+        if batch:
+            spark.sql(
+                f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(batch)}"
+            )
+            batch.clear()
+
+    for row in touched.select(*partition_by).distinct().toLocalIterator():
+        values = ", ".join(
+            f"{name} = {'NULL' if row[name] in (None, '') else quoted(row[name])}"
+            for name in partition_by
+        )
+        batch.append(f"PARTITION ({values})")
+        if len(batch) == together:
+            flush()
+    flush()
+
+
 def write_topic_map(topic_map: DataFrame, path: str) -> None:
     """CSV with a header and no index column; topic lists hold commas."""
     topic_map.select("topics", "subreddit").write.mode("overwrite").options(
@@ -70,8 +107,21 @@ def append_audit(spark: SparkSession, path: str, run: dict) -> None:
     ).parquet(path)
 
 
-def drop_path(spark: SparkSession, path: str) -> bool:
-    """Delete a file or folder through Hadoop's file system API."""
+# Hadoop's file system, which Python reaches through the JVM gateway only: these
+# two do not work over Spark Connect.
+
+
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark._jsc.hadoopConfiguration()
-    return target.getFileSystem(conf).delete(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Delete a file or folder."""
+    system, target = _file_system(spark, path)
+    return system.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)

@@ -58,7 +58,9 @@ def refreshed_statistics(
     first change is taken from what is stored.
     """
     first, last = (str(day) for day in day_bounds(start, end))
-    changed = topic_word_rates(comments, topic_map, start, end, **options)
+    changed = topic_word_rates(
+        comments, topic_map, start, end, **options
+    ).withColumn("date", F.col("date").cast("string"))
     later = stored.where(F.col("date") > last).drop("id", AVERAGE, CHANGE)
     seeds = last_rows_before(stored, first)
     rows = changed.unionByName(later).unionByName(
@@ -73,37 +75,44 @@ def refreshed_statistics(
     )
 
 
-def files_of_days(
+def partitions_of_days(
     spark: SparkSession, path: str, start: Bound, end: Bound
 ) -> DataFrame:
-    """Paths (file) of the stored files of a range of days."""
+    """Folders (folder) of the stored partitions of a range of days."""
     first, last = (str(day) for day in day_bounds(start, end))
     return (
         read_statistics(spark, path)
         .where(F.col("date").between(first, last))
-        .select(F.col("_metadata.file_path").alias("file"))
+        .select(
+            F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"),
+            F.col("_metadata.file_path").alias("file"),
+        )
         .distinct()
     )
 
 
-def drop_vanished(
-    spark: SparkSession,
-    path: str,
-    files_before: DataFrame,
-    start: Bound,
-    end: Bound,
-) -> int:
-    """Delete files of a range of days that a rewrite left in place.
+def vanished_partitions(
+    spark: SparkSession, path: str, before: DataFrame, start: Bound, end: Bound
+) -> list[str]:
+    """Folders of a range of days whose files a rewrite left as they were.
 
     Replacing only touched partitions keeps those of a topic and day that has
-    no comments any more. Their files are the ones that were there before; they
-    alone reach the driver, one after the other.
+    no comments any more. One path for each such partition reaches the driver.
     """
-    stale = files_of_days(spark, path, start, end).join(
-        files_before, "file", "left_semi"
+    left = partitions_of_days(spark, path, start, end).join(
+        before.select("file"), "file", "left_semi"
     )
-    # The file paths are URIs: percent signs of directory names come encoded.
+    # File paths are URIs: percent signs of directory names come encoded.
+    return [
+        unquote(row["folder"]) for row in left.select("folder").distinct().collect()
+    ]
+
+
+def drop_vanished(
+    spark: SparkSession, path: str, before: DataFrame, start: Bound, end: Bound
+) -> int:
+    """Delete the vanished partitions, a folder at a time."""
     return sum(
-        drop_path(spark, unquote(row["file"]))
-        for row in stale.toLocalIterator()
+        drop_path(spark, folder)
+        for folder in vanished_partitions(spark, path, before, start, end)
     )

@@ -14,10 +14,10 @@ from termflow.plans.word_statistics import comment_statistics
 from termflow.schemas import COMMENTS, TOPIC_MAP
 from termflow.session import shared_folder
 from termflow.sources.readers import (
+    corrupt_lines,
     read_json_comments,
     read_source,
     read_statistics,
-    spread,
     table_or_none,
 )
 from termflow.sources.writers import write_partitioned
@@ -123,15 +123,6 @@ def test_shared_folder_is_the_configured_one(spark):
     assert one.startswith(root + "/x-") and one != two
 
 
-def test_spread(spark, tmp_path):
-    path = str(tmp_path / "one")
-    spark.range(10).coalesce(1).write.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.read.parquet(path)).rdd.getNumPartitions() == cores
-    many = spark.range(0, 10, 1, cores + 1)
-    assert spread(many) is many
-
-
 def full_and_refreshed(spark, tmp_path, before, after, topic_map, start, end):
     """Statistics after a refresh, and those of a full run over ``after``."""
     path = str(tmp_path / "target")
@@ -172,3 +163,61 @@ def test_refresh_drops_partitions_without_comments(spark, tmp_path):
     )
     assert refreshed == full
     assert not any(row[3] == "2022-01-05" for row in refreshed)
+
+
+def test_refresh_with_an_empty_topic_equals_full_run(spark, tmp_path):
+    comments, _ = random_comments(spark, 14, 200)
+    topic_map = spark.createDataFrame([("c0", "food,"), ("c1", "nuts")], TOPIC_MAP)
+    before = in_days(comments, "2022-01-01", "2022-01-05")
+    refreshed, full = full_and_refreshed(
+        spark, tmp_path, before, comments, topic_map, "2022-01-06", "2023-01-01"
+    )
+    assert refreshed == full
+    assert any(row[1] == "" and row[-1] is not None for row in full)
+
+
+def test_incremental_run_on_an_empty_target_is_a_full_one(spark, comments, topic_map, tmp_path):
+    settings = JobSettings(START, END, str(tmp_path / "out"), incremental=True)
+    result = run_job(spark, comments, topic_map, settings)["word_statistics"]
+    assert rows(result, *GOLDEN_COLUMNS) == sorted(GOLDEN, key=repr)
+
+
+def test_incremental_run_starts_from_the_audit(spark, comments, topic_map, tmp_path):
+    target, audit = str(tmp_path / "out"), str(tmp_path / "audit")
+    late = JobSettings(None, END, target, audit_path=audit, incremental=True)
+    with pytest.raises(ValueError):
+        run_job(spark, comments, topic_map, late)
+    first = JobSettings(START, "2022-01-01", target, audit_path=audit)
+    run_job(spark, comments, topic_map, first)
+    result = run_job(spark, comments, topic_map, late)["word_statistics"]
+    assert rows(result, *GOLDEN_COLUMNS) == sorted(GOLDEN, key=repr)
+    assert rows(spark.read.parquet(audit), "min_date", "max_date") == [
+        ("2022-01-01", "2022-01-01"),
+        ("2022-01-01", "2022-01-02"),
+    ]
+
+
+def test_scratch_is_deleted_when_a_run_fails(spark, comments, topic_map, tmp_path):
+    scratch = tmp_path / "scratch"
+    blocked = tmp_path / "file"
+    blocked.write_text("")
+    settings = JobSettings(START, END, str(blocked / "out"), scratch_path=str(scratch))
+    with pytest.raises(Exception):
+        run_job(spark, comments, topic_map, settings)
+    assert list(scratch.glob("*")) == []
+
+
+def test_stored_tokens(spark, comments, topic_map, tmp_path):
+    path = str(tmp_path / "tokens")
+    settings = JobSettings(START, END, str(tmp_path / "out"), tokens_path=path)
+    result = run_job(spark, comments, topic_map, settings)
+    assert rows(spark.read.parquet(path)) == rows(result["comment_tokens"])
+
+
+def test_malformed_lines_fail_or_are_counted(spark, tmp_path):
+    path = str(tmp_path / "c.json")
+    (tmp_path / "c.json").write_text('{"author": "a", "body": "x"}\nnot json\n\n')
+    with pytest.raises(Exception):
+        read_json_comments(spark, path).collect()
+    assert read_json_comments(spark, path, mode="PERMISSIVE").count() == 2
+    assert corrupt_lines(spark, path).first()[0] == 1

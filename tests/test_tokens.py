@@ -12,25 +12,33 @@ from termflow.operators import tokens as W
 from termflow.plans.comment_tokens import comment_tokens
 from termflow.schemas import COMMENT_TOKENS, COMMENTS, TOPIC_MAP
 
-# Words of each comment in range, and its topics.
+# Id, topic, word and day of each token in range.
 GOLDEN = [
-    ("edgelord_1640995200", "2022-01-01", ["fruit", "food"], ["pecan", "cherry", "banana"]),
-    ("fruitposter_1641081600", "2022-01-02", ["fruit", "food"], ["pecan", "cherry", "apple"]),
-    ("lovenuts_1640995200", "2022-01-01", ["nuts", "food"], ["walnut", "pecan"]),
-    ("nutlord_1640995200", "2022-01-01", ["nuts", "food"], ["walnut", "pecan"]),
+    ("edgelord_1640995200", "fruit", "pecan", "2022-01-01"),
+    ("edgelord_1640995200", "fruit", "cherry", "2022-01-01"),
+    ("edgelord_1640995200", "fruit", "banana", "2022-01-01"),
+    ("edgelord_1640995200", "food", "pecan", "2022-01-01"),
+    ("edgelord_1640995200", "food", "cherry", "2022-01-01"),
+    ("edgelord_1640995200", "food", "banana", "2022-01-01"),
+    ("fruitposter_1641081600", "fruit", "pecan", "2022-01-02"),
+    ("fruitposter_1641081600", "fruit", "cherry", "2022-01-02"),
+    ("fruitposter_1641081600", "fruit", "apple", "2022-01-02"),
+    ("fruitposter_1641081600", "food", "pecan", "2022-01-02"),
+    ("fruitposter_1641081600", "food", "cherry", "2022-01-02"),
+    ("fruitposter_1641081600", "food", "apple", "2022-01-02"),
+    ("lovenuts_1640995200", "nuts", "walnut", "2022-01-01"),
+    ("lovenuts_1640995200", "nuts", "pecan", "2022-01-01"),
+    ("lovenuts_1640995200", "food", "walnut", "2022-01-01"),
+    ("lovenuts_1640995200", "food", "pecan", "2022-01-01"),
+    ("nutlord_1640995200", "nuts", "walnut", "2022-01-01"),
+    ("nutlord_1640995200", "nuts", "pecan", "2022-01-01"),
+    ("nutlord_1640995200", "food", "walnut", "2022-01-01"),
+    ("nutlord_1640995200", "food", "pecan", "2022-01-01"),
 ]
 
 
 def golden_tokens():
-    return sorted(
-        (
-            (key, topic, word, day)
-            for key, day, topics, words in GOLDEN
-            for topic in topics
-            for word in words
-        ),
-        key=repr,
-    )
+    return sorted(GOLDEN, key=repr)
 
 
 def bodies(spark, *texts):
@@ -145,8 +153,10 @@ def test_null_author_gives_null_id(spark):
         (" 1640995200 ", date(2022, 1, 1)),
         ("-1", date(1969, 12, 31)),
         ("0", date(1970, 1, 1)),
+        ("253402214400", date(9999, 12, 31)),
         ("soon", None),
         ("", None),
+        ("9223372036854775808", None),
         ("1e9", None),
         ("99999999999999999999", None),
         (None, None),
@@ -157,6 +167,17 @@ def test_epoch_day(spark, text, day):
     assert df.select(epoch_day("created_utc")).first()[0] == day
 
 
+def test_days_of_long_epochs(spark):
+    """Milliseconds taken for seconds give a day too, in any time zone."""
+    df = spark.createDataFrame([("1640995200000",), ("-1640995200001",)], "s string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    for zone in ("UTC", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        days = df.select(F.unix_date(epoch_day("s"))).collect()
+        assert [r[0] for r in days] == [18993000, -18993001]
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_day_bounds_take_days_as_midnight():
     one, two = date(2022, 1, 1), date(2022, 1, 2)
     assert day_bounds("2022-01-01", datetime(2022, 1, 2)) == (one, two)
