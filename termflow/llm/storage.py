@@ -2,25 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-CHECKPOINT_DIR = "spark.checkpoint.dir"
-
+from termflow.session import shared_folder
 
-def new_folder(spark: SparkSession, name: str) -> str:
-    """An unused path below ``spark.checkpoint.dir``.
-
-    Only where that setting is absent, as in tests, a folder of this machine
-    is made and kept as the session's setting.
-    """
-    root = spark.conf.get(CHECKPOINT_DIR, None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="checkpoints-")
-        spark.conf.set(CHECKPOINT_DIR, root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+new_folder = shared_folder
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
