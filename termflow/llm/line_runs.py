@@ -262,6 +262,5 @@ def line_runs_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         "lines.n_lines",
         "lines.n_removed",
-        "lines.longest_run",
         F.sha2("text", 256).alias("kept_sha256"),
     )

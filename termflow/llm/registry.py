@@ -6,6 +6,7 @@ from termflow.llm.jaccard_join import jaccard_query
 from termflow.llm.language import language_query
 from termflow.llm.line_runs import line_runs_query
 from termflow.llm.main_text import main_text_query
+from termflow.llm.oracles import ORACLES
 from termflow.llm.packing import packing_query
 from termflow.llm.prefix_tokens import prefix_tokens_query
 from termflow.llm.quality import quality_query
@@ -25,4 +26,3 @@ QUERIES = {
     "op9_line_block_main_text": main_text_query,
     "op10_distribution_quality": quality_query,
 }
-ORACLES: dict[str, str] = {}
