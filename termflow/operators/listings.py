@@ -12,9 +12,9 @@ from termflow.functions.paths import partition_value
 
 PERCENTS = (10, 25, 50, 75, 90)
 
-# Bits below each of the three digits by which a 64-bit size is narrowed down:
-# at most 2**24 values in the first, 2**20 in the others.
-DIGIT_SHIFTS = (40, 20, 0)
+# Bits below each of the four digits by which a 64-bit size is narrowed down: at
+# most 2**16 values in each, so no window spans more rows.
+DIGIT_SHIFTS = (48, 32, 16, 0)
 
 
 def freshness_counts(
