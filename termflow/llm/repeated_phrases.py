@@ -81,17 +81,18 @@ def in_blocks(docs: DataFrame, row: str, block: str) -> DataFrame:
     return spark.table(table)
 
 
-def fingerprints(words: np.ndarray) -> np.ndarray:
-    """Places of phrases that are the least of some window's phrases."""
+def fingerprints(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Phrases that are the least of some window's phrases: places and keys."""
     phrases = window_hashes(words, PHRASE)
     count = len(phrases) - RUN + 1
     if count <= 0:
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, U64)
     views = np.lib.stride_tricks.sliding_window_view
     least = views(phrases, RUN).min(axis=1)
     # A phrase is the least of one of its windows if it is the largest minimum.
     padded = np.concatenate([np.zeros(RUN - 1, U64), least, np.zeros(RUN - 1, U64)])
-    return np.flatnonzero(views(padded, RUN).max(axis=1) == phrases)
+    at = np.flatnonzero(views(padded, RUN).max(axis=1) == phrases)
+    return at, phrases[at]
 
 
 def window_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,9 +221,8 @@ def confirmed_phrases(table: DataFrame, row: str, block: str) -> DataFrame:
             for number, own, text in zip(batch[0], batch[1], batch[2]):
                 data = encoded(text.as_py())
                 words = hashed_spans(data, *word_spans(data))
-                at = fingerprints(words)
-                if len(at):
-                    keys = window_hashes(words, PHRASE)[at]
+                keys = fingerprints(words)[1]
+                if len(keys):
                     entries.add(own.as_py(), keys, keys, 0, number.as_py())
                 if entries.size >= TOGETHER:
                     yield entries.batch()
@@ -263,18 +263,17 @@ def located(texts: list[bytes], confirmed: np.ndarray) -> list[np.ndarray]:
     spans, plain = [], []
     for data in texts:
         starts, ends = word_spans(data)
-        words = hashed_spans(data, starts, ends)
-        at = fingerprints(words)
+        at, keys = fingerprints(hashed_spans(data, starts, ends))
         if len(at):
-            at = at[found_in(confirmed, window_hashes(words, PHRASE)[at])[0]]
+            at = at[found_in(confirmed, keys)[0]]
         # Bytes as letters, every word between single spaces.
-        letters = data.decode("latin-1")
-        parts = [letters[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+        text = " " + b" ".join(data.split()).decode("latin-1") + " "
+        begins = np.cumsum(ends - starts + 1)
+        begins = np.concatenate(([0], begins))  # of the space before each word
         for k in at.tolist():
-            automaton.add_word(" " + " ".join(parts[k : k + PHRASE]) + " ")
-        plain.append(" " + " ".join(parts) + " ")
-        lengths = ends - starts + 1
-        spans.append(np.cumsum(lengths) - lengths)
+            automaton.add_word(text[begins[k] : begins[k + PHRASE] + 1])
+        plain.append(text)
+        spans.append(begins[:-1])
     if not len(automaton):
         return [np.zeros(0, np.int64) for _ in texts]
     automaton.make_automaton()
@@ -413,8 +412,11 @@ def without_repeated_phrases(docs: DataFrame, info: str | None = None) -> DataFr
             np.add.at(change, later, 1)
             np.add.at(change, later + WINDOW, -1)
             removed = np.cumsum(change)[:-1] > 0
-            kept_text, words_text = cut(data, removed, starts, ends)
-            texts.append(kept_text if len(later) else text)
+            if len(later):
+                text, words_text = cut(data, removed, starts, ends)
+            else:
+                words_text = b" ".join(data.split()).decode()
+            texts.append(text)
             infos.append(
                 {
                     "n_words": len(starts),
