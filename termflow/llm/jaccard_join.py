@@ -367,7 +367,12 @@ def central_pairs(rows: DataFrame) -> DataFrame:
 
 
 def hidden_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of different components that may share enough."""
+    """Pairs of different components that may share enough.
+
+    All sets leave out rows in one order of least sets. So the set that goes on
+    longer has left out every common least set that is not in ``kept``, those that
+    only the other one kept included; its ``dropped`` bounds them.
+    """
     rows = stored(
         rows.withColumn("apart", F.col("label") != F.col("least_label")), "rows"
     )
@@ -381,7 +386,7 @@ def hidden_pairs(rows: DataFrame) -> DataFrame:
         )
         .agg(
             F.sum(F.least("x.n", "y.n")).alias("kept"),
-            F.min(F.least("x.dropped", "y.dropped")).alias("dropped"),
+            F.max(F.greatest("x.dropped", "y.dropped")).alias("dropped"),
             F.max(F.greatest("x.remaining", "y.remaining")).alias("remaining"),
         )
         .where("kept + dropped > remaining")

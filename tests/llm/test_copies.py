@@ -9,8 +9,11 @@ import pytest
 from termflow.llm.components import components
 from termflow.llm.jaccard_join import (
     first_of_each_group,
+    hidden_pairs,
     jaccard_query,
+    labelled_rows,
     near_documents,
+    rare_rows,
 )
 from termflow.llm.line_runs import line_runs_query, without_repeated_runs
 from termflow.llm.quantised import near_vectors, near_vectors_query
@@ -150,6 +153,22 @@ def test_jaccard_join_of_chains_and_shared_passages(spark):
     assert found == plain_components(rows)
 
 
+def test_hidden_pairs_of_a_hot_least_set_that_one_side_drops(spark):
+    """Sets 100 and 101 share 14 units, 13 of them by the hot least set 1."""
+    stars = [(1, 100, 14), (2, 100, 1), (1, 101, 13), (2, 101, 1)]
+    stars += [(1, b, 20) for b in range(200, 220)]
+    stars = spark.createDataFrame(
+        [(a, b, False, n, 13) for a, b, n in stars],
+        "a bigint, b bigint, in_batch boolean, n bigint, remaining bigint",
+    )
+    rows = rare_rows(stars)
+    dropped = {r["b"]: r["dropped"] for r in rows.collect()}
+    assert (dropped[100], dropped[101]) == (0, 13)
+    labels = spark.createDataFrame([], "node bigint, component bigint")
+    found = hidden_pairs(labelled_rows(rows, labels)).collect()
+    assert (100, 101) in {(r["a"], r["b"]) for r in found}
+
+
 def test_segments_find_every_pair_in_reach():
     """Sets at the limit share a signature in a scheme both are indexed in."""
     rng = np.random.default_rng(3)
