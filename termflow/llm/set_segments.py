@@ -13,8 +13,10 @@ The allocation chooses by cost how many segments have neighbourhoods. The
 schemes tolerate ``slack`` more differences than needed, in units of one per
 segment and two per segment with a neighbourhood. Linked sets therefore share
 signatures of more than ``slack`` units. A set leaves out the empty subset, which
-many have, if that costs it no more; both then leave out the same, and share more
-units than either has left.
+many have, if that costs it no more. What both would leave out is in the omissions
+of either, so two sets that do share more units than either has left. If only one
+does, they share more than that one has left, and nothing is sure of the other's
+slack; a set that leaves out nothing therefore has 0 left.
 """
 
 from __future__ import annotations
@@ -105,7 +107,7 @@ def signatures(
     if left < 0:
         names.append(poor)
         totals.append(np.zeros(len(poor), U64))
-        left = plan.slack
+        left = 0  # the other set may have omitted up to its slack
     name, total = np.concatenate(names), np.concatenate(totals)
     units = 1 + (name < plan.neighbourhoods)
     found = mixed(total + mixed((name.astype(U64) + U64(1)) * salt))

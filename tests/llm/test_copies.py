@@ -21,7 +21,7 @@ from termflow.llm.repeated_phrases import (
     repeated_phrases_query,
     without_repeated_phrases,
 )
-from termflow.llm.set_segments import bands, scheme, signatures
+from termflow.llm.set_segments import band_of, bands, scheme, signatures
 from termflow.llm.shingles import shingle_set, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -189,6 +189,27 @@ def test_segments_find_every_pair_in_reach():
             assert any(len(m) for m in met), (size, gone, new)
 
 
+def test_sets_at_the_limit_share_more_units_than_either_has_left():
+    rng = np.random.default_rng(11)
+    lost = []
+    for size in range(6, 61):
+        gone, new = max(
+            (g, n)
+            for g in range(size // 5 + 1)
+            for n in range(size // 4 + 1)
+            if 100 * (size - g) >= 80 * (size + n)
+        )
+        for _ in range(400):
+            pool = rng.integers(0, 1 << 62, size + new).astype(np.uint64)
+            a, b = pool[:size], pool[gone:]
+            band = band_of(min(len(a), len(b)))
+            assert band in bands(len(a)) and band in bands(len(b))
+            (x, units, left), (y, _, other) = signatures(a, band), signatures(b, band)
+            if units[np.isin(x, y)].sum() <= max(left, other):
+                lost.append((size, gone, new))
+    assert not lost
+
+
 def test_schemes_cover_sizes_and_tolerate_enough():
     high = 0
     for band in range(25):
