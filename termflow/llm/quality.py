@@ -6,8 +6,11 @@ words are compared with those of its language by Jensen-Shannon distance (the
 root of the divergence to base 2, so 0 to 1). A language's reference is the mean
 histogram of all its documents that pass the base rules and are long enough; a
 language with fewer than ``LEAST_DOCUMENTS`` of them, or NULL, is compared with
-the mean of all. Histograms are kept in millionths as whole numbers, so the sums
-do not depend on the order of rows. Too short documents are not compared.
+the mean of all. Common words are a small share of any text, so their distances
+have no fixed limit: it is ``WORD_SPREAD`` times the mean distance that the
+documents behind a reference have from it. Histograms and distances are summed in
+millionths as whole numbers, so the sums do not depend on the order of rows. Too
+short documents are not compared.
 
 Native expressions only. Windows are compared by 64-bit hashes of their words.
 
@@ -34,7 +37,8 @@ LEAST_CHARS_COMPARED = 200
 LEAST_WORDS_COMPARED = 50
 LEAST_DOCUMENTS = 20
 MOST_CLASS_DISTANCE = 0.35
-MOST_WORD_DISTANCE = 0.75
+#: Word distances up to so many times the mean one of the reference are kept.
+WORD_SPREAD = 2
 #: References of so many languages are sent to all tasks; more are joined.
 MOST_BROADCAST = 2000
 WHOLE = 1_000_000
@@ -261,14 +265,59 @@ def references(measured: DataFrame, name: str) -> DataFrame:
     return both.select("lang", *arrays)
 
 
+def with_spreads(refs: DataFrame, measured: DataFrame, name: str) -> DataFrame:
+    """The references with spread: mean word distance of their own documents."""
+    m = F.col(name)
+    words = measured.where(
+        ~m["base_failed"] & m["classes"].isNotNull() & m["common"].isNotNull()
+    ).select(m["lang"].alias("of_lang"), m["common"].alias("common"))
+    whole = F.broadcast(
+        refs.where("lang is null").select(F.col("ref_common").alias("whole"))
+    )
+    own = refs.where("lang is not null").select("lang", "ref_common")
+    if own.count() <= MOST_BROADCAST:
+        own = F.broadcast(own)
+
+    def millionths(to: str) -> Column:
+        far = distance(F.col("common"), F.col(to))
+        return F.when(F.col(to).isNotNull(), F.round(far * WHOLE).cast("bigint"))
+
+    sums = (
+        words.crossJoin(whole)
+        .join(own, F.col("of_lang") == F.col("lang"), "left")
+        .select(
+            "lang",
+            millionths("ref_common").alias("own"),
+            millionths("whole").alias("whole"),
+        )
+        .groupBy("lang")
+        .agg(
+            F.count("*").alias("n"),
+            F.sum("own").alias("own"),
+            F.sum("whole").alias("whole"),
+        )
+    )
+    sums = stored(sums, "spreads")
+    mean = lambda total, n: F.col(total) / F.col(n) / WHOLE
+    spreads = sums.where("lang is not null").select("lang", mean("own", "n").alias("spread"))
+    of_all = sums.agg(F.sum("whole").alias("whole"), F.sum("n").alias("n")).select(
+        F.lit(None).cast("string").alias("lang"), mean("whole", "n").alias("spread")
+    )
+    spreads = spreads.unionByName(of_all).withColumnRenamed("lang", "spread_lang")
+    return refs.join(
+        spreads, F.col("lang").eqNullSafe(F.col("spread_lang")), "left"
+    ).drop("spread_lang")
+
+
 def judge(measured: DataFrame, name: str) -> DataFrame:
-    """Add class_distance, word_distance and kept to the struct."""
+    """Add class_distance, word_distance, word_limit and kept to the struct."""
     refs = stored(references(measured, name), "references")
+    refs = stored(with_spreads(refs, measured, name), "references")
     whole = refs.where("lang is null").first()
     ref = free_name(measured, "reference")
     refs = refs.where("lang is not null").select(
         F.col("lang").alias(ref),
-        F.struct("ref_classes", "ref_common").alias(ref + "s"),
+        F.struct("ref_classes", "ref_common", "spread").alias(ref + "s"),
     )
     if refs.count() <= MOST_BROADCAST:
         refs = F.broadcast(refs)
@@ -281,15 +330,18 @@ def judge(measured: DataFrame, name: str) -> DataFrame:
     def far(kind: str) -> Column:
         return F.when(m[kind].isNotNull(), distance(m[kind], of(kind)))
 
+    # Without a base-passed document there is no spread, and none is kept.
+    spread = F.coalesce(r["spread"], F.lit(float(whole["spread"] or 0.0)))
     own = [x for x in measured.columns if x != name]
     judged = measured.join(refs, m["lang"] == F.col(ref), "left").select(
         *map(quoted, own),
         m.withField("class_distance", far("classes"))
         .withField("word_distance", far("common"))
+        .withField("word_limit", WORD_SPREAD * spread)
         .alias(name),
     )
     too_far = (F.coalesce(m["class_distance"], F.lit(0.0)) > MOST_CLASS_DISTANCE) | (
-        F.coalesce(m["word_distance"], F.lit(0.0)) > MOST_WORD_DISTANCE
+        F.coalesce(m["word_distance"], F.lit(0.0)) > m["word_limit"]
     )
     return judged.withColumn(
         name, m.withField("kept", ~m["base_failed"] & ~too_far)

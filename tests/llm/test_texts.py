@@ -80,6 +80,36 @@ def test_quality_verdict(prose):
     assert far[0] < 0.15 < 0.35 < far[100] <= 1
 
 
+def test_quality_rejects_texts_without_the_words_of_their_language(spark):
+    """A menu and a text in another language than its own; classes are close."""
+    rng = random.Random(13)
+    plain = ["".join(rng.choices("abcdefghilmnoprstu", k=6)) for _ in range(400)]
+    known = {
+        "en": "the of and to in is that for".split(),
+        "de": "der die und den das ist nicht mit".split(),
+    }
+
+    def text(lang):
+        words = [
+            rng.choice(known[lang] if rng.random() < 0.15 else plain)
+            for _ in range(300)
+        ]
+        return " ".join(words)
+
+    rows = [(k, text(lang), lang) for k in range(60) for lang in [("en", "de")[k % 2]]]
+    rows += [
+        (100, " | ".join(rng.choices(plain, k=150)), "en"),
+        (101, text("de"), "en"),
+        (102, text("en"), None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    judged = {r["doc_id"]: r["q"] for r in judged_documents(docs, "q").collect()}
+    assert all(q["class_distance"] < 0.35 for q in judged.values())
+    assert not any(q["base_failed"] for q in judged.values())
+    kept = {k for k, q in judged.items() if q["kept"]}
+    assert kept == {*range(60), 102}
+
+
 def test_quality_keeps_columns(odd_documents, no_documents, clashing):
     docs = clashing(odd_documents)
     assert keep_good_documents(docs).columns == docs.columns
