@@ -95,8 +95,82 @@ LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
 USING (vec_id)
 """
 
+EXACT_COPIES = r"""
+WITH plain AS (
+    SELECT doc_id, length(coalesce(text, '')) AS n_chars,
+           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+    FROM documents),
+ranked AS (
+    SELECT doc_id, norm,
+           row_number() OVER best AS nth,
+           first_value(doc_id) OVER best AS keep_id,
+           count(*) OVER (PARTITION BY norm) AS group_size
+    FROM plain
+    WINDOW best AS (PARTITION BY norm ORDER BY n_chars DESC, doc_id))
+SELECT doc_id, keep_id, group_size, nth = 1 AS kept, sha256(norm) AS text_sha256
+FROM ranked
+"""
+
+#: A round assigns parts (r) and takes floors of means; floors go down.
+_ASSIGNED = """
+assigned_{r} AS (
+    SELECT row_no, part, entry, square FROM (
+        SELECT p.row_no, p.part, b.entry, sum((p.x - b.x) * (p.x - b.x)) AS square,
+               row_number() OVER (PARTITION BY p.row_no, p.part ORDER BY
+                   sum((p.x - b.x) * (p.x - b.x)), b.entry) AS nth
+        FROM placed p JOIN book_{r} b USING (part, place)
+        GROUP BY p.row_no, p.part, b.entry) WHERE nth = 1)"""
+_BOOK = """
+book_{next} AS (
+    SELECT part, entry, place,
+           coalesce((total - ((total % n) + n) % n) // n, x) AS x
+    FROM book_{r} LEFT JOIN (
+        SELECT part, entry, place, CAST(sum(x) AS BIGINT) AS total, count(*) AS n
+        FROM assigned_{r} JOIN placed USING (row_no, part)
+        GROUP BY part, entry, place) USING (part, entry, place))"""
+
+GRID_CODES = (
+    """
+WITH fitting AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding,
+        lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+numbered AS (
+    SELECT *, row_number() OVER (ORDER BY vec_id, v) AS row_no FROM fitting),
+spread AS (
+    SELECT row_no, generate_subscripts(v, 1) - 1 AS spot, len(v) // 16 AS wide,
+           CAST(floor(256 * unnest(v)) AS BIGINT) AS x
+    FROM numbered),
+placed AS (
+    SELECT row_no, spot // wide AS part, spot % wide AS place, x FROM spread),
+book_0 AS (
+    SELECT part, row_no - 1 AS entry, place, x FROM placed WHERE row_no <= 64),"""
+    + ",".join(
+        (_ASSIGNED + "," + _BOOK).format(r=r, next=r + 1) for r in range(2)
+    )
+    + ","
+    + _ASSIGNED.format(r=2)
+    + """,
+coded AS (
+    SELECT row_no, string_agg(printf('%02x', entry), '' ORDER BY part) AS code,
+           CAST(sum(square) AS BIGINT) AS error
+    FROM assigned_2 GROUP BY row_no),
+summed AS (
+    SELECT label, CAST(sum(error) AS BIGINT) AS label_error
+    FROM coded JOIN numbered USING (row_no) GROUP BY label)
+SELECT vec_id, code, error, label_error, (
+           SELECT sha256(string_agg(CAST(x AS VARCHAR), ','
+                         ORDER BY part, entry, place)) FROM book_2)
+       AS codebooks_sha256
+FROM coded JOIN numbered USING (row_no)
+JOIN summed ON numbered.label IS NOT DISTINCT FROM summed.label
+"""
+)
+
 ORACLES = {
     "op2_suffix_line_runs": LINE_RUNS,
     "op5_repeated_phrase_automata": REPEATED_PHRASES,
     "op7_quantised_near_vectors": NEAR_VECTORS,
+    "op11_extendible_hash_copies": EXACT_COPIES,
+    "op12_memoised_grid_codes": GRID_CODES,
 }
