@@ -489,9 +489,11 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT list_sort(list(CAST(round(l_extendedprice * 100)
                                              AS BIGINT))) AS s
                   FROM lineitem)""",
-        "catalog_table": f"""
-            SELECT * FROM ({chat_statistics})
-            WHERE date BETWEEN '2024-01-01' AND '2024-01-03'""",
+        "catalog_table": chat_statistics,
+        "late_days": chat_statistics,
+        "token_store": after(
+            CHAT_STEPS, "tokens", "SELECT id, topic, word, date FROM tokens"
+        ),
         "optional_table": """
             SELECT n_nationkey, n_name, true AS was_absent FROM nation""",
         "audit_record": f"""

@@ -42,6 +42,7 @@ from termflow.sources.readers import (
     read_json_comments,
     read_source,
     read_statistics,
+    read_tokens,
     read_topic_map,
     table_or_none,
 )
@@ -349,6 +350,36 @@ def incremental_equals_full(spark, sf_dir):
     return run_job(spark, comments, topic_map, late)["word_statistics"]
 
 
+@query
+def late_days(spark, sf_dir):
+    """A third of three days' comments come late; only these are refreshed."""
+    comments, topic_map, *_ = chat(spark, sf_dir)
+    path = shared_folder(spark, "late")
+    second = F.col("created_utc").cast("bigint")
+    day = F.date_from_unix_date(F.floor(second / 86400).cast("int"))
+    on_time = comments.where(
+        ~day.between("2024-01-10", "2024-01-12") | (second % 3 != 0)
+    )
+    run_job(spark, on_time, topic_map, JobSettings(FIRST, LAST, path))
+    late = JobSettings("2024-01-10", "2024-01-12", path, incremental=True)
+    return run_job(spark, comments, topic_map, late)["word_statistics"]
+
+
+@query
+def token_store(spark, sf_dir):
+    """Tokens of a full run, after a refresh of its last days and further ones."""
+    comments, topic_map, *_ = chat(spark, sf_dir)
+    folder = shared_folder(spark, "tokens")
+    target, tokens = f"{folder}/statistics", f"{folder}/tokens"
+    second = F.col("created_utc").cast("bigint")
+    first = JobSettings(FIRST, "2024-01-20", target, tokens_path=tokens)
+    run_job(spark, comments.where(second % 7 != 0), topic_map, first)
+    for start, end in (("2024-01-12", LAST), (FIRST, "2024-01-11")):
+        more = JobSettings(start, end, target, tokens_path=tokens, incremental=True)
+        run_job(spark, comments, topic_map, more)
+    return read_tokens(spark, tokens)
+
+
 # Topic map
 
 
@@ -441,15 +472,13 @@ def topic_map_csv(spark, sf_dir):
 
 @query
 def catalog_table(spark, sf_dir):
-    """Statistics as a catalog table: two days first, then one more."""
+    """Statistics as a catalog table: half the days first, then the others."""
     comments, topic_map, *_ = chat(spark, sf_dir)
     path = shared_folder(spark, "table")
     name = "statistics_" + path.rsplit("-", 1)[1]
-    first = JobSettings(FIRST, "2024-01-02", path, table=name)
+    first = JobSettings(FIRST, "2024-01-15", path, table=name)
     run_job(spark, comments, topic_map, first)
-    more = JobSettings(
-        "2024-01-03", "2024-01-03", path, table=name, incremental=True
-    )
+    more = JobSettings("2024-01-16", LAST, path, table=name, incremental=True)
     run_job(spark, comments, topic_map, more)
     spark.catalog.refreshTable(name)
     return read_source(spark, name, "table").select(*WORD_STATISTICS.names)

@@ -12,11 +12,17 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def build_session(
     app_name: str = "termflow", master: str | None = None, **configs: str
 ) -> SparkSession:
-    """A session in UTC, so that timestamps are shown and compared in UTC."""
+    """A session in UTC, so that timestamps are shown and compared in UTC.
+
+    Values of partition folders stay strings, as ``date`` is in all tables here.
+    """
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
     builder = builder.config("spark.sql.session.timeZone", "UTC")
+    builder = builder.config(
+        "spark.sql.sources.partitionColumnTypeInference.enabled", "false"
+    )
     for key, value in configs.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

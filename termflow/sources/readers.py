@@ -6,7 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from termflow.schemas import AUDIT, COMMENTS, TOPIC_MAP, WORD_STATISTICS
+from termflow.schemas import (
+    AUDIT,
+    COMMENT_TOKENS,
+    COMMENTS,
+    TOPIC_MAP,
+    WORD_STATISTICS,
+)
 
 
 def read_source(
@@ -68,6 +74,12 @@ def read_statistics(spark: SparkSession, path: str) -> DataFrame:
     ).select(*WORD_STATISTICS.names)
 
 
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """Stored tokens; their ``date`` would otherwise be read as DATE."""
+    stored = spark.read.schema(COMMENT_TOKENS).parquet(path)
+    return stored.select(*COMMENT_TOKENS.names)
+
+
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
     """The runs that ``append_audit`` recorded."""
     return spark.read.schema(AUDIT).parquet(path)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from termflow.schemas import AUDIT, enforce_schema
@@ -21,6 +21,7 @@ def write_partitioned(
     only_touched: bool = False,
     table: str | None = None,
     touched: DataFrame | None = None,
+    written: Observation | None = None,
 ) -> None:
     """Write parquet as ``topic=…/date=…/`` and optionally register a table.
 
@@ -29,10 +30,18 @@ def write_partitioned(
     sorted within files, which lets readers skip row groups by word.
     ``only_touched`` replaces the partitions that occur in ``df`` and no other;
     of these the catalog learns the ones in ``touched``, by default all of them.
+    ``written`` observes ``rows``, ``min_date`` and ``max_date`` in the tasks that
+    write, so a record of the run costs no second look at the files.
     """
-    sorted_rows = df.hint("rebalance", *partition_by).sortWithinPartitions(
-        *partition_by, *sort_by
-    )
+    gathered = df.hint("rebalance", *partition_by)
+    if written is not None:
+        gathered = gathered.observe(
+            written,
+            F.count(F.lit(1)).alias("rows"),
+            F.min("date").alias("min_date"),
+            F.max("date").alias("max_date"),
+        )
+    sorted_rows = gathered.sortWithinPartitions(*partition_by, *sort_by)
     writer = (
         sorted_rows.write.format("parquet")
         .mode("overwrite")
@@ -85,6 +94,28 @@ def add_partitions(
     flush()
 
 
+def write_tokens(
+    tokens: DataFrame,
+    path: str,
+    days: Sequence[str] | None = None,
+    with_tokens: Collection[str] = (),
+) -> None:
+    """Store tokens by day, as ``date=…/``.
+
+    ``days`` are those the tokens are of: only they are replaced, and those of
+    them that are not in ``with_tokens`` lose their folder. Without ``days`` the
+    whole store is replaced.
+    """
+    spark = tokens.sparkSession
+    tokens.hint("rebalance", "date").write.mode("overwrite").partitionBy("date").option(
+        "partitionOverwriteMode", "static" if days is None else "dynamic"
+    ).parquet(path)
+    stored = set(list_names(spark, path))
+    for day in days or ():
+        if day not in with_tokens and f"date={day}" in stored:
+            drop_path(spark, f"{path}/date={day}")
+
+
 def write_topic_map(topic_map: DataFrame, path: str) -> None:
     """CSV with a header and no index column; topic lists hold commas."""
     topic_map.select("topics", "subreddit").write.mode("overwrite").options(
@@ -108,7 +139,7 @@ def append_audit(spark: SparkSession, path: str, run: dict) -> None:
 
 
 # Hadoop's file system, which Python reaches through the JVM gateway only: these
-# two do not work over Spark Connect.
+# do not work over Spark Connect.
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -125,3 +156,17 @@ def drop_path(spark: SparkSession, path: str) -> bool:
 def path_exists(spark: SparkSession, path: str) -> bool:
     system, target = _file_system(spark, path)
     return system.exists(target)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no folder."""
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(target)]
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    system, target = _file_system(spark, path)
+    system.create(target).close()

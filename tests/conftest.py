@@ -41,6 +41,8 @@ def spark(tmp_path_factory):
             "spark.ui.enabled": "false",
             # Many tiny queries: quick compilation beats fast code.
             "spark.driver.extraJavaOptions": "-XX:TieredStopAtLevel=1",
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(folder / "shared"),
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
