@@ -1,11 +1,15 @@
-"""Broadcast behind a measured size."""
+"""Joins behind a measured size."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+#: Tasks over which a salted join spreads the rows of one key.
+SALTS = 32
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -35,3 +39,27 @@ def broadcast_if_small(
         return df
     size = measured_bytes(df) if known_bytes is None else known_bytes
     return F.broadcast(df) if size <= max_bytes else df
+
+
+def join_totals(
+    rows: DataFrame,
+    totals: DataFrame,
+    keys: Sequence[str],
+    max_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """``rows`` with the row of ``totals`` of their keys; no key has two.
+
+    The totals, which should be cheap to read, are measured and broadcast, so
+    that ``rows`` stay where they are. If they are larger than ``max_bytes``,
+    each total goes to ``SALTS`` tasks, and the rows of a key are spread over
+    these by a hash of all their columns. Rows with a NULL key go.
+    """
+    if measured_bytes(totals) <= max_bytes:
+        return rows.join(F.broadcast(totals), [*keys])
+    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return (
+        rows.withColumn("_salt", spread)
+        .join(totals.withColumn("_salt", copies), [*keys, "_salt"])
+        .drop("_salt")
+    )

@@ -8,21 +8,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from termflow.operators.broadcasts import BROADCAST_BYTES
+from termflow.operators.broadcasts import BROADCAST_BYTES, join_totals
+from termflow.sources.scratch import stored
+
+IN_TOPIC = "daily_word_frequency_in_topic"
 
 
 def with_group_totals(
-    rows: DataFrame, value: str, totals: dict[str, Sequence[str]]
+    rows: DataFrame,
+    value: str,
+    totals: dict[str, Sequence[str]],
+    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Sums of ``value`` over the groups of each key list, on every row.
 
-    ``totals`` maps the new column to its keys; rows with a NULL key go. Sums
-    combine before the shuffle and are joined without a hint: Spark broadcasts
-    them if their measured size allows, else it splits the joins of hot keys.
+    ``totals`` maps the new column to its keys; rows with a NULL key go. Each
+    sum is an aggregate of ``rows`` that runs at once and whose groups are
+    stored, so their size is known: broadcast, they leave the rows where they
+    are; above ``max_bytes`` the join is salted. A hot group moves to no task.
     """
     for name, keys in totals.items():
-        sums = rows.groupBy(*keys).agg(F.sum(value).alias(name))
-        rows = rows.join(sums, [*keys])
+        sums = stored(rows.groupBy(*keys).agg(F.sum(value).alias(name)), "totals")
+        rows = join_totals(rows, sums, keys, max_bytes)
     return rows
 
 
@@ -30,11 +37,15 @@ def daily_frequencies(tokens: DataFrame) -> DataFrame:
     """(date, word, daily_word_frequency, total_daily_word_count).
 
     Comments with the word that day, however many topics they have, and the
-    day's sum of these. A NULL id counts as one comment.
+    day's sum of these. A NULL id counts as one comment. The frequencies are
+    counted at once and stored.
     """
     unique = tokens.select("id", "word", "date").distinct()
-    per_word = unique.groupBy("date", "word").agg(
-        F.count("word").alias("daily_word_frequency")
+    per_word = stored(
+        unique.groupBy("date", "word").agg(
+            F.count("word").alias("daily_word_frequency")
+        ),
+        "frequencies",
     )
     return with_group_totals(
         per_word, "daily_word_frequency", {"total_daily_word_count": ["date"]}
@@ -43,7 +54,7 @@ def daily_frequencies(tokens: DataFrame) -> DataFrame:
 
 def add_daily_word_frequency(tokens: DataFrame) -> DataFrame:
     """Topic, word, day and daily frequencies, one output row per token."""
-    return tokens.join(daily_frequencies(tokens), ["date", "word"]).select(
+    return join_totals(tokens, daily_frequencies(tokens), ["date", "word"]).select(
         "topic",
         "word",
         "date",
@@ -52,27 +63,58 @@ def add_daily_word_frequency(tokens: DataFrame) -> DataFrame:
     )
 
 
-def topic_word_frequencies(tokens: DataFrame) -> DataFrame:
-    """One row per topic, word and day: tokens in topic, daily frequencies.
+def token_counts(tokens: DataFrame) -> DataFrame:
+    """(date, word, daily_word_frequency, in_topic) in one pass over tokens.
 
-    Tokens are counted before the join, in which a hot word of a day has one row
-    per topic and never its tokens.
+    ``in_topic`` is an array of (topic, daily_word_frequency_in_topic): at most
+    one entry per topic. Tokens are grouped by word and topic and by word and
+    comment in the same shuffle, behind partial counts; what a hot word of a day
+    sends on from there are numbers.
     """
-    in_topic = (
+    by_topic = F.struct("topic", F.col("n").alias(IN_TOPIC))
+    return (
         tokens.where(F.col("word").isNotNull() & F.col("date").isNotNull())
-        .groupBy("date", "word", "topic")
-        .agg(F.count("word").alias("daily_word_frequency_in_topic"))
-    )
-    return in_topic.join(daily_frequencies(tokens), ["date", "word"])
+        .groupingSets(
+            [["date", "word", "topic"], ["date", "word", "id"]],
+            "date", "word", "topic", "id",
+        )
+        .agg(F.count(F.lit(1)).alias("n"), F.grouping("id").alias("of_topic"))
+        .groupBy("date", "word")
+        .agg(
+            F.count_if(F.col("of_topic") == 0).alias("daily_word_frequency"),
+            F.collect_list(F.when(F.col("of_topic") == 1, by_topic)).alias("in_topic"),
+        )
+    )
 
 
-def add_word_counts(tokens: DataFrame) -> DataFrame:
-    """All counts of a token table, one row per topic, word and day."""
+def _with_day_totals(counts: DataFrame) -> DataFrame:
+    """A row per topic from stored ``token_counts``, with the day's total."""
     return with_group_totals(
-        topic_word_frequencies(tokens),
-        "daily_word_frequency_in_topic",
-        {"topic_daily_word_count": ["date", "topic"]},
+        counts, "daily_word_frequency", {"total_daily_word_count": ["date"]}
+    ).select(
+        "date", "word", "daily_word_frequency", "total_daily_word_count",
+        F.inline("in_topic"),
+    )
+
+
+def topic_word_frequencies(tokens: DataFrame) -> DataFrame:
+    """One row per topic, word and day: tokens in topic, daily frequencies."""
+    return _with_day_totals(stored(token_counts(tokens), "counts"))
+
+
+def add_word_counts(tokens: DataFrame) -> DataFrame:
+    """All counts of a token table, one row per topic, word and day.
+
+    The tokens are read once, at once; what follows works on their counts.
+    """
+    counts = stored(token_counts(tokens), "counts")
+    totals = stored(
+        counts.select("date", F.inline("in_topic"))
+        .groupBy("date", "topic")
+        .agg(F.sum(IN_TOPIC).alias("topic_daily_word_count")),
+        "totals",
     )
+    return join_totals(_with_day_totals(counts), totals, ["date", "topic"])
 
 
 def count_topic_words(words: DataFrame) -> DataFrame:
@@ -114,16 +156,15 @@ def add_daily_totals(
 ) -> DataFrame:
     """Complete ``count_topic_words`` to the counts of ``add_word_counts``.
 
-    ``max_bytes`` bounds the size of the totals per day and topic, if known. They
-    are broadcast when the bound is small, else joined by shuffle. The windows
-    span at most all topics: small, however hot the word.
+    ``max_bytes`` bounds the size of the totals per day and topic, if known: if
+    it is small, they are broadcast and nothing runs yet. Else they are stored
+    and measured. The windows span at most all topics: small, however hot the
+    word.
     """
     totals = (
         counts.groupBy("date", "topic")
         .agg(
-            F.sum("daily_word_frequency_in_topic").alias(
-                "topic_daily_word_count"
-            ),
+            F.sum(IN_TOPIC).alias("topic_daily_word_count"),
             F.sum("first_places").alias("first_places"),
         )
         .withColumn(
@@ -132,13 +173,10 @@ def add_daily_totals(
         )
         .drop("first_places")
     )
+    rows = counts.withColumn(
+        "daily_word_frequency",
+        F.sum("first_places").over(Window.partitionBy("date", "word")),
+    ).drop("first_places")
     if max_bytes is not None and max_bytes <= BROADCAST_BYTES:
-        totals = F.broadcast(totals)
-    return (
-        counts.withColumn(
-            "daily_word_frequency",
-            F.sum("first_places").over(Window.partitionBy("date", "word")),
-        )
-        .drop("first_places")
-        .join(totals, ["date", "topic"])
-    )
+        return rows.join(F.broadcast(totals), ["date", "topic"])
+    return join_totals(rows, stored(totals, "totals"), ["date", "topic"])

@@ -22,10 +22,9 @@ from termflow.schemas import WORD_STATISTICS, enforce_schema
 
 
 def word_statistics(tokens: DataFrame) -> DataFrame:
-    """Statistics of a table of comment tokens, which is read twice.
+    """Statistics of a table of comment tokens, which is read once, at once.
 
-    Lazy tokens are therefore computed twice; store them first, or use
-    ``comment_statistics``.
+    Its counts are stored in the shared folder; the rest is lazy.
     """
     rates = add_rates_and_specificity(add_word_counts(tokens))
     return _finish(rates)

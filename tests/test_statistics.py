@@ -287,3 +287,49 @@ def test_trending_terms(spark):
     assert rows(top, "place", "word") == [(1, "b"), (2, "a")]
     assert trending_terms(df, 1.5, 2, "2022-01-02").count() == 0
     assert "WindowGroupLimit" in top._jdf.queryExecution().executedPlan().toString()
+
+
+def executed_plan(df):
+    """The final plan, after a run that keeps no rows."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+
+
+def test_totals_leave_the_detail_where_it_is(spark, tokens):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1m")
+    try:
+        detail = spark.range(5000).selectExpr("id % 3 AS k", "id AS v", "repeat('x', 50) AS wide")
+        out = N.with_group_totals(detail, "v", {"s": ["k"]})
+        assert "hashpartitioning" not in executed_plan(out)
+        plan = executed_plan(N.add_word_counts(tokens))
+        assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_salted_totals_equal_broadcast_ones(spark):
+    data = [("hot", 7)] * 300 + [("hot", k) for k in range(300)] + [("a", 1), (None, 5)]
+    df = spark.createDataFrame(data, "k string, v long")
+    salted = N.with_group_totals(df, "v", {"s": ["k"]}, max_bytes=0)
+    assert rows(salted) == rows(N.with_group_totals(df, "v", {"s": ["k"]}))
+    assert rows(salted.select("k", "s").distinct()) == [("a", 1), ("hot", 7 * 300 + sum(range(300)))]
+    assert salted.count() == 601
+
+
+def test_token_counts_read_tokens_once(spark, tokens):
+    counts = N.token_counts(tokens)
+    assert executed_plan(counts).count("InMemoryTableScan") == 2  # comments and map
+    odd = tokens.unionByName(spark.createDataFrame(
+        [(None, "nuts", "pecan", "2022-01-01"), (None, "food", "pecan", "2022-01-01"),
+         ("x", None, "pecan", "2022-01-01"), ("x", "food", None, "2022-01-01")],
+        COMMENT_TOKENS,
+    ))
+    pecan = N.token_counts(odd).where("word = 'pecan' AND date = '2022-01-01'").first()
+    # Three comments, one without an id, and one without a topic.
+    assert pecan["daily_word_frequency"] == 5
+    assert {(r["topic"], r[N.IN_TOPIC]) for r in pecan["in_topic"]} == {
+        ("food", 4), ("fruit", 1), ("nuts", 3), (None, 1),
+    }
