@@ -491,6 +491,24 @@ def oracle_sql() -> dict[str, str]:
                   FROM lineitem)""",
         "catalog_table": chat_statistics,
         "late_days": chat_statistics,
+        "new_files": chat_statistics,
+        "split_json_comments": doc(
+            "comments",
+            """
+            SELECT CASE WHEN bad THEN NULL ELSE author END AS author,
+                   CASE WHEN bad THEN NULL ELSE body END AS body,
+                   CASE WHEN bad THEN NULL ELSE created_utc END AS created_utc,
+                   CASE WHEN bad THEN NULL ELSE subreddit END AS subreddit,
+                   CASE WHEN bad THEN '{no json ' || created_utc END AS line,
+                   count(*) FILTER (NOT bad) OVER () AS n_comments,
+                   count(*) FILTER (bad) OVER () AS n_corrupt
+            FROM (SELECT *, regexp_matches(author, '[05]$') AS bad
+                  FROM comments)""",
+        ),
+        "store_listing": """
+            SELECT CAST(o_custkey % 10 AS VARCHAR) AS id_group, 1 AS files,
+                   true AS all_sized
+            FROM orders GROUP BY ALL""",
         "token_store": after(
             CHAT_STEPS, "tokens", "SELECT id, topic, word, date FROM tokens"
         ),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from checks import inputs
@@ -35,8 +35,14 @@ from termflow.plans.word_statistics import (
     topic_word_rates,
     word_statistics,
 )
-from termflow.schemas import COMMENT_TOKENS, WORD_STATISTICS, enforce_schema
+from termflow.schemas import (
+    COMMENT_TOKENS,
+    COMMENTS,
+    WORD_STATISTICS,
+    enforce_schema,
+)
 from termflow.session import shared_folder
+from termflow.sources.listing import list_store
 from termflow.sources.readers import (
     read_audit,
     read_json_comments,
@@ -44,9 +50,11 @@ from termflow.sources.readers import (
     read_statistics,
     read_tokens,
     read_topic_map,
+    split_json_comments,
     table_or_none,
 )
 from termflow.sources.writers import write_partitioned, write_topic_map
+from termflow.streaming.discovery import refresh_from_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -365,6 +373,26 @@ def late_days(spark, sf_dir):
     return run_job(spark, comments, topic_map, late)["word_statistics"]
 
 
+@query
+def new_files(spark, sf_dir):
+    """Two drops of files: each refreshes the days its files hold."""
+    comments, topic_map, *_ = chat(spark, sf_dir)
+    folder = shared_folder(spark, "drops")
+    second = F.col("created_utc").cast("bigint")
+    early = (second < F.unix_timestamp(F.lit("2024-01-20"), "yyyy-MM-dd")) & (
+        (second % 5 != 0) | ~F.date_from_unix_date(
+            F.floor(second / 86400).cast("int")
+        ).between("2024-01-05", "2024-01-06")
+    )
+    settings = JobSettings(None, LAST, f"{folder}/statistics")
+    for drop in (comments.where(early), comments.where(~early)):
+        drop.write.mode("append").json(f"{folder}/comments")
+        refresh_from_new_files(
+            spark, f"{folder}/comments", topic_map, settings, f"{folder}/taken"
+        )
+    return read_statistics(spark, settings.target_path)
+
+
 @query
 def token_store(spark, sf_dir):
     """Tokens of a full run, after a refresh of its last days and further ones."""
@@ -463,6 +491,24 @@ def json_comments(spark, sf_dir):
     return read_json_comments(spark, path)
 
 
+@query
+def split_json_comments_query(spark, sf_dir):
+    """Comments and corrupt lines of one file of lines, with their numbers."""
+    folder = shared_folder(spark, "lines")
+    name = F.col("author")
+    line = F.when(
+        name.rlike("[05]$"), F.concat(F.lit("{no json "), "created_utc")
+    ).otherwise(F.to_json(F.struct(*COMMENTS.names)))
+    inputs.comments(spark, sf_dir).select(line).write.text(f"{folder}/lines")
+    counted = Observation("lines")
+    comments, corrupt = split_json_comments(
+        spark, f"{folder}/lines", f"{folder}/split", counted
+    )
+    return comments.unionByName(corrupt, allowMissingColumns=True).select(
+        "*", *(F.lit(n).alias(f"n_{kind}") for kind, n in counted.get.items())
+    )
+
+
 @query
 def topic_map_csv(spark, sf_dir):
     path = shared_folder(spark, "topic-map")
@@ -512,6 +558,23 @@ def audit_record(spark, sf_dir):
 # File audit
 
 
+@query
+def store_listing(spark, sf_dir):
+    """Files of a written folder by group: a row per file, each with a size."""
+    folder = shared_folder(spark, "store")
+    orders = inputs.table(spark, sf_dir, "orders")
+    group = (F.col("o_custkey") % 10).alias("id_group")
+    orders.select(group, "o_orderkey").repartition(4, "id_group").write.partitionBy(
+        "id_group"
+    ).parquet(folder)
+    files = list_store(spark, folder).where(F.col("key").endswith(".parquet"))
+    return (
+        files.transform(L.add_id_group)
+        .groupBy("id_group")
+        .agg(F.count(F.lit(1)).alias("files"), (F.min("size") > 0).alias("all_sized"))
+    )
+
+
 @query
 def file_audit(spark, sf_dir):
     """Freshness, smallest and largest size, and number of groups of orders."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,7 +41,8 @@ def read_json_comments(
     With the schema given nothing is inferred: there is no extra pass over the
     input, and a numeric ``created_utc`` still arrives as a string. A line that
     is no JSON object fails the query; with ``mode="PERMISSIVE"`` it becomes a
-    row of NULLs, which ``corrupt_lines`` counts.
+    row of NULLs, which ``corrupt_lines`` counts. ``split_json_comments`` keeps
+    such lines beside the comments.
     """
     return spark.read.schema(COMMENTS).option("mode", mode).json(path)
 
@@ -53,6 +54,39 @@ def corrupt_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines.agg(F.count_if(~is_object).alias("corrupt_lines"))
 
 
+def split_json_comments(
+    spark: SparkSession, path: str, store: str, counted: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Store the comments of JSON lines, and the lines that are none, in one scan.
+
+    Each line is parsed once and goes to one of two folders of ``store``. The
+    frames returned read these: the comments, and the corrupt lines (line).
+    ``counted`` observes the numbers of both (comments, corrupt).
+    """
+    line = F.col("line")
+    parsed = (
+        spark.read.schema(T.StructType([*COMMENTS, T.StructField("line", T.StringType())]))
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", "line")
+        .json(path)
+        .withColumn("is_corrupt", line.isNotNull())
+    )
+    if counted is not None:
+        parsed = parsed.observe(
+            counted,
+            F.count_if(~F.col("is_corrupt")).alias("comments"),
+            F.count_if(F.col("is_corrupt")).alias("corrupt"),
+        )
+    parsed.write.partitionBy("is_corrupt").parquet(store)
+    stored = spark.read.schema(
+        T.StructType([*parsed.schema.fields[:-1], T.StructField("is_corrupt", T.BooleanType())])
+    ).parquet(store)
+    return (
+        stored.where(~F.col("is_corrupt")).select(*COMMENTS.names),
+        stored.where("is_corrupt").select("line"),
+    )
+
+
 def read_topic_map(spark: SparkSession, path: str) -> DataFrame:
     """A topic map CSV with a header, with or without a leading index column.
 
@@ -94,8 +128,8 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     """Listing (key, last_modified, size) of the files below a folder.
 
     Spark keeps the index of the files on the driver, so this is for folders of
-    up to some million files. For a larger store read the inventory table that
-    the store writes, with ``read_source``, and select the same three columns.
+    up to some million files, in any store that Spark reads. ``list_store`` of
+    ``sources.listing`` walks larger ones in tasks.
     """
     files = (
         spark.read.format("binaryFile")
