@@ -15,18 +15,27 @@ from termflow.plans.topic_map import build_topic_map
 from termflow.sources.readers import read_topic_map
 from termflow.sources.writers import write_topic_map
 
-GENERAL = """
-<body><section><h2>
-  <strong>Birds</strong><p><p>Finches</p></p></h3>
-  <h3><em>Trees</em><p><p><p>Oaks</p></p></p></h3>
-  <h3><strong>Trees</strong><p>r/Pines</p></h3>
-</h2></section></body>
+HANDBOOK = """
+<article id="top">
+<h2>Contents</h2><ol><li>r/nothing</li></ol>
+<h2 class="t">I. <strong>Crafts</strong> by hand</h2>
+<hr><blockquote>r/knitting
+r/weaving</blockquote><p>r/too_late</p>
+<h3><em>old</em> and <strong>Machines</strong></h3>
+<ul><li>r/lathes<ul><li>, r/mills</li></ul></li></ul>
+<div><h3><strong>Kitchen</strong></h2><p>r/bread</div>
+<h3><em>Kitchen</em></h3><table><tr><td>r/soup</td></tr>
+<tr><td>r/knitting</td></tr></table>
+</article>
 """
-GAMES = """
-<main><div class="md wiki">
-  <p><a rel="nofollow" href="/r/chess">/r/chess</a></p><p>
-  <a href="/r/go_game" rel="nofollow">/r/go_game</a></p>
-</div></main>
+CATALOGUE = """
+<body><div class="md"><p><a rel="nofollow" href="#">/r/outside</a></p></div>
+<div id="w" class="md wiki"><h1>Games</h1>
+<p><a href="/r/dice" rel="noopener nofollow">/r/dice</a>, <b><a rel=nofollow
+href="/r/cards">/r/cards</a></b> <a href="/r/plain">/r/plain</a></p>
+<a rel="nofollow" href="/r/loose">/r/loose</a>
+<p><a rel="nofollow" href="https://x.example">site</a></p>
+<div><p>new: <a rel="nofollow" href="/r/dice">/r/dice</a></p></div></div></body>
 """
 
 
@@ -42,42 +51,42 @@ def one(spark, html, expression):
     return spark.createDataFrame([(html,)], "html string").select(expression).first()[0]
 
 
-def test_golden_heading_blocks(spark):
-    assert pairs(extract_heading_blocks(pages(spark, GENERAL))) == [
-        ("Birds", "Finches"),
-        ("Trees", "Oaks"),
-        ("Trees", "r/Pines"),
+def test_heading_blocks(spark):
+    assert pairs(extract_heading_blocks(pages(spark, HANDBOOK))) == [
+        ("Crafts", "r/knitting"),
+        ("Crafts", "r/weaving"),
+        ("Machines", "r/lathes, r/mills"),
+        ("Kitchen", "r/bread"),
+        ("Kitchen", "r/soup"),
+        ("Kitchen", "r/knitting"),
     ]
 
 
-def test_golden_links(spark):
-    assert pairs(extract_links(pages(spark, GAMES))) == [
-        ("Video Games", "/r/chess"),
-        ("Video Games", "/r/go_game"),
+def test_links(spark):
+    assert pairs(extract_links(pages(spark, CATALOGUE))) == [
+        ("Video Games", "/r/dice"),
+        ("Video Games", "/r/cards"),
+        ("Video Games", "/r/dice"),
     ]
 
 
-def test_golden_merge_and_cleaning(spark):
-    general = extract_heading_blocks(pages(spark, GENERAL))
-    games = extract_links(pages(spark, GAMES))
-    merged = merge_topic_lists(general, games)
-    assert rows(merged) == sorted(
-        [
-            ("Video Games", "/r/chess"),
-            ("Video Games", "/r/go_game"),
-            ("Birds", "Finches"),
-            ("Trees", "Oaks"),
-            ("Trees", "r/Pines"),
-        ]
-    )
-    cleaned = clean_topic_lists(merged, [("Bir", "Wor"), ("Trees", "Woods")])
+def test_merge_and_cleaning(spark):
+    lists = [extract_heading_blocks(pages(spark, HANDBOOK)), extract_links(pages(spark, CATALOGUE))]
+    merged = merge_topic_lists(*lists)
+    assert rows(merged.where("subreddit like '%kn%' or subreddit like '%di%'")) == [
+        ("Crafts,Kitchen", "r/knitting"),
+        ("Video Games", "/r/dice"),
+    ]
+    cleaned = clean_topic_lists(merged, [("Kitchen", "Food"), ("Crafts,F", "Making,F")])
     assert rows(cleaned) == sorted(
         [
-            ("Video Games", "chess"),
-            ("Video Games", "go_game"),
-            ("Words", "Finches"),
-            ("Woods", "Oaks"),
-            ("Woods", "Pines"),
+            ("Making,Food", "knitting"),
+            ("Crafts", "weaving"),
+            ("Machines", "lathes, mills"),
+            ("Food", "bread"),
+            ("Food", "soup"),
+            ("Video Games", "dice"),
+            ("Video Games", "cards"),
         ]
     )
 
@@ -140,8 +149,8 @@ def test_links_need_container_item_and_attribute(spark):
 
 
 def test_page_without_container(spark):
-    df = pages(spark, "<p>nothing</p>", GAMES)
-    assert extract_links(df).count() == 2
+    df = pages(spark, "<p>nothing</p>", CATALOGUE)
+    assert extract_links(df).count() == 3
     with pytest.raises(PySparkException, match="no link container"):
         extract_links(df, strict=True).collect()
 
@@ -194,7 +203,7 @@ def test_topic_rules_apply_in_order(spark, raw, clean):
 
 
 def test_topic_map_round_trip(spark, tmp_path):
-    built = build_topic_map(pages(spark, GENERAL), pages(spark, GAMES))
+    built = build_topic_map(pages(spark, HANDBOOK), pages(spark, CATALOGUE))
     awkward = spark.createDataFrame([(' a, "b",\nc ', "odd")], "topics string, subreddit string")
     expected = built.unionByName(awkward)
     path = str(tmp_path / "map")
