@@ -1,11 +1,15 @@
 """Operator 9: main text of web pages by the distribution of line blocks.
 
 Markup is stripped to one line per block element; elements that never hold the
-article (scripts, menus, footers, forms, ...) and those whose class, id or role
-says so leave empty lines, as does text that is mostly links. Over a sliding
-window of lines the text lengths are summed. Text starts where the sum surges
-and ends where it dives to nothing; what lies between is kept whole, short lines
-included. In a page that marks its article, lines outside count as empty.
+article (scripts, menus, footers, forms, ...) and those with a class, id or role
+that says so leave empty lines, as does text outside an article that is mostly
+links. Over a sliding window of lines the text lengths are summed. Text starts
+where the sum surges, on a page of little text at its greatest sum, and ends
+where it dives to nothing; what lies between is kept whole, short lines included.
+In a page that marks its article, lines outside count as empty and any text in it
+is a surge. An element that holds the page's first article is never left out,
+whatever its name; a left-out paragraph or item without an end tag ends where the
+next block or item begins.
 
 Defined cases: NULL and empty pages, and pages without such text, give an empty
 string; rows are independent, so repeated rows and extra columns change nothing;
@@ -24,11 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from termflow.llm.token_blocks import arrow_schema
 
 WINDOW = 3
-#: A sum over the window that begins text, where no article is marked.
+#: A sum over the window that begins text, where no article is marked; less if
+#: the page has no such sum.
 SURGE = 80
 #: Empty lines that a removed element leaves, so that windows see the gap.
 GAP = WINDOW + 1
-#: Share of link text from which on a line counts as empty.
+#: Share of link text from which on a line outside an article counts as empty.
 MOST_LINKED = 0.6
 
 TOKENS = re.compile(
@@ -42,7 +47,7 @@ TOKENS = re.compile(
 RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg"}
 NEVER_TEXT = RAW | {
     "head", "title", "nav", "header", "footer", "aside", "form", "menu",
-    "button", "select", "dialog", "object", "figure", "canvas", "audio", "video",
+    "button", "select", "dialog", "object", "canvas", "audio", "video",
 }
 VOID = {
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
@@ -50,19 +55,42 @@ VOID = {
 }
 BLOCKS = {
     "address", "article", "blockquote", "body", "caption", "center", "dd",
-    "details", "div", "dl", "dt", "fieldset", "figcaption", "h1", "h2", "h3",
-    "h4", "h5", "h6", "hr", "html", "li", "main", "ol", "p", "pre", "section",
+    "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "h1", "h2",
+    "h3", "h4", "h5", "h6", "hr", "html", "li", "main", "ol", "p", "pre", "section",
     "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 } | NEVER_TEXT
+NAMES = re.compile(
+    r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I
+)
+#: Whole names that mark what is not the article, with what may be added to them.
 MARKED = re.compile(
-    r"\b(?:class|id|role)\s*=\s*[\"']?[^\"'>]*?(?<![a-z])"
-    r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|comment-?list|cookies?|"
-    r"consent|footer|masthead|menu|nav\w*|newsletter|notice|popup|promo\w*|"
-    r"related|replies|share|sharing|sidebar|social|sponsor\w*|subscribe|"
-    r"toolbar|widgets?)(?![a-z])",
+    r"(?:(?:site|page|main|top|bottom|left|right|global|primary|secondary|user|"
+    r"post|article|cookie|social|google|side)[-_])*"
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|commentlist|cookies?|"
+    r"complementary|consent|contentinfo|footer|masthead|menu|navbar|nav|navigation|"
+    r"newsletter|notice|popup|promo|promotion|related|replies|respond|search|share|"
+    r"sharing|sidebar|social|sponsored|sponsor|subscribe|toolbar|widgets?)"
+    r"(?:[-_](?:area|bar|banner|block|box|button|buttons|container|content|form|"
+    r"inner|item|items|left|link|links|list|menu|notice|outer|posts|right|section|"
+    r"slot|unit|widget|wrap|wrapper|\d+))*"
+    r"|(?:site|page|global|top)[-_]header",
     re.I,
 )
+#: Elements whose end tag may be missing, and what begins in their place.
+FOLLOWED = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}}
+LISTS = {"ul", "ol", "menu", "dl"}
 ARTICLE = {"article", "main"}
+
+
+def is_marked(attrs: str) -> bool:
+    """Whether a whole class, an id or a role names boilerplate."""
+    return any(
+        MARKED.fullmatch(name)
+        for value in NAMES.findall(attrs)
+        for name in "".join(value).split()
+    )
+
+
 OUT = "page_id bigint, url string, text string, n_chars bigint"
 
 
@@ -85,7 +113,7 @@ class Lines:
         text = " ".join("".join(self.parts).split())
         if text:
             bare = len(text.replace(" ", ""))
-            mostly_links = self.linked > MOST_LINKED * bare
+            mostly_links = not self.article and self.linked > MOST_LINKED * bare
             self.lines.append((text, 0 if mostly_links else len(text), self.article))
         self.parts, self.linked = [], 0
 
@@ -94,10 +122,34 @@ class Lines:
         self.lines += [("", 0, False)] * GAP
 
 
+class LeftOut:
+    """An element that is left out: knows at which tag it is over."""
+
+    def __init__(self, tag: str):
+        self.tag = tag
+        self.depth = 1  # of elements of its kind
+        self.lists = 0  # of lists within an item
+
+    def ends_before(self, tag: str, ends: bool) -> bool:
+        """Whether the element, unclosed, is over where this tag stands."""
+        if self.tag == "p":
+            return tag in BLOCKS and tag != "p" or tag == "p" and not ends
+        if self.tag in FOLLOWED and not self.lists:
+            return tag in LISTS if ends else tag in FOLLOWED[self.tag]
+        return False
+
+    def is_closed_by(self, tag: str, ends: bool) -> bool:
+        if self.tag in FOLLOWED and tag in LISTS:
+            self.lists += -1 if ends else 1
+        if tag == self.tag:
+            self.depth += -1 if ends else 1
+        return self.depth == 0
+
+
 def page_lines(page: str) -> list[tuple[str, int, bool]]:
     out, at, links = Lines(), 0, 0
-    skipped, depth = "", 0  # the element being left out, and how deep in it
-    articles = 0
+    skipped: LeftOut | None = None
+    articles, had_article = 0, False
     position = 0
     while True:
         token = TOKENS.search(page, position)
@@ -118,31 +170,38 @@ def page_lines(page: str) -> list[tuple[str, int, bool]]:
                 out.gap() if tag not in ("script", "style") else None
             continue
         if skipped:
-            if tag == skipped and not closed:
-                depth += -1 if ends else 1
-                if depth == 0:
-                    skipped = ""
-            continue
+            holds_article = tag in ARTICLE and not ends and not had_article
+            if holds_article and not is_marked(token["attrs"]):
+                skipped = None
+            elif skipped.ends_before(tag, ends):
+                skipped = None
+            elif not closed and skipped.is_closed_by(tag, ends):
+                skipped = None
+                continue
+            else:
+                continue
         if tag == "br":
             out.add(" ", links > 0)
             continue
         if tag == "a":
             links = max(0, links + (-1 if ends else 1))
             continue
-        if tag not in BLOCKS and not (not ends and MARKED.search(token["attrs"])):
+        can_be_marked = tag not in ("main", "body", "html")
+        can_be_marked &= had_article or tag != "article"
+        marked = can_be_marked and not ends and is_marked(token["attrs"])
+        if tag not in BLOCKS and not marked:
             continue
         out.end()
         links = 0
+        leave_out = tag in NEVER_TEXT and not (tag == "header" and articles)
+        if not ends and not closed and (leave_out or marked):
+            out.gap()
+            skipped = LeftOut(tag)
+            continue
         if tag in ARTICLE:
             articles = max(0, articles + (-1 if ends else 1))
             out.article = articles > 0
-        if ends or closed:
-            continue
-        leave_out = tag in NEVER_TEXT and not (tag == "header" and articles)
-        marked = tag not in ARTICLE | {"body", "html"}
-        if leave_out or (marked and MARKED.search(token["attrs"])):
-            out.gap()
-            skipped, depth = tag, 1
+            had_article = True
     out.end()
     return out.lines
 
@@ -154,16 +213,16 @@ def main_text(page: str | None) -> str:
         length if inside or not marked else 0 for _, length, inside in lines
     ]
     sums = [sum(lengths[k : k + WINDOW]) for k in range(len(lengths))]
+    surge = 1 if marked else min(SURGE, max(sums, default=0))
     kept, inside = [], False
     for k, (text, _, in_article) in enumerate(lines):
-        surge = 1 if marked else SURGE
         if not inside and sums[k] >= surge and lengths[k]:
             inside = True
         elif inside and not sums[k]:
             inside = False
         if inside and text and (in_article or not marked):
             kept.append(text)
-    return "\n".join(kept)
+    return "\n\n".join(kept)
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

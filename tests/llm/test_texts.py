@@ -2,7 +2,10 @@ import random
 import re
 import zlib
 from collections import Counter
+from html.parser import HTMLParser
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 from termflow.llm.language import language_query, learn, predict, trigrams
@@ -163,10 +166,12 @@ def test_main_text_of_a_page(spark, tmp_path):
     pages = spark.createDataFrame(rows, PAGES)
     pages.write.parquet(str(tmp_path / "pages.parquet"))
     found = sorted(main_text_query(spark, str(tmp_path)).collect(), key=repr)
-    text = "Head\xadline & more\nOne two three. four\nFive\nsix\nseven\nEnd."
+    text = "\n\n".join(
+        ["Head\xadline & more", "One two three. four", "Five", "six", "seven", "End."]
+    )
     texts = {(r["page_id"], r["text"], r["n_chars"]) for r in found}
     assert len(found) == 5
-    assert texts == {(1, text, len(text)), (2, "", 0), (3, "", 0), (None, "", 0)}
+    assert texts == {(1, text, len(text)), (2, "", 0), (3, "", 0), (None, "short", 5)}
     assert extract_pages(pages.limit(0)).collect() == []
 
 
@@ -180,7 +185,67 @@ def test_main_text_by_distribution():
         + "<div class='sidebar'>no</div><div>Imprint</div>"
     )
     want = [prose.strip(), "Short.", prose.strip()]
-    assert main_text(page) == "\n".join(want)
+    assert main_text(page) == "\n\n".join(want)
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<div class='content has-sidebar'><article><p>A</p></article></div>", ["A"]),
+        ("<form><div id=sidebar><main><p>A</p></main></div></form>", ["A"]),
+        ("<article><p>A</p><p class='ad'>buy<p>B</p></article>", ["A", "B"]),
+        ("<article><p>A</p><p class='ad'>buy</article><p>C</p>", ["A"]),
+        ("<article><ul><li class='nav-item'>x<ul><li>y</ul><li>B</ul>C</article>", ["B", "C"]),
+        ("<article><ul><li>A<li class=ad>x</ul><dl><dt class=ad>x<dd>B</dl></article>", ["A", "B"]),
+        ("<article><figure><img><figcaption>Cap</figcaption></figure>B</article>", ["Cap", "B"]),
+        ("<article><p class='share-of-market'>A<p id=notice-period>B</article>", ["A", "B"]),
+        ("<article><p><a href=x>All link</a></p><p>B</p></article>", ["All link", "B"]),
+        ("<article>A<div class=comments><article>no</article></div></article>", ["A"]),
+        ("<article>A</article><div id='comments-list'><article>no</article></div>", ["A"]),
+        ("<article>A<article class='comment'>no</article></article>", ["A"]),
+        ("<article>A<div class='social-links'>no</div><header>B</header></article>", ["A", "B"]),
+        ("<p>one short paragraph</p>", ["one short paragraph"]),
+        ("<nav>x</nav><p>one<br>two</p><footer>y", ["one two"]),
+    ],
+)
+def test_main_text_cases(page, want):
+    assert main_text(page) == "\n\n".join(want)
+
+
+class PlainArticle(HTMLParser):
+    """The blocks of article elements, by the standard parser."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks = False, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside |= tag == "article"
+        if tag in ("p", "h1", "article"):
+            self.blocks.append("")
+        elif tag == "br":
+            self.blocks[-1] += " "
+
+    def handle_endtag(self, tag):
+        self.inside &= tag != "article"
+        if tag in ("p", "h1"):
+            self.blocks.append("")
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+
+PAGE_TABLE = Path("/root/testdata/sf0.01/pages.parquet")
+
+
+@pytest.mark.skipif(not PAGE_TABLE.exists(), reason="needs the given pages")
+def test_all_given_pages_by_a_plain_parser():
+    for page in pq.read_table(PAGE_TABLE, columns=["html"])["html"].to_pylist():
+        plain = PlainArticle()
+        plain.feed(page)
+        blocks = [" ".join(block.split()) for block in plain.blocks]
+        assert main_text(page) == "\n\n".join(filter(None, blocks))
 
 
 @pytest.mark.parametrize(
