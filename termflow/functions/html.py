@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,6 +88,27 @@ def until_closed(rest: Column, tag: Column) -> Column:
     return F.array_join(F.slice(pieces, F.lit(1), kept), "")
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def first_element(
+    html: Column, tags: Sequence[str], attributes: str = ""
+) -> Column:
+    """Inner fragment of the first of ``tags`` in a text, NULL without one.
+
+    ``attributes`` is a pattern that the opening tag has to contain.
+    """
+    opening = opening_tag(tags, attributes)
+
+    def closed(tag: Column) -> Column:
+        rest = F.regexp_extract(html, opening + "(.*)", 2)
+        return F.when(tag != "", let(rest, lambda text: until_closed(text, tag)))
+
+    return let(F.regexp_extract(html, opening, 1), closed)
+
+
 def add_first_element(
     df: DataFrame,
     html: str,
@@ -95,24 +116,5 @@ def add_first_element(
     tags: Sequence[str],
     attributes: str = "",
 ) -> DataFrame:
-    """Inner fragment of the first of ``tags`` in a column, NULL without one.
-
-    ``attributes`` is a pattern that the opening tag has to contain.
-    """
-    opening = opening_tag(tags, attributes)
-    return (
-        df.withColumns(
-            {
-                "_tag": F.regexp_extract(html, opening, 1),
-                "_rest": F.regexp_extract(html, opening + "(.*)", 2),
-            }
-        )
-        .withColumn(
-            new_col,
-            F.when(
-                F.col("_tag") != "",
-                until_closed(F.col("_rest"), F.col("_tag")),
-            ),
-        )
-        .drop("_tag", "_rest")
-    )
+    """``first_element`` of a column."""
+    return df.withColumn(new_col, first_element(F.col(html), tags, attributes))

@@ -11,6 +11,7 @@ from termflow.operators.broadcasts import (
     broadcast_if_small,
     measured_bytes,
 )
+from termflow.sources.scratch import stored
 
 
 def add_comment_id(comments: DataFrame) -> DataFrame:
@@ -62,14 +63,16 @@ def mark_repeated_ids(
 ) -> DataFrame:
     """Add ``is_repeated``: another row has the same id (or NULL, as this one).
 
-    Ids are counted at once, without the bodies. Without repeated ones nothing is
-    joined. They are usually few; only a large size of them moves the bodies.
+    Ids are counted at once, without the bodies, and the repeated ones stored.
+    Without any nothing is joined. They are usually few; only a large size of
+    them moves the bodies.
     """
-    repeated = (
+    repeated = stored(
         comments.groupBy(F.col("id").alias("repeated_id"))
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("repeated_id", F.lit(True).alias("is_repeated"))
+        .select("repeated_id", F.lit(True).alias("is_repeated")),
+        "repeated-ids",
     )
     size = measured_bytes(repeated)
     if not size:

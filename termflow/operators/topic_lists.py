@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termflow.functions.html import (
-    add_first_element,
     any_tag,
     elements,
+    first_element,
+    let,
     plain_text,
     text_lines,
 )
@@ -24,111 +25,138 @@ from termflow.functions.names import (
 ORDINALS = ("page_id", "block_no", "line_no")
 
 
-def extract_heading_blocks(
-    pages: DataFrame,
+ROW = "array<struct<block_no:int,line_no:int,topics:string,subreddit:string>>"
+
+
+def heading_rows(
+    html: Column,
     heading_tags: Sequence[str] = ("h2", "h3"),
     label_tags: Sequence[str] = ("strong", "em"),
     block_tags: Sequence[str] = ("p", "ul", "ol", "div", "blockquote", "table"),
-) -> DataFrame:
-    """One row per text line of the block that follows a heading's label.
-
-    ``topics`` is the text of the first of ``label_tags`` found in the heading,
-    tried in their order; without ``label_tags`` it is the heading's own text.
-    The block is the first ``block_tags`` element after the label and before
-    the next heading; never closed, it runs up to there. Headings without label
-    or block give nothing.
-    """
+) -> Column:
+    """Array with the rows of ``extract_heading_blocks`` of one page."""
     headings = any_tag(heading_tags)
-    starts = rf"(?i)(?=<{headings}\b)"
-    section = F.col("section")
-    sections = pages.select(
-        "page_id", F.posexplode(F.split("html", starts)).alias("block_no", "section")
-    ).where(section.rlike(rf"(?i)^<{headings}\b"))
-
-    heading = F.col("heading")
-    if label_tags:
-        label = F.coalesce(
+    label_end = any_tag(label_tags or heading_tags)
+
+    def label_of(heading: Column) -> Column:
+        if not label_tags:
+            return heading
+        return F.coalesce(
             *(F.get(elements(heading, tag), F.lit(0)) for tag in label_tags)
         )
-    else:
-        label = heading
-    label_end = any_tag(label_tags or heading_tags)
-    return (
-        sections.select(
-            "page_id",
-            "block_no",
-            F.regexp_extract(
-                section, rf"(?is)^<[^>]*>(.*?)(?:</{headings}\s*>|\z)", 1
-            ).alias("heading"),
-            F.regexp_extract(
-                section, rf"(?is)</{label_end}\s*>(.*)", 1
-            ).alias("after"),
+
+    def lines(section: Column, block_no: Column, label: Column) -> Column:
+        after = F.regexp_extract(section, rf"(?is)</{label_end}\s*>(.*)", 1)
+        block = let(after, lambda text: first_element(text, block_tags))
+        return F.transform(
+            let(plain_text(block), text_lines),
+            lambda line, line_no: F.struct(
+                block_no.alias("block_no"),
+                line_no.alias("line_no"),
+                label.alias("topics"),
+                line.alias("subreddit"),
+            ),
         )
-        .transform(add_first_element, "after", "block", block_tags)
-        .select(
-            "page_id",
-            "block_no",
-            plain_text(label).alias("topics"),
-            plain_text(F.col("block")).alias("text"),
+
+    def rows_of(section: Column, block_no: Column) -> Column:
+        heading = F.regexp_extract(
+            section, rf"(?is)^<[^>]*>(.*?)(?:</{headings}\s*>|\z)", 1
         )
-        .where(F.col("topics").isNotNull())
-        .select(
-            "page_id",
-            "block_no",
-            "topics",
-            F.posexplode(text_lines(F.col("text"))).alias(
-                "line_no", "subreddit"
+        label = plain_text(let(heading, label_of))
+        rows = let(
+            label,
+            lambda label: F.when(
+                label.isNotNull(), lines(section, block_no, label)
             ),
         )
-        .select(*ORDINALS, "topics", "subreddit")
-    )
+        is_heading = section.rlike(rf"(?i)^<{headings}\b")
+        return F.coalesce(F.when(is_heading, rows), F.array().cast(ROW))
+
+    return F.flatten(F.transform(F.split(html, rf"(?i)(?=<{headings}\b)"), rows_of))
 
 
-def extract_links(
-    pages: DataFrame,
+def link_rows(
+    html: Column,
+    page_id: Column,
     container: tuple[str, str] = ("div", r'\bclass\s*=\s*["\']md wiki["\']'),
     item_tag: str = "p",
     anchor_attr: str = r'\brel\s*=\s*["\']?[^"\'>]*\bnofollow\b',
     text_prefix: str = "/r/",
     label: str = "Video Games",
     strict: bool = False,
-) -> DataFrame:
+) -> Column:
+    """Array with the rows of ``extract_links`` of one page."""
+    tag, attributes = container
+    content = first_element(html, [tag], attributes)
+    if strict:
+        missing = F.concat(F.lit("no link container in page "), page_id)
+        content = F.coalesce(content, F.raise_error(missing).cast("string"))
+    anchor = rf"(?is)<a\b[^>]*{anchor_attr}[^>]*>(.*?)</a\s*>"
+
+    def rows_of(item: Column, block_no: Column) -> Column:
+        return F.transform(
+            F.regexp_extract_all(item, F.lit(anchor), F.lit(1)),
+            lambda text, line_no: F.struct(
+                block_no.alias("block_no"),
+                line_no.alias("line_no"),
+                F.lit(label).alias("topics"),
+                plain_text(text).alias("subreddit"),
+            ),
+        )
+
+    rows = F.flatten(F.transform(let(content, lambda c: elements(c, item_tag)), rows_of))
+    return F.filter(rows, lambda row: row["subreddit"].startswith(text_prefix))
+
+
+def extract_heading_blocks(pages: DataFrame, **options) -> DataFrame:
+    """One row per text line of the block that follows a heading's label.
+
+    ``topics`` is the text of the first of ``label_tags`` found in the heading,
+    tried in their order; without ``label_tags`` it is the heading's own text.
+    The block is the first ``block_tags`` element after the label and before
+    the next heading; never closed, it runs up to there. Headings without label
+    or block give nothing. Options are those of ``heading_rows``.
+    """
+    rows = heading_rows(F.col("html"), **options)
+    return pages.select("page_id", F.inline(rows)).select(
+        *ORDINALS, "topics", "subreddit"
+    )
+
+
+def extract_links(pages: DataFrame, **options) -> DataFrame:
     """One row per link text in the items of a page's first ``container``.
 
     ``container`` is a tag and a pattern for its attributes. Links need an
     attribute matching ``anchor_attr`` and a text starting with
     ``text_prefix``; all of them get the topic ``label``. A page without the
-    container gives no row, or fails the query if ``strict``.
+    container gives no row, or fails the query if ``strict``. Options are those
+    of ``link_rows``.
     """
-    tag, attributes = container
-    content = F.col("content")
-    if strict:
-        content = F.coalesce(
-            content,
-            F.raise_error(
-                F.concat(F.lit("no link container in page "), "page_id")
-            ).cast("string"),
-        )
-    anchor = rf"(?is)<a\b[^>]*{anchor_attr}[^>]*>(.*?)</a\s*>"
-    return (
-        pages.transform(add_first_element, "html", "content", [tag], attributes)
-        .select(
-            "page_id",
-            F.posexplode(elements(content, item_tag)).alias("block_no", "item"),
-        )
-        .select(
-            "page_id",
-            "block_no",
-            F.posexplode(
-                F.regexp_extract_all("item", F.lit(anchor), F.lit(1))
-            ).alias("line_no", "text"),
-        )
-        .select(
-            *ORDINALS,
-            F.lit(label).alias("topics"),
-            plain_text(F.col("text")).alias("subreddit"),
-        )
-        .where(F.col("subreddit").startswith(text_prefix))
+    rows = link_rows(F.col("html"), F.col("page_id"), **options)
+    return pages.select("page_id", F.inline(rows)).select(
+        *ORDINALS, "topics", "subreddit"
+    )
+
+
+def extract_both(
+    pages: DataFrame, heading_options: dict, link_options: dict
+) -> DataFrame:
+    """Headed lists and links of the same pages, which are read once.
+
+    ``list_no`` is 0 for rows of headed lists and 1 for links.
+    """
+    lists = F.array(
+        F.struct(
+            F.lit(0).alias("list_no"),
+            heading_rows(F.col("html"), **heading_options).alias("rows"),
+        ),
+        F.struct(
+            F.lit(1).alias("list_no"),
+            link_rows(F.col("html"), F.col("page_id"), **link_options).alias("rows"),
+        ),
+    )
+    return pages.select("page_id", F.inline(lists)).select(
+        "page_id", "list_no", F.inline("rows")
     )
 
 
@@ -136,21 +164,27 @@ def merge_topic_lists(*lists: DataFrame, delimiter: str = ",") -> DataFrame:
     """Distinct topics of each subreddit in one string, first seen first.
 
     Earlier lists come first, then the order within a list. Rows without
-    subreddit are dropped. Repeats are merged before topics are gathered, so a
-    group holds no more than the distinct topics it has to print.
+    subreddit are dropped.
     """
     rows = None
     for number, part in enumerate(lists):
         part = part.select(
-            "topics",
-            "subreddit",
-            F.struct(F.lit(number).alias("list_no"), *ORDINALS).alias("seen"),
+            F.lit(number).alias("list_no"), *ORDINALS, "topics", "subreddit"
         )
         rows = part if rows is None else rows.unionByName(part)
+    return merge_numbered(rows, delimiter)
+
+
+def merge_numbered(rows: DataFrame, delimiter: str = ",") -> DataFrame:
+    """``merge_topic_lists`` of one frame with the column ``list_no``.
+
+    Repeats are merged before topics are gathered, so a group holds no more than
+    the distinct topics it has to print.
+    """
     return (
         rows.where(F.col("subreddit").isNotNull())
         .groupBy("topics", "subreddit")
-        .agg(F.min("seen").alias("seen"))
+        .agg(F.min(F.struct("list_no", *ORDINALS)).alias("seen"))
         .groupBy("subreddit")
         .agg(
             F.array_join(

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame
 from termflow.functions.names import TOPIC_RULES
 from termflow.operators.topic_lists import (
     clean_topic_lists,
+    extract_both,
     extract_heading_blocks,
     extract_links,
+    merge_numbered,
     merge_topic_lists,
 )
 
@@ -25,10 +27,16 @@ def build_topic_map(
 ) -> DataFrame:
     """(topics, subreddit) from pages of headed lists and pages of links.
 
-    Both inputs have (page_id, html). The result fits ``write_topic_map``.
+    Both inputs have (page_id, html); given as one frame, it is read once. The
+    result fits ``write_topic_map``.
     """
-    general = extract_heading_blocks(heading_pages, **(heading_options or {}))
-    links = extract_links(link_pages, **(link_options or {}))
-    return merge_topic_lists(general, links, delimiter=delimiter).transform(
-        clean_topic_lists, rules
-    )
+    headings, links = heading_options or {}, link_options or {}
+    if heading_pages is link_pages:
+        merged = merge_numbered(extract_both(link_pages, headings, links), delimiter)
+    else:
+        merged = merge_topic_lists(
+            extract_heading_blocks(heading_pages, **headings),
+            extract_links(link_pages, **links),
+            delimiter=delimiter,
+        )
+    return merged.transform(clean_topic_lists, rules)

@@ -211,6 +211,16 @@ def test_topic_map_round_trip(spark, tmp_path):
     assert rows(read_topic_map(spark, path)) == rows(expected, "subreddit", "topics")
 
 
+def test_one_frame_of_pages_is_read_once(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    pages(spark, HANDBOOK, CATALOGUE, "", HANDBOOK + CATALOGUE).write.parquet(path)
+    one, other = spark.read.parquet(path), spark.read.parquet(path)
+    built = build_topic_map(one, one)
+    assert rows(built) == rows(build_topic_map(one, other))
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert plan[: plan.index("Initial Plan")].count("FileScan") == 1
+
+
 def test_topic_map_with_an_index_column(spark, tmp_path):
     path = tmp_path / "map.csv"
     path.write_text(',topics,subreddit\n0,"Video Games,Fun",gaming\n')
