@@ -19,6 +19,11 @@ The job goes from cheap, linear steps to exact completion:
    First each set is verified with the most central one beside it, which joins
    groups of copies in a linear number of pairs; then all pairs of still
    different components whose bound is large enough.
+4. Least sets with many rows would give pairs by the square of their number.
+   Their sets are compared in tiles instead (``set_tiles``): a task holds two
+   tiles of sets, counts what all of them share, and gives out only links that
+   join components. Sets whose large groups overlap are compared as one block if
+   that is less work than group by group.
 
 Links are decided on exact intersections of 64-bit shingle hashes.
 
@@ -42,6 +47,7 @@ from termflow.llm.frames import free_name
 from termflow.llm.line_runs import numbered
 from termflow.llm.quality import quoted
 from termflow.llm.set_segments import bands, signatures
+from termflow.llm.set_tiles import blocks_of, supers_of, tile_links
 from termflow.llm.shingles import U64, shingle_set
 from termflow.llm.storage import documents, stored
 from termflow.llm.token_blocks import arrow_schema
@@ -55,6 +61,9 @@ IN_TASK = 4_000_000
 #: Row numbers or signatures sent to all tasks, at most; more are joined.
 MOST_BROADCAST = 4_000_000
 
+#: Least sets with more rows are compared in tiles.
+LARGE = 32
+
 #: A signature found so often in one batch is paired there and travels once.
 HOT_IN_BATCH = 16
 
@@ -62,6 +71,7 @@ SETS = "row bigint, shingles binary"
 DEALT = "shard int, keys binary, rows binary, notes binary"
 STARS = "a bigint, b bigint, in_batch boolean, n bigint, remaining bigint"
 
+
 def sizes_of(docs: DataFrame, row: str) -> DataFrame:
     """row, n_shingles of every document."""
     out = "row bigint, n_shingles bigint"
@@ -366,27 +376,72 @@ def central_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
-def hidden_pairs(rows: DataFrame) -> DataFrame:
+def open_rows(rows: DataFrame) -> DataFrame:
+    """Rows of least sets at which components meet, with the number of these
+    rows (members) and whether the set is not of the least set's component.
+
+    Two sets of different components have no least set in common but these.
+    """
+    groups = (
+        rows.groupBy(F.col("least").alias("of"))
+        .agg(
+            F.count("*").alias("members"),
+            (F.min("label") != F.max("label")).alias("is_open"),
+        )
+        .where("is_open")
+        .drop("is_open")
+    )
+    return (
+        rows.withColumn("apart", F.col("label") != F.col("least_label"))
+        .join(groups, F.col("least") == F.col("of"))
+        .drop("of")
+    )
+
+
+def hidden_pairs(rows: DataFrame, supers: DataFrame | None = None) -> DataFrame:
     """Pairs of different components that may share enough.
 
     All sets leave out rows in one order of least sets. So the set that goes on
     longer has left out every common least set that is not in ``kept``, those that
     only the other one kept included; its ``dropped`` bounds them.
+
+    With ``supers`` (node, super, whole, in_large) the rows are those of small
+    groups. Sets of one super have been compared if it is ``whole``, else what
+    they may share in large groups comes to the bound; others share no large one.
     """
-    rows = stored(
-        rows.withColumn("apart", F.col("label") != F.col("least_label")), "rows"
-    )
+    if "apart" not in rows.columns:
+        rows = rows.withColumn("apart", F.col("label") != F.col("least_label"))
+    if supers is None:
+        rows = rows.selectExpr(
+            "*", "-1L AS super", "false AS whole", "0L AS in_large"
+        )
+    else:
+        rows = (
+            rows.join(supers, F.col("b") == F.col("node"), "left")
+            .drop("node")
+            .withColumn("super", F.coalesce("super", -1 - F.col("b")))
+            .fillna(False, ["whole"])
+            .fillna(0, ["in_large"])
+        )
+    rows = stored(rows, "rows")
     x, y = rows.where("apart").alias("x"), rows.alias("y")
     once = ~F.col("y.apart") | (F.col("x.b") < F.col("y.b"))
+    together = F.col("x.super") == F.col("y.super")
+
+    def bound(side: str):
+        beside = F.when(together, F.col(f"{side}.in_large")).otherwise(0)
+        return F.col(f"{side}.dropped") + beside
+
     return (
         x.join(y, "least")
         .where((F.col("x.label") != F.col("y.label")) & once)
+        .where(~(together & F.col("x.whole")))
         .groupBy(
             F.least("x.b", "y.b").alias("a"), F.greatest("x.b", "y.b").alias("b")
         )
         .agg(
             F.sum(F.least("x.n", "y.n")).alias("kept"),
-            F.max(F.greatest("x.dropped", "y.dropped")).alias("dropped"),
+            F.max(F.greatest(bound("x"), bound("y"))).alias("dropped"),
             F.max(F.greatest("x.remaining", "y.remaining")).alias("remaining"),
         )
         .where("kept + dropped > remaining")
@@ -428,12 +483,20 @@ def all_links(docs: DataFrame, row: str, n_shingles: int) -> DataFrame:
     found = verified(central, sets_in(central, plain))
     links = stored(links.unionByName(found), "links")
 
+    rows = stored(open_rows(labelled_rows(rows, components(links))), "rows")
+    large = rows.where(F.col("members") > LARGE)
+    supers = stored(supers_of(large), "supers")
+    blocks = stored(blocks_of(large, supers), "blocks")
+    in_tiles = tile_links(
+        blocks, sets_in(blocks.select(F.col("b").alias("a"), "b"), plain)
+    )
+
     tested = plausible.select("a", "b").unionByName(central)
-    hidden = hidden_pairs(labelled_rows(rows, components(links))).join(
+    hidden = hidden_pairs(rows.where(F.col("members") <= LARGE), supers).join(
         tested, ["a", "b"], "left_anti"
     )
     hidden = stored(hidden, "pairs")
-    found = verified(hidden, sets_in(hidden, plain))
+    found = verified(hidden, sets_in(hidden, plain)).unionByName(in_tiles)
     return components(stored(links.unionByName(found), "links"))
 
 

@@ -22,6 +22,7 @@ from termflow.llm.repeated_phrases import (
     without_repeated_phrases,
 )
 from termflow.llm.set_segments import band_of, bands, scheme, signatures
+from termflow.llm.set_tiles import shared_counts, tile_links
 from termflow.llm.shingles import shingle_set, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -169,6 +170,70 @@ def test_hidden_pairs_of_a_hot_least_set_that_one_side_drops(spark):
     assert (100, 101) in {(r["a"], r["b"]) for r in found}
 
 
+def near_group(seed, n, words=400, changes=(20, 60)):
+    """Texts made from one by changing some words: many close to the limit."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10_000)}" for _ in range(words)]
+    texts = []
+    for _ in range(n):
+        text, start = list(base), rng.randrange(words)
+        for k in range(rng.randint(*changes)):
+            text[(start + k) % words] = f"x{rng.randrange(10_000)}"
+        texts.append(" ".join(text))
+    return texts
+
+
+def test_hot_group_of_near_copies(spark, tmp_path):
+    """One large group whose sets link along chains, and some small ones."""
+    texts = near_group(1, 500) + near_group(2, 40, 60, (3, 8)) + near_group(3, 3, 30, (1, 2))
+    rows = [(k, text) for k, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    found = jaccard_query(spark, str(tmp_path)).collect()
+    sets = [shingle_set(text) for text in texts]
+    shared = shared_counts(sets, sets)
+    size = np.array([len(x) for x in sets])
+    linked = 100 * shared >= 80 * (size[:, None] + size[None, :] - shared)
+    links = [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(linked, 1)))]
+    want = least_reachable(range(len(texts)), links)
+    assert {r["doc_id"]: r["component_id"] for r in found} == want
+    assert len(links) > 1000 and len(set(want.values())) > 10
+
+
+def test_shared_counts_of_sets():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 6000))).astype(np.uint64) for _ in range(9)]
+    found = shared_counts(sets[:4], sets[4:])
+    want = [[len(np.intersect1d(a, b)) for b in sets[4:]] for a in sets[:4]]
+    assert found.tolist() == want
+    same = [sets[0]] * 3
+    assert shared_counts(same, same).tolist() == [[len(sets[0])] * 3] * 3
+
+
+@pytest.mark.parametrize("tile, tile_bytes", [(1000, 1 << 20), (4, 1 << 20), (1000, 2000)])
+def test_tile_links_join_what_links(spark, tile, tile_bytes):
+    texts = near_group(4, 30, 60, (3, 9)) + ["one two three four five six"] * 3
+    sets = [shingle_set(text) for text in texts]
+    held = spark.createDataFrame(
+        [(k, bytearray(x.tobytes())) for k, x in enumerate(sets)], "row bigint, shingles binary"
+    )
+    labels = {k: k - k % 2 for k in range(30)} | {30: 30, 31: 30, 32: 32}
+    blocks = [(7, k, labels[k]) for k in range(30)] + [(-2, k, labels[k]) for k in range(25, 33)]
+    frame = spark.createDataFrame(blocks, "block bigint, b bigint, label bigint")
+    found = [tuple(r) for r in tile_links(frame, held, tile, tile_bytes).collect()]
+    shared = shared_counts(sets, sets)
+    similar = [
+        (a, b)
+        for a in range(33)
+        for b in range(a + 1, 33)
+        if 100 * shared[a, b] >= 80 * (len(sets[a]) + len(sets[b]) - shared[a, b])
+    ]
+    assert set(found) <= set(similar)
+    assert all(labels[a] != labels[b] for a, b in found)
+    within = list(labels.items())
+    assert least_reachable(range(33), found + within) == least_reachable(range(33), similar + within)
+
+
 def test_segments_find_every_pair_in_reach():
     """Sets at the limit share a signature in a scheme both are indexed in."""
     rng = np.random.default_rng(3)
