@@ -47,7 +47,7 @@ from termflow.llm.frames import free_name
 from termflow.llm.line_runs import numbered
 from termflow.llm.quality import quoted
 from termflow.llm.set_segments import bands, signatures
-from termflow.llm.set_tiles import blocks_of, supers_of, tile_links
+from termflow.llm.set_tiles import supers_of, tile_links
 from termflow.llm.shingles import U64, shingle_set
 from termflow.llm.storage import documents, stored
 from termflow.llm.token_blocks import arrow_schema
@@ -56,8 +56,8 @@ PERCENT = 80
 #: Signatures gathered by a task before they are dealt to shards.
 TOGETHER = 1 << 20
 SHARDS = 1024
-#: Signatures a task of the index should hold, at most.
-IN_TASK = 4_000_000
+#: Shingles whose signatures a task of the index should hold, at most.
+IN_TASK = 1_000_000
 #: Row numbers or signatures sent to all tasks, at most; more are joined.
 MOST_BROADCAST = 4_000_000
 
@@ -485,8 +485,8 @@ def all_links(docs: DataFrame, row: str, n_shingles: int) -> DataFrame:
 
     rows = stored(open_rows(labelled_rows(rows, components(links))), "rows")
     large = rows.where(F.col("members") > LARGE)
-    supers = stored(supers_of(large), "supers")
-    blocks = stored(blocks_of(large, supers), "blocks")
+    supers, blocks = supers_of(large)
+    blocks = stored(blocks, "blocks")
     in_tiles = tile_links(
         blocks, sets_in(blocks.select(F.col("b").alias("a"), "b"), plain)
     )

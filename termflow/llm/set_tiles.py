@@ -30,48 +30,50 @@ TILE_BYTES = 16 << 20
 COLUMNS = 4096
 
 
-def supers_of(large: DataFrame) -> DataFrame:
-    """node, super, whole, in_large of all sets with rows in large groups.
-
-    A super joins groups that have sets in common. It is ``whole`` if comparing
-    all its sets takes no more pairs than comparing each group's. ``in_large`` is
-    what a set's rows in large groups count.
+def supers_of(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(supers, blocks) of the rows of large groups.
+
+    ``supers`` has node, super, whole, in_large of all sets in them. A super joins
+    groups that have sets in common. It is ``whole`` if comparing all its sets
+    takes no more pairs than comparing each group's. ``in_large`` is what a set's
+    rows in large groups count. ``blocks`` has block, b, label: what is compared
+    with each other, a super that is whole, else each of its groups.
     """
-    edges = large.select(F.col("least").alias("a"), "b")
-    found = components(edges)
-    rows = large.join(found, F.col("b") == F.col("node")).select(
-        "least", "node", "n", "members", F.col("component").alias("super")
+    found = components(large.select(F.col("least").alias("a"), "b"))
+    rows = stored(
+        large.join(found, F.col("b") == F.col("node")).select(
+            "least", "b", "label", "n", "members", F.col("component").alias("super")
+        ),
+        "large",
     )
     per_set = stored(
-        rows.groupBy("super", "node").agg(F.sum("n").alias("in_large")), "per-set"
+        rows.groupBy("super", F.col("b").alias("node"), "label").agg(
+            F.sum("n").alias("in_large")
+        ),
+        "per-set",
     )
-    groups = rows.select("super", "least", "members").distinct()
-    by_group = groups.groupBy("super").agg(
-        F.sum(F.col("members") * F.col("members")).alias("by_group")
+    by_group = (
+        rows.groupBy("super", "least")
+        .agg(F.max("members").alias("members"))
+        .groupBy("super")
+        .agg(F.sum(F.col("members") * F.col("members")).alias("by_group"))
     )
     at_once = per_set.groupBy("super").agg(F.count("*").alias("sets"))
-    whole = by_group.join(at_once, "super").select(
-        "super", (F.col("sets") * F.col("sets") <= F.col("by_group")).alias("whole")
+    whole = stored(
+        by_group.join(at_once, "super").select(
+            "super", (F.col("sets") * F.col("sets") <= F.col("by_group")).alias("whole")
+        ),
+        "whole",
     )
-    return per_set.join(whole, "super").select("node", "super", "whole", "in_large")
-
-
-def blocks_of(large: DataFrame, supers: DataFrame) -> DataFrame:
-    """block, b, label: what is compared with each other.
-
-    A super that is whole, else each of its groups.
-    """
-    return (
-        large.join(supers, F.col("b") == F.col("node"))
-        .select(
-            F.when(F.col("whole"), -1 - F.col("super"))
-            .otherwise(F.col("least"))
-            .alias("block"),
-            "b",
-            "label",
-        )
-        .distinct()
+    supers = per_set.join(whole, "super")
+    at_once = supers.where("whole").select(
+        (-1 - F.col("super")).alias("block"), F.col("node").alias("b"), "label"
+    )
+    one_by_one = rows.join(whole.where("NOT whole"), "super").select(
+        F.col("least").alias("block"), "b", "label"
     )
+    blocks = at_once.unionByName(one_by_one)
+    return supers.select("node", "super", "whole", "in_large"), blocks
 
 
 def shared_counts(first: list[np.ndarray], second: list[np.ndarray]) -> np.ndarray:

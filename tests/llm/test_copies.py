@@ -22,7 +22,7 @@ from termflow.llm.repeated_phrases import (
     without_repeated_phrases,
 )
 from termflow.llm.set_segments import band_of, bands, scheme, signatures
-from termflow.llm.set_tiles import shared_counts, tile_links
+from termflow.llm.set_tiles import shared_counts, supers_of, tile_links
 from termflow.llm.shingles import shingle_set, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -200,6 +200,23 @@ def test_hot_group_of_near_copies(spark, tmp_path):
     assert len(links) > 1000 and len(set(want.values())) > 10
 
 
+def test_supers_are_compared_at_once_where_groups_overlap(spark):
+    chain = [(least, b) for least in (1, 5, 9) for b in range(least, least + 5)]
+    heap = [(least, b) for least in (21, 22, 23) for b in range(21, 26)]
+    rows = [(least, b, b % 2, 2, 5) for least, b in chain + heap]
+    large = spark.createDataFrame(
+        rows, "least bigint, b bigint, label bigint, n bigint, members bigint"
+    )
+    supers, blocks = supers_of(large)
+    found = {r["node"]: tuple(r)[1:] for r in supers.collect()}
+    assert found == {k: (1, False, 4 if k in (5, 9) else 2) for k in range(1, 14)} | {
+        k: (21, True, 6) for k in range(21, 26)
+    }
+    assert sorted(map(tuple, blocks.collect())) == sorted(
+        [(least, b, b % 2) for least, b in chain] + [(-22, b, b % 2) for b in range(21, 26)]
+    )
+
+
 def test_shared_counts_of_sets():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 6000))).astype(np.uint64) for _ in range(9)]
