@@ -449,13 +449,18 @@ def hidden_pairs(rows: DataFrame, supers: DataFrame | None = None) -> DataFrame:
     )
 
 
-def sets_in(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The stored sets of all documents that the pairs name."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("row")).distinct()
-    nodes = stored(nodes, "nodes")
+def sets_in(nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The stored sets of the documents whose row numbers these are."""
+    nodes = stored(nodes.distinct(), "nodes")
     return stored(sets_of(docs.join(sent_if_small(nodes), "row")), "sets")
 
 
+def nodes_of(pairs: DataFrame) -> DataFrame:
+    """The rows that the pairs name, each side's made distinct by itself."""
+    first, second = (pairs.select(F.col(side).alias("row")) for side in "ab")
+    return first.distinct().unionByName(second.distinct())
+
+
 def all_links(docs: DataFrame, row: str, n_shingles: int) -> DataFrame:
     """node, component by least row number, for rows with links."""
     wanted = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
@@ -464,7 +469,7 @@ def all_links(docs: DataFrame, row: str, n_shingles: int) -> DataFrame:
     plain = docs.select(F.col(row).alias("row"), "text")
 
     plausible = stored(plausible_pairs(stars), "pairs")
-    sets = sets_in(plausible, plain)
+    sets = sets_in(nodes_of(plausible), plain)
     best = plausible.groupBy("b").agg(
         F.max_by("a", F.struct("n", -F.col("a"))).alias("a")
     )
@@ -480,23 +485,22 @@ def all_links(docs: DataFrame, row: str, n_shingles: int) -> DataFrame:
     central = stored(
         central.join(plausible, ["a", "b"], "left_anti").select("a", "b"), "pairs"
     )
-    found = verified(central, sets_in(central, plain))
+    found = verified(central, sets_in(nodes_of(central), plain))
     links = stored(links.unionByName(found), "links")
 
     rows = stored(open_rows(labelled_rows(rows, components(links))), "rows")
     large = rows.where(F.col("members") > LARGE)
     supers, blocks = supers_of(large)
     blocks = stored(blocks, "blocks")
-    in_tiles = tile_links(
-        blocks, sets_in(blocks.select(F.col("b").alias("a"), "b"), plain)
-    )
+    in_blocks = sets_in(blocks.select(F.col("b").alias("row")), plain)
+    in_tiles = tile_links(blocks, in_blocks)
 
     tested = plausible.select("a", "b").unionByName(central)
     hidden = hidden_pairs(rows.where(F.col("members") <= LARGE), supers).join(
         tested, ["a", "b"], "left_anti"
     )
     hidden = stored(hidden, "pairs")
-    found = verified(hidden, sets_in(hidden, plain)).unionByName(in_tiles)
+    found = verified(hidden, sets_in(nodes_of(hidden), plain)).unionByName(in_tiles)
     return components(stored(links.unionByName(found), "links"))
 
 
