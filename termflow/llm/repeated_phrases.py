@@ -6,15 +6,18 @@ block move no texts. Then, for the whole corpus:
 1. Fingerprints: of every run of 11 ten-word phrases (that is, of every 20-word
    window) the one with the least hash. Equal windows pick equal phrases, so a
    window that occurs twice holds a phrase that does. Phrases met twice are
-   confirmed in shards by hash and reported to the blocks that hold them.
-2. Each block compiles an Aho-Corasick automaton of its confirmed phrases, its
-   shard of all of them, and streams its documents through it. Windows around
-   the occurrences found are dealt to shards by a 128-bit hash.
+   confirmed in shards by hash; each block that holds one is told one place of it.
+2. Each block reads its confirmed phrases at those places, compiles an
+   Aho-Corasick automaton of them, and streams all its documents through it: all
+   further occurrences are known from the automaton alone. Windows around them
+   are dealt to shards by a 128-bit hash. Phrases that no document of the block
+   holds can't match in it and are not in its shard of the automata.
 3. The shards name, for each window that occurs twice, the block of its first
    start, and report to the others. Blocks cut the words of later windows.
 
 A block sends each phrase and window once, so one that is in a third of all
-documents costs a shard one entry per block.
+documents costs a shard one entry per block. Tasks and shards are counted from
+the characters of the texts, so that what a task holds does not grow with them.
 
 Defined cases: NULL texts have no words and stay NULL; rows that share a doc_id
 are documents of their own, ordered by their place in the input; NULL doc_ids
@@ -51,17 +54,21 @@ PHRASE = 10
 RUN = WINDOW - PHRASE + 1
 BLOCK_BITS = 8
 TOGETHER = 1 << 20
-SHARDS = 1024
+#: Shards a task gets, at least, so that tasks get even shares.
+SHARDS_IN_TASK = 16
 #: Characters of text a task should hold, at most.
 IN_TASK = 16_000_000
 
-SENT = "shard int, block bigint, keys binary, more binary, docs binary, counts binary"
+SENT = (
+    "shard int, blocks binary, keys binary, more binary, docs binary, counts binary"
+)
 TOLD = "block bigint, keys binary, more binary, owned binary"
+PLACES = "block bigint, docs binary"
 INFO = "n_words bigint, n_removed bigint, kept_sha256 string"
 
 
-def in_blocks(docs: DataFrame, row: str, block: str) -> DataFrame:
-    """The rows with number and block, as a table bucketed by block."""
+def in_blocks(docs: DataFrame, row: str, block: str) -> tuple[DataFrame, int]:
+    """The rows with number and block, as a table bucketed by block; its buckets."""
     spark = docs.sparkSession
     chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     parts = max(
@@ -78,7 +85,7 @@ def in_blocks(docs: DataFrame, row: str, block: str) -> DataFrame:
         .bucketBy(parts, block)
         .saveAsTable(table)
     )
-    return spark.table(table)
+    return spark.table(table), parts
 
 
 def fingerprints(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,22 +102,35 @@ def fingerprints(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, phrases[at]
 
 
+def second_keys(words: np.ndarray) -> np.ndarray:
+    return window_hashes(mixed(words ^ U64(0x5851F42D4C957F2D)), WINDOW)
+
+
 def window_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Two independent hashes of every window."""
-    other = mixed(words ^ U64(0x5851F42D4C957F2D))
-    return window_hashes(words, WINDOW), window_hashes(other, WINDOW)
+    return window_hashes(words, WINDOW), second_keys(words)
+
+
+def shard_bits(tasks: int) -> int:
+    return max(10, (SHARDS_IN_TASK * tasks - 1).bit_length())
 
 
 class Entries:
-    """Keys to send: one entry per key and block, with its least document."""
+    """Keys to send: one entry per key and block, with its least document.
+
+    ``doc`` is the document's number, or the places of the keys in it.
+    """
 
-    def __init__(self, schema: pa.Schema):
-        self.schema, self.parts, self.size = schema, [], 0
+    def __init__(self, schema: pa.Schema, bits: int):
+        self.schema, self.bits = schema, bits
+        self.parts, self.size = [], 0
 
-    def add(self, block, keys, more, doc: int, row: int) -> None:
+    def add(self, block, keys, more, doc, row: int) -> None:
         if len(keys):
             n = len(keys)
-            numbers = [np.full(n, x, np.int64) for x in (block, doc, row)]
+            numbers = [
+                np.broadcast_to(np.asarray(x, np.int64), n) for x in (block, doc, row)
+            ]
             self.parts.append((keys, more, *numbers))
             self.size += n
 
@@ -129,40 +149,27 @@ class Entries:
         keys, more, block, doc, row = (
             x[starts] for x in (keys, more, block, doc, row)
         )
-        # By shard and block; documents as pairs of doc_id and row.
-        shard = (keys >> U64(64 - 10)).astype(np.int64)
-        order = np.lexsort((block, shard))
-        edges = np.flatnonzero(
-            np.r_[
-                True,
-                (np.diff(shard[order]) != 0) | (np.diff(block[order]) != 0),
-                True,
-            ]
-        )
-        documents_ = np.stack([doc, row], 1)
-        out = []
-        for first, last in zip(edges, edges[1:]):
-            own = order[first:last]
-            out.append(
-                (
-                    int(shard[own[0]]),
-                    int(block[own[0]]),
-                    keys[own].tobytes(),
-                    more[own].tobytes(),
-                    documents_[own].tobytes(),
-                    counts[own].tobytes(),
-                )
-            )
+        # By shard, which rises with the key; documents as pairs of doc and row.
+        shard = (keys >> U64(64 - self.bits)).astype(np.int64)
+        edges = np.flatnonzero(np.r_[True, np.diff(shard) != 0, True])
+        columns = block, keys, more, np.stack([doc, row], 1), counts
+        out = [
+            (int(shard[first]), *(x[first:last].tobytes() for x in columns))
+            for first, last in zip(edges, edges[1:])
+        ]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, f.type) for c, f in zip(zip(*out), self.schema)],
             schema=self.schema,
         )
 
 
-def found_twice(sent: DataFrame) -> DataFrame:
-    """Tell each block which of its keys occur twice, and which it has first."""
-    tasks = int(sent.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    schema = arrow_schema(TOLD)
+def found_twice(sent: DataFrame, tasks: int, places: bool = False) -> DataFrame:
+    """Tell each block which of its keys occur twice, and which it has first.
+
+    With ``places``: tell it only what was sent as document of these keys.
+    """
+    told = PLACES if places else TOLD
+    schema = arrow_schema(told)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
@@ -171,36 +178,38 @@ def found_twice(sent: DataFrame) -> DataFrame:
                 keys, more = (np.frombuffer(x, U64) for x in parts[:2])
                 docs = np.frombuffer(parts[2], np.int64).reshape(-1, 2)
                 counts = np.frombuffer(parts[3], np.int64)
-                blocks = np.full(len(keys), block, np.int64)
-                held.append((keys, more, docs[:, 0], docs[:, 1], counts, blocks))
+                held.append((keys, more, docs, counts, np.frombuffer(block, np.int64)))
         if not held:
             return
-        keys, more, doc, row, counts, block = map(np.concatenate, zip(*held))
+        keys, more, docs, counts, block = map(np.concatenate, zip(*held))
         held.clear()
-        order = np.lexsort((row, doc, more, keys))
+        order = np.lexsort((docs[:, 1], docs[:, 0], more, keys))
         keys, more, counts, block = (x[order] for x in (keys, more, counts, block))
         new = np.r_[True, (keys[1:] != keys[:-1]) | (more[1:] != more[:-1])]
         starts = np.flatnonzero(new)
         lengths = np.diff(np.r_[starts, len(keys)])
         twice = np.repeat(np.add.reduceat(counts, starts) > 1, lengths)
-        owner = np.repeat(block[starts], lengths)
-        keys, more, block, owned = (
-            x[twice] for x in (keys, more, block, block == owner)
-        )
+        if places:
+            columns = [docs[order[twice]]]
+        else:
+            owner = np.repeat(block[starts], lengths)
+            columns = [x[twice] for x in (keys, more, block == owner)]
+        block = block[twice]
+        if not len(block):
+            return
         order = np.argsort(block, kind="stable")
         edges = np.flatnonzero(np.r_[True, np.diff(block[order]) != 0, True])
         out = [
-            (int(block[own[0]]), keys[own].tobytes(), more[own].tobytes(),
-             owned[own].tobytes())
+            (int(block[own[0]]), *(x[own].tobytes() for x in columns))
             for own in (order[a:b] for a, b in zip(edges, edges[1:]) if b > a)
-        ]
+        ]
         if out:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*out), schema)],
                 schema=schema,
             )
 
-    return sent.repartition(tasks, "shard").mapInArrow(meet, TOLD)
+    return sent.repartition(tasks, "shard").mapInArrow(meet, told)
 
 
 def in_order(doc_id: int | None) -> int:
@@ -211,28 +220,28 @@ def encoded(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace")
 
 
-def confirmed_phrases(table: DataFrame, row: str, block: str) -> DataFrame:
-    """Step 1: blocks with the keys of phrases that occur twice."""
-    schema = arrow_schema(SENT)
+def confirmed_phrases(
+    table: DataFrame, row: str, block: str, tasks: int
+) -> DataFrame:
+    """Step 1: blocks with a place of each of their phrases that occur twice."""
+    schema, bits = arrow_schema(SENT), shard_bits(tasks)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = Entries(schema)
+        entries = Entries(schema, bits)
         for batch in batches:
             for number, own, text in zip(batch[0], batch[1], batch[2]):
                 data = encoded(text.as_py())
                 words = hashed_spans(data, *word_spans(data))
-                keys = fingerprints(words)[1]
-                if len(keys):
-                    entries.add(own.as_py(), keys, keys, 0, number.as_py())
+                at, keys = fingerprints(words)
+                entries.add(own.as_py(), keys, keys, at, number.as_py())
                 if entries.size >= TOGETHER:
                     yield entries.batch()
-                    entries = Entries(schema)
+                    entries = Entries(schema, bits)
         if entries.size:
             yield entries.batch()
 
-    return found_twice(
-        table.select(row, block, "text").mapInArrow(index, SENT)
-    )
+    sent = table.select(row, block, "text").mapInArrow(index, SENT)
+    return found_twice(sent, tasks, places=True)
 
 
 def found_in(keys: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,57 +260,49 @@ def told_keys(told: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys[order], more[order], owned[order]
 
 
-def located(texts: list[bytes], confirmed: np.ndarray) -> list[np.ndarray]:
-    """Per text: starts of windows that hold a confirmed phrase.
+def spaced(data: bytes) -> tuple[bytes, np.ndarray]:
+    """The words between single spaces, and where these spaces stand."""
+    plain = b" " + b" ".join(data.split()) + b" "
+    return plain, np.flatnonzero(np.frombuffer(plain, np.uint8) == 32)
 
-    The automaton is compiled from the phrases of these texts that are confirmed,
-    and finds all their occurrences in all of them.
-    """
+
+def phrase_automaton(texts: list[tuple[bytes, np.ndarray]], places: np.ndarray):
+    """The automaton of the phrases at these places: rows of word and text."""
     import ahocorasick
 
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
-    spans, plain = [], []
-    for data in texts:
-        starts, ends = word_spans(data)
-        at, keys = fingerprints(hashed_spans(data, starts, ends))
-        if len(at):
-            at = at[found_in(confirmed, keys)[0]]
-        # Bytes as letters, every word between single spaces.
-        text = " " + b" ".join(data.split()).decode("latin-1") + " "
-        begins = np.cumsum(ends - starts + 1)
-        begins = np.concatenate(([0], begins))  # of the space before each word
-        for k in at.tolist():
-            automaton.add_word(text[begins[k] : begins[k + PHRASE] + 1])
-        plain.append(text)
-        spans.append(begins[:-1])
-    if not len(automaton):
-        return [np.zeros(0, np.int64) for _ in texts]
-    automaton.make_automaton()
-    out = []
-    for text, begins in zip(plain, spans):
-        count = len(begins) - WINDOW + 1
-        if count <= 0:
-            out.append(np.zeros(0, np.int64))
-            continue
-        ends = [(end, length) for end, length in automaton.iter(text)]
-        if not ends:
-            out.append(np.zeros(0, np.int64))
-            continue
-        found = np.array(ends, np.int64)
-        at = np.unique(np.searchsorted(begins, found[:, 0] - found[:, 1] + 1))
-        # Windows that hold the phrase start up to RUN - 1 words before it.
-        change = np.zeros(len(begins) + 1, np.int64)
-        np.add.at(change, np.maximum(at - RUN + 1, 0), 1)
-        np.add.at(change, at + 1, -1)
-        out.append(np.flatnonzero(np.cumsum(change)[:count] > 0))
-    return out
+    for word, k in places.tolist():
+        plain, spaces = texts[k]
+        # Bytes as letters, a space before and after every word.
+        phrase = plain[spaces[word] : spaces[word + PHRASE] + 1]
+        automaton.add_word(phrase.decode("latin-1"))
+    if len(automaton):
+        automaton.make_automaton()
+    return automaton
+
+
+def located(text: tuple[bytes, np.ndarray], automaton) -> np.ndarray:
+    """Starts of the windows of a text that hold a phrase of the automaton."""
+    plain, spaces = text
+    count = len(spaces) - WINDOW
+    if count <= 0 or not len(automaton):
+        return np.zeros(0, np.int64)
+    found = np.array(list(automaton.iter(plain.decode("latin-1"))), np.int64)
+    if not len(found):
+        return np.zeros(0, np.int64)
+    at = np.searchsorted(spaces, found[:, 0] - found[:, 1] + 1)
+    # Windows that hold the phrase start up to RUN - 1 words before it.
+    change = np.zeros(len(spaces) + 1, np.int64)
+    np.add.at(change, np.maximum(at - RUN + 1, 0), 1)
+    np.add.at(change, at + 1, -1)
+    return np.flatnonzero(np.cumsum(change)[:count] > 0)
 
 
 def located_windows(
-    table: DataFrame, row: str, block: str, told: DataFrame
+    table: DataFrame, row: str, block: str, told: DataFrame, tasks: int
 ) -> DataFrame:
     """Step 2: every block's windows around confirmed phrases, to shards."""
-    schema = arrow_schema(SENT)
+    schema, bits = arrow_schema(SENT), shard_bits(tasks)
     docs = table.select(
         F.col(block).alias("block"), F.col(row).alias("row"), "doc_id", "text"
     )
@@ -310,13 +311,19 @@ def located_windows(
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
         own = left["block"][0].as_py()
-        entries = Entries(schema)
-        texts = [encoded(x) for x in left["text"].to_pylist()]
-        numbers = left["row"].to_pylist(), left["doc_id"].to_pylist()
-        confirmed = np.unique(told_keys(right)[0])
-        for data, number, doc, at in zip(texts, *numbers, located(texts, confirmed)):
+        left = left.sort_by("row")
+        texts = [spaced(encoded(x)) for x in left["text"].to_pylist()]
+        rows = left["row"].to_numpy()
+        told = np.frombuffer(b"".join(right["docs"].to_pylist()), np.int64)
+        places = told.reshape(-1, 2).copy()
+        places[:, 1] = np.searchsorted(rows, places[:, 1])
+        automaton = phrase_automaton(texts, places)
+        entries = Entries(schema, bits)
+        for text, number, doc in zip(texts, rows.tolist(), left["doc_id"].to_pylist()):
+            at = located(text, automaton)
             if len(at):
-                words = hashed_spans(data, *word_spans(data))
+                plain, spaces = text
+                words = hashed_spans(plain, spaces[:-1] + 1, spaces[1:])
                 keys, more = (x[at] for x in window_keys(words))
                 entries.add(own, keys, more, in_order(doc), number)
         if not entries.size:
@@ -340,9 +347,12 @@ def later_windows(
     keys, more, owned = told
     if len(words) < WINDOW or not len(keys):
         return np.zeros(0, np.int64)
-    first, second = window_keys(words)
+    first = window_hashes(words, WINDOW)
     known, place = found_in(keys, first)
     at, place = np.flatnonzero(known), place[known]
+    if not len(at):
+        return at
+    second = second_keys(words)
     # Equal first hashes are rare: walk on while the second one differs.
     while True:
         wrong = more[place] != second[at]
@@ -383,9 +393,9 @@ def without_repeated_phrases(docs: DataFrame, info: str | None = None) -> DataFr
     """
     own = list(docs.columns)
     row, block = free_name(docs, "row_number"), free_name(docs, "block")
-    table = in_blocks(docs, row, block)
-    phrases = confirmed_phrases(table, row, block)
-    windows = found_twice(located_windows(table, row, block, phrases))
+    table, tasks = in_blocks(docs, row, block)
+    phrases = confirmed_phrases(table, row, block, tasks)
+    windows = found_twice(located_windows(table, row, block, phrases, tasks), tasks)
     counted = free_name(docs, "counted")
     fields = StructType(
         [*table.schema.fields, *StructType.fromDDL(f"{counted} struct<"

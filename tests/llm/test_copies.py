@@ -6,6 +6,7 @@ from hashlib import sha256
 import numpy as np
 import pytest
 
+from termflow.llm import repeated_phrases
 from termflow.llm.components import components
 from termflow.llm.jaccard_join import (
     first_of_each_group,
@@ -18,7 +19,10 @@ from termflow.llm.jaccard_join import (
 from termflow.llm.line_runs import line_runs_query, without_repeated_runs
 from termflow.llm.quantised import near_vectors, near_vectors_query
 from termflow.llm.repeated_phrases import (
+    located,
+    phrase_automaton,
     repeated_phrases_query,
+    spaced,
     without_repeated_phrases,
 )
 from termflow.llm.set_segments import band_of, bands, scheme, signatures
@@ -45,7 +49,7 @@ def least_reachable(nodes, links):
 # Lines
 
 
-def plain_line_runs(rows):
+def plain_line_runs(rows, least_characters=0):
     """doc_id -> (lines, removed, kept text), by windows of one and two lines."""
     seen, out = set(), {}
     for doc_id, text, *_ in sorted(rows):
@@ -56,7 +60,7 @@ def plain_line_runs(rows):
         places = [k for k, line in enumerate(lines) if WORD.search(line)]
         removed = set()
         for at, k in enumerate(places):
-            if lines[k] in seen and len(lines[k]) >= 40:
+            if lines[k] in seen and len(lines[k]) >= least_characters:
                 removed.add(k)
             seen.add(lines[k])
             if at + 1 < len(places):
@@ -91,6 +95,25 @@ def test_longest_line_run(spark):
     assert found[1]["text"] == "new\nother"
 
 
+def test_single_lines_and_a_guard_for_short_ones(spark):
+    rows = [
+        (1, "a\nfirst text\nAll rights reserved."),
+        (2, "second text\nAll rights reserved.\na"),
+        (3, "a"),
+        (4, "x\nx\nfirst text\nx"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for least in (0, 12):
+        found = without_repeated_runs(docs, least_characters=least).collect()
+        want = {k: kept for k, (_, _, kept) in plain_line_runs(rows, least).items()}
+        if least:
+            # A run of two lines counts however short they are: here there is none.
+            assert want[2] == "second text\na" and want[3] == "a"
+        else:
+            assert want[2] == "second text" and want[3] == "" and want[4] == "x"
+        assert {r["doc_id"]: r["text"] for r in found} == want
+
+
 def test_line_runs_keep_columns(odd_documents, no_documents, clashing, odd_rows):
     docs = clashing(odd_documents)
     found = without_repeated_runs(docs)
@@ -381,6 +404,38 @@ def test_repeated_phrases_in_many_blocks(spark):
     assert found == plain_phrases(rows)
 
 
+def test_the_automaton_finds_what_the_places_do_not_name():
+    words = [f"w{k}" for k in range(80)]
+    texts = [
+        spaced(" ".join(x).encode())
+        for x in (words[:30], ["new", *words[5:33]], words[50:], words[:3])
+    ]
+    none = np.zeros((0, 2), np.int64)
+    empty = phrase_automaton(texts, none)
+    assert all(len(located(text, empty)) == 0 for text in texts)
+    # One place: the tenth word of the first text. The second text holds it too.
+    automaton = phrase_automaton(texts, np.array([[10, 0]]))
+    found = [located(text, automaton).tolist() for text in texts]
+    assert found == [list(range(0, 11)), list(range(0, 7)), [], []]
+
+
+def test_repeated_phrases_with_few_characters_in_a_task(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{k}" for k in range(90)]
+    hot = " ".join(rng.choice(words) for _ in range(40))
+    rows = [
+        (k, " ".join(rng.choice(words) for _ in range(30)) + (" " + hot) * (k % 3 == 0))
+        for k in range(300)
+    ] + [(300, " ".join(rng.choice(words) for _ in range(20_000)) + " " + hot)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    monkeypatch.setattr(repeated_phrases, "IN_TASK", 10_000)
+    found = {
+        r["doc_id"]: (r["info"]["n_words"], r["info"]["n_removed"], r["info"]["kept_sha256"])
+        for r in without_repeated_phrases(docs, "info").collect()
+    }
+    assert found == plain_phrases(rows)
+
+
 def test_repeated_phrases_keep_columns(odd_documents, no_documents, clashing, odd_rows):
     docs = clashing(odd_documents)
     found = without_repeated_phrases(docs)
