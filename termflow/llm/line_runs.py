@@ -11,10 +11,9 @@ leave; doubling ends when none is left.
 
 Each suffix with an earlier one in its class takes the first suffix of its
 longest such class, and halving steps find the exact length of their common
-prefix: a maximal run and its source. A run counts from ``LEAST_LINES`` lines
-on, or as one line of ``LONG_LINE`` characters. Lines in runs that count are
-deleted. This deletes exactly the lines covered by a window of two lines, or by
-one long line, that also starts earlier.
+prefix: a maximal run and its source. Lines in runs are deleted, a run of one
+line included. ``least_characters`` spares runs of one shorter line; it is off
+by default.
 
 Native expressions only. Names come from aggregates that combine before the
 shuffle; classes of any size are joined back, where a hot one can be split.
@@ -35,9 +34,6 @@ from termflow.llm.frames import NOT_BLANK, free_name
 from termflow.llm.quality import quoted
 from termflow.llm.storage import documents, stored
 
-LEAST_LINES = 2
-LONG_LINE = 40
-
 
 def numbered(docs: DataFrame, row: str) -> DataFrame:
     """The rows with a number, stored so that it stays the same."""
@@ -47,7 +43,7 @@ def numbered(docs: DataFrame, row: str) -> DataFrame:
 
 
 def line_sequences(docs: DataFrame, row: str) -> DataFrame:
-    """row, doc_id, seq (place in the sequence), line_no, h1, h2, is_long."""
+    """row, doc_id, seq (place in the sequence), line_no, h1, h2, chars."""
     lines = F.filter(
         F.transform(
             F.split("text", "\n"),
@@ -64,7 +60,7 @@ def line_sequences(docs: DataFrame, row: str) -> DataFrame:
         F.col("x.line_no").alias("line_no"),
         F.xxhash64("x.line").alias("h1"),
         F.xxhash64(F.lit(1), "x.line").alias("h2"),
-        (F.length("x.line") >= LONG_LINE).alias("is_long"),
+        F.length("x.line").alias("chars"),
     )
 
 
@@ -185,7 +181,9 @@ def extended(runs: DataFrame, level: DataFrame, j: int) -> DataFrame:
     return stored(grown.unionByName(runs.where(k <= j)), "runs")
 
 
-def covered_lines(lines: DataFrame, runs: DataFrame) -> DataFrame:
+def covered_lines(
+    lines: DataFrame, runs: DataFrame, least_characters: int = 0
+) -> DataFrame:
     """row -> numbers of the lines in runs that count, and the longest run."""
     order = (
         Window.partitionBy("row")
@@ -193,10 +191,11 @@ def covered_lines(lines: DataFrame, runs: DataFrame) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     end = F.col("seq") + F.col("length")
-    counting = runs.join(
-        lines.select("row", "seq", "is_long"), ["row", "seq"]
-    ).where((F.col("length") >= LEAST_LINES) | F.col("is_long"))
-    fresh = counting.withColumn(
+    if least_characters:
+        runs = runs.join(lines.select("row", "seq", "chars"), ["row", "seq"]).where(
+            (F.col("length") > 1) | (F.col("chars") >= least_characters)
+        )
+    fresh = runs.withColumn(
         "from", F.greatest("seq", F.coalesce(F.max(end).over(order), F.lit(0)))
     ).where(F.col("from") < end)
     return (
@@ -214,10 +213,13 @@ def covered_lines(lines: DataFrame, runs: DataFrame) -> DataFrame:
     )
 
 
-def without_repeated_runs(docs: DataFrame, info: str | None = None) -> DataFrame:
+def without_repeated_runs(
+    docs: DataFrame, info: str | None = None, least_characters: int = 0
+) -> DataFrame:
     """The rows of ``docs``, with the lines of later runs taken out of text.
 
     ``info`` names a struct column to add: n_lines, n_removed, longest_run.
+    Runs of one line of less than ``least_characters`` stay.
     """
     spark, own = docs.sparkSession, list(docs.columns)
     row = free_name(docs, "row_number")
@@ -225,7 +227,7 @@ def without_repeated_runs(docs: DataFrame, info: str | None = None) -> DataFrame
     lines = stored(line_sequences(docs, row), "lines")
     runs = repeated_runs(doubling(lines), spark)
     found = free_name(docs, "found")
-    covered = covered_lines(lines, runs).select(
+    covered = covered_lines(lines, runs, least_characters).select(
         F.col("row").alias(found), F.struct("removed", "longest").alias(found + "s")
     )
     joined = docs.join(covered, F.col(row) == F.col(found), "left")

@@ -12,23 +12,12 @@ sequence AS (
     SELECT doc_id, line, line_no,
            row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS seq
     FROM placed WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-paired AS (
-    SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY seq) AS next
-    FROM sequence),
-counted AS (
-    SELECT doc_id, seq, line, next,
-           row_number() OVER (PARTITION BY line ORDER BY doc_id, seq) AS nth,
-           row_number() OVER (PARTITION BY line, next ORDER BY doc_id, seq)
-           AS pair_nth
-    FROM paired),
-removed AS (
-    SELECT doc_id, seq FROM counted WHERE nth > 1 AND length(line) >= 40
-    UNION SELECT doc_id, seq FROM counted
-          WHERE pair_nth > 1 AND next IS NOT NULL
-    UNION SELECT doc_id, seq + 1 FROM counted
-          WHERE pair_nth > 1 AND next IS NOT NULL),
 gone AS (
-    SELECT doc_id, line_no FROM sequence JOIN removed USING (doc_id, seq)),
+    SELECT doc_id, line_no FROM (
+        SELECT doc_id, line_no,
+               row_number() OVER (PARTITION BY line ORDER BY doc_id, seq) AS nth
+        FROM sequence)
+    WHERE nth > 1),
 kept AS (
     SELECT doc_id, string_agg(line, chr(10) ORDER BY line_no) AS text
     FROM placed ANTI JOIN gone USING (doc_id, line_no) GROUP BY doc_id)
