@@ -6,8 +6,9 @@ trigrams of its lower-cased words, a language the documents it was learned from.
 A document gets the language whose prototype has the highest cosine with it.
 
 Learned from a sample of about ``SAMPLE`` documents per language, chosen by a
-hash of doc_id, for at most ``MOST_LANGUAGES`` languages; nothing but text and
-lang is learned from, and only text decides.
+hash of doc_id, for every language there is; nothing but text and lang is
+learned from, and only text decides. The prototypes, one vector a language, are
+what the driver and each task hold.
 
 Defined cases: texts that are NULL or have no letter are ``und`` with score 0;
 without any learned language all are; equal cosines go to the first name; rows
@@ -24,15 +25,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termflow.llm.storage import documents
+from termflow.llm.storage import documents, stored
 from termflow.llm.token_blocks import arrow_schema
+from termflow.operators.broadcasts import broadcast_if_small
 
 DIMENSIONS = 1024
 SAMPLE = 2000
-MOST_LANGUAGES = 256
-#: Tasks that sum the sample: each returns a vector per language.
+#: Tasks that sum the sample, at least: each adds up its vectors by language.
 TASKS = 12
-TOGETHER = 256  # documents whose trigram vectors are made at once
+TOGETHER = 256  # documents whose trigrams are looked up at once
+SLICE = 8192  # trigrams whose vectors are made at once
+LETTERS = 8192  # letter vectors remembered
 SCALE = 1000  # unit vectors are summed as whole numbers of this scale
 UNKNOWN = "und"
 SUMS = "lang string, sums array<bigint>"
@@ -70,6 +73,8 @@ def trigrams(text: str) -> tuple[np.ndarray, np.ndarray] | None:
 def letter_vector(point: int) -> np.ndarray:
     memory = _state.setdefault("letters", {})
     if point not in memory:
+        if len(memory) >= LETTERS:
+            memory.clear()
         bits = np.random.default_rng(point).integers(0, 2, DIMENSIONS)
         memory[point] = (2 * bits - 1).astype(np.float32)
     return memory[point]
@@ -92,14 +97,22 @@ def bundled(texts: list[str | None]) -> Iterator[np.ndarray | None]:
     for at in range(0, len(texts), TOGETHER):
         found = [trigrams(t) if t else None for t in texts[at : at + TOGETHER]]
         some = [f for f in found if f is not None]
-        if some:
-            grams = np.unique(np.concatenate([f[0] for f in some]))
-            vectors = bound(grams)
+        sums = np.zeros((len(some), DIMENSIONS), np.float32)
+        grams = np.unique(np.concatenate([f[0] for f in some])) if some else ()
+        for first in range(0, len(grams), SLICE):
+            own = grams[first : first + SLICE]
+            vectors = bound(own)
+            for k, (keys, counts) in enumerate(some):
+                a, b = np.searchsorted(keys, [own[0], own[-1] + 1])
+                if a < b:
+                    rows = vectors[np.searchsorted(own, keys[a:b])]
+                    sums[k] += counts[a:b].astype(np.float32) @ rows
+        vectors = iter(sums)
         for f in found:
             if f is None:
                 yield None
                 continue
-            vector = f[1].astype(np.float32) @ vectors[np.searchsorted(grams, f[0])]
+            vector = next(vectors)
             length = float(np.sqrt(np.dot(vector, vector)))
             yield vector / length if length else vector
 
@@ -117,25 +130,27 @@ def learn(docs: DataFrame) -> dict[str, np.ndarray]:
         & F.col("lang").isNotNull()
         & F.col("text").isNotNull()
     )
-    counts = (
-        rows.groupBy("lang")
-        .count()
-        .orderBy(F.desc("count"), "lang")
-        .limit(MOST_LANGUAGES)
-        .collect()
+    counts = stored(
+        rows.groupBy("lang").agg(F.count("*").alias("of_lang")), "languages"
     )
-    if not counts:
-        return {}
+    languages = counts.count()
     parts = 1 << 30
-    chosen = F.lit(False)
-    for row in counts:
-        share = min(parts, parts * SAMPLE // row["count"])
-        place = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
-        chosen = chosen | ((F.col("lang") == row["lang"]) & (place < share))
-    summed = arrow_schema(SUMS)
-    sample = rows.where(chosen).select("lang", "text").repartition(TASKS)
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(parts))
+    sample = (
+        rows.select("lang", "text", place.alias("place"))
+        .join(broadcast_if_small(counts), "lang")
+        .where(F.col("place") < F.floor(F.lit(parts * SAMPLE) / F.col("of_lang")))
+        .select("lang", "text")
+        .repartition(max(TASKS, languages))
+    )
+    schema = arrow_schema(SUMS)
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch_of(sums: dict[str, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict(
+            {"lang": list(sums), "sums": [v.tolist() for v in sums.values()]}, schema
+        )
+
+    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             vectors = bundled(batch["text"].to_pylist())
@@ -143,17 +158,23 @@ def learn(docs: DataFrame) -> dict[str, np.ndarray]:
                 if vector is not None:
                     whole = np.rint(SCALE * vector).astype(np.int64)
                     sums[lang] = sums.get(lang, 0) + whole
-        yield pa.RecordBatch.from_pydict(
-            {"lang": list(sums), "sums": [v.tolist() for v in sums.values()]},
-            summed,
-        )
+            if len(sums) > TOGETHER:
+                yield batch_of(sums)
+                sums = {}
+        yield batch_of(sums)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, part in zip(batch["lang"].to_pylist(), batch["sums"].to_pylist()):
+                sums[lang] = sums.get(lang, 0) + np.array(part, np.int64)
+        yield batch_of(sums)
 
-    totals: dict[str, np.ndarray] = {}
-    for row in sample.mapInArrow(add, SUMS).collect():
-        totals[row["lang"]] = totals.get(row["lang"], 0) + np.array(row["sums"])
+    totals = sample.mapInArrow(bundle, SUMS).repartition("lang").mapInArrow(add, SUMS)
+    prototypes = {r["lang"]: np.array(r["sums"], np.float64) for r in totals.collect()}
     return {
         lang: (total / np.linalg.norm(total)).astype(np.float32)
-        for lang, total in sorted(totals.items())
+        for lang, total in sorted(prototypes.items())
         if total.any()
     }
 

@@ -5,10 +5,12 @@ from collections import Counter
 from html.parser import HTMLParser
 from pathlib import Path
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
-from termflow.llm.language import language_query, learn, predict, trigrams
+from termflow.llm import language
+from termflow.llm.language import bundled, language_query, learn, predict, trigrams
 from termflow.llm.main_text import extract_pages, main_text, main_text_query
 from termflow.llm.quality import (
     judged_documents,
@@ -134,6 +136,38 @@ def test_language(spark, prose, tmp_path):
     assert all(0 <= r["score"] <= 1 for r in found.values())
 
 
+def test_every_language_is_learned(spark):
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(300):
+        own = ["".join(rng.choices(letters, k=4)) for _ in range(6)]
+        rows += [(6 * k + i, " ".join(rng.choices(own, k=40)), f"l{k}") for i in range(6)]
+    schema = "doc_id bigint, text string, lang string"
+    docs = spark.createDataFrame(rows, schema).repartition(4)
+    prototypes = learn(docs)
+    learned = {
+        lang for k, _, lang in rows if zlib.crc32(str(k).encode()) % 4 != 2
+    }
+    assert set(prototypes) == learned and len(learned) > 290
+    want = {k: lang for k, _, lang in rows if lang in learned}
+    found = {r["doc_id"]: r["lang_pred"] for r in predict(docs, prototypes).collect()}
+    right = sum(found[k] == lang for k, lang in want.items())
+    assert right >= 0.98 * len(want)
+
+
+def test_texts_of_many_letters_in_slices(monkeypatch):
+    rng = random.Random(6)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n)) for n in (900, 30)]
+    texts = [*texts, None, "plain text", "..."]
+    whole = list(bundled(texts))
+    monkeypatch.setattr(language, "SLICE", 64)
+    monkeypatch.setattr(language, "LETTERS", 100)
+    for a, b in zip(whole, bundled(texts), strict=True):
+        assert (a is None) == (b is None)
+        assert a is None or np.allclose(a, b, atol=1e-6)
+
+
 def test_language_of_odd_rows(odd_documents, no_documents, odd_rows):
     prototypes = learn(odd_documents)
     found = predict(odd_documents, prototypes).collect()
