@@ -59,9 +59,7 @@ SHARDS_IN_TASK = 16
 #: Characters of text a task should hold, at most.
 IN_TASK = 16_000_000
 
-SENT = (
-    "shard int, blocks binary, keys binary, more binary, docs binary, counts binary"
-)
+SENT = "shard int, keys binary, more binary, docs binary, counts binary"
 TOLD = "block bigint, keys binary, more binary, owned binary"
 PLACES = "block bigint, docs binary"
 INFO = "n_words bigint, n_removed bigint, kept_sha256 string"
@@ -125,34 +123,29 @@ class Entries:
         self.schema, self.bits = schema, bits
         self.parts, self.size = [], 0
 
-    def add(self, block, keys, more, doc, row: int) -> None:
+    def add(self, keys, more, doc, row: int) -> None:
         if len(keys):
             n = len(keys)
-            numbers = [
-                np.broadcast_to(np.asarray(x, np.int64), n) for x in (block, doc, row)
-            ]
+            numbers = [np.broadcast_to(np.asarray(x, np.int64), n) for x in (doc, row)]
             self.parts.append((keys, more, *numbers))
             self.size += n
 
     def batch(self) -> pa.RecordBatch:
-        keys, more, block, doc, row = map(np.concatenate, zip(*self.parts))
-        order = np.lexsort((row, doc, block, more, keys))
-        keys, more, block, doc, row = (
-            x[order] for x in (keys, more, block, doc, row)
-        )
+        keys, more, doc, row = map(np.concatenate, zip(*self.parts))
+        order = np.lexsort((row, doc, row >> BLOCK_BITS, more, keys))
+        keys, more, doc, row = (x[order] for x in (keys, more, doc, row))
+        block = row >> BLOCK_BITS
         new = np.ones(len(keys), bool)
         new[1:] = (
             (keys[1:] != keys[:-1]) | (more[1:] != more[:-1]) | (block[1:] != block[:-1])
         )
         starts = np.flatnonzero(new)
         counts = np.diff(np.r_[starts, len(keys)]).astype(np.int64)
-        keys, more, block, doc, row = (
-            x[starts] for x in (keys, more, block, doc, row)
-        )
+        keys, more, doc, row = (x[starts] for x in (keys, more, doc, row))
         # By shard, which rises with the key; documents as pairs of doc and row.
         shard = (keys >> U64(64 - self.bits)).astype(np.int64)
         edges = np.flatnonzero(np.r_[True, np.diff(shard) != 0, True])
-        columns = block, keys, more, np.stack([doc, row], 1), counts
+        columns = keys, more, np.stack([doc, row], 1), counts
         out = [
             (int(shard[first]), *(x[first:last].tobytes() for x in columns))
             for first, last in zip(edges, edges[1:])
@@ -174,15 +167,16 @@ def found_twice(sent: DataFrame, tasks: int, places: bool = False) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = []
         for batch in batches:
-            for _, block, *parts in zip(*(c.to_pylist() for c in batch.columns)):
+            for _, *parts in zip(*(c.to_pylist() for c in batch.columns)):
                 keys, more = (np.frombuffer(x, U64) for x in parts[:2])
                 docs = np.frombuffer(parts[2], np.int64).reshape(-1, 2)
                 counts = np.frombuffer(parts[3], np.int64)
-                held.append((keys, more, docs, counts, np.frombuffer(block, np.int64)))
+                held.append((keys, more, docs, counts))
         if not held:
             return
-        keys, more, docs, counts, block = map(np.concatenate, zip(*held))
+        keys, more, docs, counts = map(np.concatenate, zip(*held))
         held.clear()
+        block = docs[:, 1] >> BLOCK_BITS
         order = np.lexsort((docs[:, 1], docs[:, 0], more, keys))
         keys, more, counts, block = (x[order] for x in (keys, more, counts, block))
         new = np.r_[True, (keys[1:] != keys[:-1]) | (more[1:] != more[:-1])]
@@ -220,27 +214,25 @@ def encoded(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "replace")
 
 
-def confirmed_phrases(
-    table: DataFrame, row: str, block: str, tasks: int
-) -> DataFrame:
+def confirmed_phrases(table: DataFrame, row: str, tasks: int) -> DataFrame:
     """Step 1: blocks with a place of each of their phrases that occur twice."""
     schema, bits = arrow_schema(SENT), shard_bits(tasks)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries = Entries(schema, bits)
         for batch in batches:
-            for number, own, text in zip(batch[0], batch[1], batch[2]):
+            for number, text in zip(batch[0], batch[1]):
                 data = encoded(text.as_py())
                 words = hashed_spans(data, *word_spans(data))
                 at, keys = fingerprints(words)
-                entries.add(own.as_py(), keys, keys, at, number.as_py())
+                entries.add(keys, keys, at, number.as_py())
                 if entries.size >= TOGETHER:
                     yield entries.batch()
                     entries = Entries(schema, bits)
         if entries.size:
             yield entries.batch()
 
-    sent = table.select(row, block, "text").mapInArrow(index, SENT)
+    sent = table.select(row, "text").mapInArrow(index, SENT)
     return found_twice(sent, tasks, places=True)
 
 
@@ -310,7 +302,6 @@ def located_windows(
     def stream(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return schema.empty_table()
-        own = left["block"][0].as_py()
         left = left.sort_by("row")
         texts = [spaced(encoded(x)) for x in left["text"].to_pylist()]
         rows = left["row"].to_numpy()
@@ -325,7 +316,7 @@ def located_windows(
                 plain, spaces = text
                 words = hashed_spans(plain, spaces[:-1] + 1, spaces[1:])
                 keys, more = (x[at] for x in window_keys(words))
-                entries.add(own, keys, more, in_order(doc), number)
+                entries.add(keys, more, in_order(doc), number)
         if not entries.size:
             return schema.empty_table()
         return pa.Table.from_batches([entries.batch()])
@@ -394,7 +385,7 @@ def without_repeated_phrases(docs: DataFrame, info: str | None = None) -> DataFr
     own = list(docs.columns)
     row, block = free_name(docs, "row_number"), free_name(docs, "block")
     table, tasks = in_blocks(docs, row, block)
-    phrases = confirmed_phrases(table, row, block, tasks)
+    phrases = confirmed_phrases(table, row, tasks)
     windows = found_twice(located_windows(table, row, block, phrases, tasks), tasks)
     counted = free_name(docs, "counted")
     fields = StructType(
