@@ -6,7 +6,6 @@ from dataclasses import dataclass
 
 import numpy as np
 
-MAX_ROUNDS = 8
 #: A rule costs two symbols, so a pair has to occur more often than that.
 LEAST_COUNT = 4
 #: Frequent pairs replaced at once. They are found again each round, so a pair
@@ -25,60 +24,98 @@ class Grammar:
     symbols: np.ndarray
 
 
-def frequent_pairs(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place of each position's pair or -1, the chosen pairs as keys)."""
-    keys = symbols[:-1].astype(np.int64) << 32 | symbols[1:]
+def frequent_pairs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rank of each key's pair or -1, the pairs by rank, what may be frequent).
+
+    The most frequent pair has the highest rank and always has a slot. Keys that
+    share a slot with another pair have no rank, but may be frequent.
+    """
     ordered = np.sort(keys)
     starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
     counts = np.diff(np.r_[starts, len(ordered)])
     often = counts >= LEAST_COUNT
     pairs, counts = ordered[starts[often]], counts[often]
-    order = np.argsort(counts, kind="stable")  # the most frequent come last
+    pairs = pairs[np.argsort(counts, kind="stable")]
 
     def slot(key):
         return ((key * -7046029254386353131) >> 40) & (SLOTS - 1)
 
     table = np.full(SLOTS, -1, np.int32)
-    table[slot(pairs[order])] = order  # and win their slots
-    place = table[slot(keys)]
-    hit = place >= 0
-    hit[hit] = pairs[place[hit]] == keys[hit]
-    return np.where(hit, place, -1), pairs
+    table[slot(pairs)] = np.arange(len(pairs))  # the last, most frequent, win
+    rank = table[slot(keys)]
+    maybe = rank >= 0
+    hit = maybe.copy()
+    hit[hit] = pairs[rank[hit]] == keys[hit]
+    return np.where(hit, rank, -1), pairs, maybe
+
+
+def every_other(at: np.ndarray) -> np.ndarray:
+    """Every other one of each run of neighbours, from its start, as a mask."""
+    index = np.arange(len(at), dtype=np.int32)
+    start = index.copy()
+    start[1:][np.diff(at) == 1] = 0
+    return (index - np.maximum.accumulate(start)) & 1 == 0
 
 
-def without_overlaps(place: np.ndarray) -> np.ndarray:
-    """Positions to replace: every other one of each run, from its start."""
-    at = np.flatnonzero(place >= 0)
-    if not len(at):
-        return at
-    index = np.arange(len(at))
-    first = np.r_[True, np.diff(at) != 1]
-    start = np.maximum.accumulate(np.where(first, index, 0))
-    return at[(index - start) % 2 == 0]
+def above_neighbours(at: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Places whose rank is above those of the places beside them, as a mask."""
+    beside = np.diff(at) == 1
+    rises = np.diff(rank) > 0
+    return np.r_[True, ~beside | rises] & np.r_[~beside | ~rises, True]
 
 
 def build_grammar(ids: np.ndarray) -> Grammar:
-    """Replace frequent pairs by nonterminals until few are left."""
+    """Replace frequent pairs by nonterminals until no pair is frequent.
+
+    Many pairs are replaced at once: of pairs that overlap every other one, and
+    once that replaces little, those of higher rank than their neighbours. The
+    most frequent pair is then replaced wherever it stands, so every round makes
+    a rule until no pair has ``LEAST_COUNT`` occurrences that do not overlap.
+
+    A pair that is not frequent becomes so only with a new symbol. Each round
+    therefore looks at open positions: those beside a new symbol, and those whose
+    pair was, or may have been, frequent.
+    """
     symbols = ids.astype(np.uint32)
     base = int(symbols.max()) + 1 if len(symbols) else 1
     lefts, rights = [], []
     rules = 0
-    for _ in range(MAX_ROUNDS):
-        if len(symbols) < 2 * LEAST_COUNT:
+    is_open = np.ones(len(symbols), bool)  # of the pair that starts there
+    by_rank = False
+    while True:
+        at = np.flatnonzero(is_open[:-1])
+        first, second = symbols[at], symbols[at + 1]
+        # Of x x x, only every other x x counts.
+        twins = np.flatnonzero(first == second)
+        passed = twins[~every_other(at[twins])]
+        keys = np.delete(first.astype(np.int64) << 32 | second, passed)
+        kept = np.delete(at, passed)
+        if len(keys) < LEAST_COUNT:
             break
-        place, pairs = frequent_pairs(symbols)
-        at = without_overlaps(place)
-        used = np.bincount(place[at], minlength=len(pairs)) >= LEAST_COUNT
-        at = at[used[place[at]]]
-        if len(at) * 50 < len(symbols):
+        rank, pairs, maybe = frequent_pairs(keys)
+        if not len(pairs):
             break
+        is_open[:] = False
+        is_open[at[passed]] = True
+        is_open[kept[maybe]] = True
+        chosen = np.flatnonzero(rank >= 0)
+        at, rank = kept[chosen], rank[chosen]
+        choose = above_neighbours(at, rank) if by_rank else every_other(at)
+        at, rank = at[choose], rank[choose]
+        used = np.bincount(rank, minlength=len(pairs)) >= LEAST_COUNT
+        chosen = np.flatnonzero(used[rank])
+        at, rank = at[chosen], rank[chosen]
+        by_rank = by_rank or len(at) * 50 < len(symbols)
         number = np.cumsum(used) - 1 + base + rules
         lefts.append((pairs[used] >> 32).astype(np.uint32))
         rights.append((pairs[used] & 0xFFFFFFFF).astype(np.uint32))
+        is_open[at] = True
+        is_open[at[at > 0] - 1] = True
+        # Where the symbol before is replaced too, its new place is open already.
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
-        symbols[at] = number[place[at]]
-        symbols = symbols[keep]
+        symbols[at] = number[rank]
+        symbols, is_open = symbols[keep], is_open[keep]
         rules += int(used.sum())
     left = np.concatenate(lefts) if lefts else np.zeros(0, np.uint32)
     right = np.concatenate(rights) if rights else np.zeros(0, np.uint32)

@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from termflow.llm import repair
 from termflow.llm.packing import (
     OpenBins,
     best_fit_decreasing,
@@ -18,7 +19,13 @@ from termflow.llm.prefix_tokens import (
     encode_documents,
     prefix_tokens_query,
 )
-from termflow.llm.repair import build_grammar, expand, expand_all, read_range
+from termflow.llm.repair import (
+    LEAST_COUNT,
+    build_grammar,
+    expand,
+    expand_all,
+    read_range,
+)
 from termflow.llm.token_blocks import (
     BLOCKS,
     read_blocks,
@@ -96,6 +103,44 @@ def test_grammar_gives_back_its_ids(ids, data):
         assert read_range(grammar, start, stop).tolist() == array[start:stop].tolist()
 
 
+def frequent_left(grammar):
+    """Pairs of the grammar's symbols with LEAST_COUNT places that do not overlap."""
+    counts, ends = {}, {}
+    symbols = grammar.symbols.tolist()
+    for at, pair in enumerate(zip(symbols, symbols[1:])):
+        if ends.get(pair, -1) <= at:
+            counts[pair] = counts.get(pair, 0) + 1
+            ends[pair] = at + 2 if pair[0] == pair[1] else at
+    return [pair for pair, n in counts.items() if n >= LEAST_COUNT]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 9), max_size=600), st.integers(1, 5))
+def test_grammar_leaves_no_frequent_pair(ids, copies):
+    array = np.array(ids * copies, "<u4")
+    grammar = build_grammar(array)
+    assert frequent_left(grammar) == []
+    assert expand_all(grammar).tolist() == array.tolist()
+
+
+def test_grammar_with_pairs_that_share_slots(monkeypatch):
+    monkeypatch.setattr(repair, "SLOTS", 4)
+    array = np.random.default_rng(3).integers(0, 30, 5000).astype("<u4")
+    grammar = build_grammar(array)
+    assert frequent_left(grammar) == []
+    assert expand(grammar).tolist() == array.tolist()
+
+
+def test_rules_span_a_repeated_passage():
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 40_000, 4096)
+    copies = [np.r_[passage, rng.integers(0, 40_000, 50)] for _ in range(64)]
+    grammar = build_grammar(np.concatenate(copies).astype("<u4"))
+    assert grammar.lengths.max() >= 4096
+    assert len(grammar.symbols) < 64 * 60
+    assert frequent_left(grammar) == []
+
+
 def test_grammar_shortens_repeats():
     grammar = build_grammar(np.tile(np.arange(50, dtype="<u4"), 200))
     assert len(grammar.symbols) + 2 * len(grammar.left) < 1500
