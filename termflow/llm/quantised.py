@@ -9,11 +9,16 @@ vectors in double precision.
 
 Equal vectors form one class, compared once and counted by its size. A pair is
 tested in the first table where it meets, so pairs need not be made distinct.
+Vectors of buckets of up to ``LARGE_BUCKET`` meet as pairs, at most so many for
+each of a vector's 17 keys in a table; larger buckets and what is within one bit
+of them are compared in tiles, which give out counts and components only.
 
 Defined cases: vectors that are NULL, zero or hold NULL or non-finite numbers,
-and NULL labels, link with nothing; vectors of different lengths do not link;
-rows that share a vec_id are one vector each, and a link between them changes
-n_links only; extra columns are ignored; an empty table gives an empty one.
+and NULL labels, link with nothing; rows with a NULL vec_id link with nothing
+either, have no component_id and are kept; vectors of different lengths do not
+link; rows that share a vec_id are one vector each, and a link between them
+changes n_links only; extra columns are ignored; an empty table gives an empty
+one.
 """
 
 from __future__ import annotations
@@ -29,18 +34,36 @@ from pyspark.sql import functions as F
 from termflow.llm.components import components
 from termflow.llm.storage import stored
 from termflow.llm.token_blocks import arrow_schema
+from termflow.llm.vector_tiles import (
+    BUCKET,
+    cosine_at_least,
+    large_buckets,
+    partners_of,
+    tile_counts,
+)
+from termflow.llm.vectors import matrix
+from termflow.operators.broadcasts import broadcast_if_small
 
 LEAST_COSINE = 0.98
 BITS = 64
 TABLES = 4
 SUBSTRING = BITS // TABLES
-#: Vectors the rotation is learned from, chosen by a hash.
+#: Vectors the rotation is learned from, chosen by a hash, and their bytes.
 SAMPLE = 20_000
+SAMPLE_BYTES = 64 << 20
 ROUNDS = 40
+#: Buckets up to this size are compared pair by pair.
+LARGE_BUCKET = 256
+#: A key itself and the keys one bit away.
+FLIPS = [0, *(1 << k for k in range(SUBSTRING))]
 
 
 def classes_of(vectors: DataFrame) -> DataFrame:
-    """Distinct usable vectors: class_id (its least vec_id), n, label, vector."""
+    """Distinct usable vectors: class_id, least (vec_id), n, label, vector.
+
+    Two of them may have one vec_id, so class_id is a number of its own; it is
+    fixed only once the rows are stored.
+    """
     numbers = F.transform("embedding", lambda x: x.cast("double"))
     square = F.aggregate(numbers, F.lit(0.0), lambda total, x: total + x * x)
     finite = F.forall(
@@ -53,7 +76,8 @@ def classes_of(vectors: DataFrame) -> DataFrame:
         )
         .where((square > 0) & (square < float("inf")))
         .groupBy("label", F.col("embedding").alias("vector"))
-        .agg(F.min("vec_id").alias("class_id"), F.count("*").alias("n"))
+        .agg(F.min("vec_id").alias("least"), F.count("*").alias("n"))
+        .withColumn("class_id", F.monotonically_increasing_id())
     )
 
 
@@ -80,15 +104,17 @@ def learn_rotation(sample: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(classes: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """A rotation for every vector length in the sample."""
+    longest = classes.agg(F.max(F.size("vector")).alias("n")).first()["n"] or 1
     rows = (
-        classes.select("class_id", "vector")
-        .orderBy(F.xxhash64("class_id"), "class_id")
-        .limit(SAMPLE)
-        .collect()
+        classes.select("least", "label", "vector")
+        .orderBy(F.xxhash64("least"), "least", "label", "vector")
+        .limit(max(1, min(SAMPLE, SAMPLE_BYTES // (8 * longest))))
+        .select("vector")
+        .toArrow()
     )
     by_length: dict[int, list] = {}
-    for row in rows:
-        by_length.setdefault(len(row["vector"]), []).append(row["vector"])
+    for row in rows["vector"]:
+        by_length.setdefault(len(row), []).append(row.values.to_numpy())
     return {
         length: learn_rotation(unit(np.array(found, float)))
         for length, found in by_length.items()
@@ -106,19 +132,21 @@ def coded(classes: DataFrame, rotations: dict) -> DataFrame:
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = batch["vector"].to_pylist()
+            found = batch["vector"]
+            lengths = found.value_lengths().to_numpy()
             bits = np.zeros((len(found), BITS), np.int64)
-            for k, vector in enumerate(found):
-                x = unit(np.array([vector], float))[0]
-                mean, projection = rotations.get(len(x), (0.0, np.eye(len(x))))
-                values = ((x - mean) @ projection)[:BITS]
-                bits[k, : len(values)] = values >= 0
+            for length in np.unique(lengths):
+                at = np.flatnonzero(lengths == length)
+                x = unit(matrix(found.take(pa.array(at)), length).astype(float))
+                mean, projection = rotations.get(length, (0.0, np.eye(length)))
+                values = ((x - mean) @ projection)[:, :BITS]
+                bits[at, : values.shape[1]] = values >= 0
             parts = bits.reshape(len(found), TABLES, SUBSTRING) @ weights
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["class_id"],
                     batch["label"].cast(pa.int64()),
-                    pa.array(map(len, found), pa.int32()),
+                    pa.array(lengths, pa.int32()),
                     *(pa.array(parts[:, j], pa.int32()) for j in range(TABLES)),
                 ],
                 schema=schema,
@@ -127,25 +155,35 @@ def coded(classes: DataFrame, rotations: dict) -> DataFrame:
     return classes.select("class_id", "label", "vector").mapInArrow(code, out)
 
 
-def meeting_pairs(codes: DataFrame) -> DataFrame:
-    """Pairs a < b of classes that meet in a table, each once."""
-
-    def table(j: int, side: str) -> DataFrame:
-        return codes.select(
+def in_buckets(codes: DataFrame) -> DataFrame:
+    """A row for each class and table: the bucket columns, class_id, code."""
+    code = F.array(*(f"s{k}" for k in range(TABLES)))
+    tables = [
+        codes.select(
             "label",
             "length",
             F.lit(j).alias("table"),
             F.col(f"s{j}").alias("key"),
-            F.col("class_id").alias(side),
-            F.array(*(f"s{k}" for k in range(TABLES))).alias(f"{side}_code"),
+            "class_id",
+            code.alias("code"),
         )
+        for j in range(TABLES)
+    ]
+    return reduce(DataFrame.unionByName, tables)
+
 
-    def union(side: str) -> DataFrame:
-        tables = [table(j, side) for j in range(TABLES)]
-        return reduce(DataFrame.unionByName, tables)
+def meeting_pairs(placed: DataFrame) -> DataFrame:
+    """Pairs a < b of classes that meet in buckets, each once."""
+
+    def side(name: str) -> DataFrame:
+        return placed.select(
+            *BUCKET,
+            F.col("class_id").alias(name),
+            F.col("code").alias(f"{name}_code"),
+        )
 
-    flips = F.array(F.lit(0), *(F.lit(1 << k) for k in range(SUBSTRING)))
-    looking = union("b").withColumn("flip", F.explode(flips)).withColumn(
+    flips = F.array(*map(F.lit, FLIPS))
+    looking = side("b").withColumn("flip", F.explode(flips)).withColumn(
         "key", F.col("key").bitwiseXOR(F.col("flip"))
     )
 
@@ -155,8 +193,8 @@ def meeting_pairs(codes: DataFrame) -> DataFrame:
 
     earlier = [met_at(j) & (F.col("table") > j) for j in range(TABLES - 1)]
     return (
-        union("a")
-        .join(looking.drop("flip"), ["label", "length", "table", "key"])
+        side("a")
+        .join(looking.drop("flip"), BUCKET)
         .where(F.col("a") < F.col("b"))
         .where(~reduce(lambda x, y: x | y, earlier))
         .select("a", "b")
@@ -177,14 +215,16 @@ def linked(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(
-                batch["a_vector"].to_pylist(), batch["b_vector"].to_pylist()
-            ):
-                x, y = np.array(x, float), np.array(y, float)
-                scale = np.sqrt(np.dot(x, x)) * np.sqrt(np.dot(y, y))
-                keep.append(np.dot(x, y) / scale >= LEAST_COSINE)
-            mask = pa.array(keep, pa.bool_())
+            a, b = batch["a_vector"], batch["b_vector"]
+            lengths = a.value_lengths().to_numpy()
+            keep = np.zeros(len(a), bool)
+            for length in np.unique(lengths):
+                at = np.flatnonzero(lengths == length)
+                x, y = (
+                    matrix(v.take(pa.array(at)), length).astype(float) for v in (a, b)
+                )
+                keep[at] = cosine_at_least(x, y, LEAST_COSINE)
+            mask = pa.array(keep)
             yield pa.RecordBatch.from_arrays(
                 [batch["a"].filter(mask), batch["b"].filter(mask)], schema=schema
             )
@@ -192,37 +232,72 @@ def linked(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "a_vector", "b_vector").mapInArrow(compare, out)
 
 
+def counted_links(codes: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(class_id, n of the rows each links with), (a, b of the components)."""
+    placed = in_buckets(codes)
+    buckets = stored(placed.groupBy(*BUCKET).agg(F.count("*").alias("size")), "buckets")
+    large = large_buckets(buckets, LARGE_BUCKET)
+    gone = broadcast_if_small(large.drop("size"))
+    pairs = meeting_pairs(placed.join(gone, BUCKET, "left_anti"))
+    links = stored(linked(pairs, classes), "links")
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    sizes = classes.select(F.col("class_id").alias("b"), "n")
+    counts = both.join(sizes, "b").select(F.col("a").alias("class_id"), "n")
+    if large.isEmpty():
+        return counts, links
+    flips = F.array(*map(F.lit, FLIPS))
+    partners = stored(partners_of(buckets, large, flips), "partners")
+    is_large = broadcast_if_small(large.select(*BUCKET, F.lit(True).alias("large")))
+    marked = placed.join(is_large, BUCKET, "left").withColumn(
+        "large", F.coalesce("large", F.lit(False))
+    )
+    told = stored(tile_counts(marked, partners, classes, LEAST_COSINE), "told")
+    return (
+        counts.unionByName(told.select(F.col("node").alias("class_id"), "n")),
+        links.unionByName(
+            told.where("node != other").select(
+                F.col("node").alias("a"), F.col("other").alias("b")
+            )
+        ),
+    )
+
+
 def near_vectors(vectors: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row."""
     classes = stored(classes_of(vectors), "classes")
     codes = stored(coded(classes, fit(classes)), "codes")
-    links = stored(linked(meeting_pairs(codes), classes), "links")
-    sizes = classes.select("class_id", "n")
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = (
-        both.join(sizes.withColumnRenamed("class_id", "b"), "b")
-        .groupBy(F.col("a").alias("class_id"))
-        .agg(F.sum("n").alias("others"))
-    )
+    counts, links = counted_links(codes, classes)
+    others = counts.groupBy("class_id").agg(F.sum("n").alias("others"))
     found = components(links).withColumnRenamed("node", "class_id")
-    per_class = stored(
+    linked_rows = stored(
         classes.join(others, "class_id", "left")
         .join(found, "class_id", "left")
         .select(
             "label",
             "vector",
+            "least",
             (F.col("n") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "class_id").alias("component"),
+            "component",
         ),
         "links",
     )
-    return vectors.select(
-        "vec_id", "label", F.col("embedding").alias("vector")
-    ).join(per_class, ["label", "vector"], "left").select(
-        "vec_id",
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.coalesce("component", "vec_id").alias("component_id"),
-        (F.col("vec_id") == F.coalesce("component", "vec_id")).alias("kept"),
+    names = linked_rows.groupBy("component").agg(F.min("least").alias("name"))
+    per_class = linked_rows.join(
+        names.where("component IS NOT NULL"), "component", "left"
+    ).select("label", "vector", "n_links", F.coalesce("name", "least").alias("component"))
+    named = F.col("vec_id").isNotNull()
+    component = F.when(named, F.coalesce("component", "vec_id"))
+    return (
+        vectors.select("vec_id", "label", F.col("embedding").alias("vector"))
+        .join(per_class, ["label", "vector"], "left")
+        .select(
+            "vec_id",
+            F.when(named, F.coalesce("n_links", F.lit(0)))
+            .otherwise(F.lit(0))
+            .alias("n_links"),
+            component.alias("component_id"),
+            F.col("vec_id").eqNullSafe(component).alias("kept"),
+        )
     )
 
 

@@ -17,6 +17,7 @@ from termflow.llm.jaccard_join import (
     rare_rows,
 )
 from termflow.llm.line_runs import line_runs_query, without_repeated_runs
+from termflow.llm import quantised, vector_tiles
 from termflow.llm.quantised import near_vectors, near_vectors_query
 from termflow.llm.repeated_phrases import (
     located,
@@ -474,10 +475,8 @@ def vectors():
     return rows
 
 
-def test_near_vectors(spark, vectors, tmp_path):
-    docs = spark.createDataFrame(vectors, VECTORS)
-    docs.write.parquet(str(tmp_path / "embeddings.parquet"))
-    found = {r["vec_id"]: r for r in near_vectors_query(spark, str(tmp_path)).collect()}
+def plain_links(vectors):
+    """(n_links, component_id) by vec_id, by comparing all."""
 
     def usable(x):
         return x and None not in x and np.isfinite(x).all() and any(x)
@@ -490,13 +489,58 @@ def test_near_vectors(spark, vectors, tmp_path):
         if a[2] == b[2] and len(a[1]) == len(b[1]) and cosine(a[1], b[1]) >= 0.98
     ]
     ids = [v[0] for v in vectors]
-    want = least_reachable(ids, links)
     counts = {x: sum(x in pair for pair in links) for x in ids}
-    assert len(links) > 60
+    return counts, least_reachable(ids, links)
+
+
+@pytest.mark.parametrize("largest, tile", [(256, 512), (2, 3), (0, 1)])
+def test_near_vectors(spark, vectors, tmp_path, monkeypatch, largest, tile):
+    monkeypatch.setattr(quantised, "LARGE_BUCKET", largest)
+    monkeypatch.setattr(vector_tiles, "TILE", tile)
+    docs = spark.createDataFrame(vectors, VECTORS)
+    docs.write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = {r["vec_id"]: r for r in near_vectors_query(spark, str(tmp_path)).collect()}
+    counts, want = plain_links(vectors)
+    assert sum(counts.values()) > 120
     assert {x: r["n_links"] for x, r in found.items()} == counts
     assert {x: r["component_id"] for x, r in found.items()} == want
     assert all(r["kept"] == (x == want[x]) for x, r in found.items())
 
 
+def test_vectors_without_or_with_one_id_and_clashing_columns(spark):
+    rows = [
+        (None, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (5, [1.0, 0.0], 1),
+        (5, [1.0, 0.01], 1), (7, [2.0, 0.0], 1), (8, [0.0, 1.0], 1),
+    ]
+    clashing = ("class_id", "n", "vector", "length", "key", "block", "n_links")
+    docs = spark.createDataFrame(rows, VECTORS)
+    docs = docs.selectExpr("*", *(f"'x' AS {name}" for name in clashing))
+    found = near_vectors(docs).collect()
+    assert sorted(map(tuple, found), key=str) == [
+        (5, 2, 5, True), (5, 2, 5, True), (7, 2, 5, False), (8, 0, 8, True),
+        (None, 0, None, True), (None, 0, None, True),
+    ]
+
+
+def test_recall_on_a_hot_label(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(300, 32))
+    # A third of all rows is one crowd, in which most link and none is equal.
+    at = np.where(rng.random(5000) < 0.33, 0, rng.integers(0, 300, 5000))
+    x = (centres[at] + rng.normal(size=(5000, 32)) * 0.13).astype(np.float32)
+    labels = (at % 4).tolist()
+    rows = [(k, v, labels[k]) for k, v in enumerate(x.tolist())]
+    monkeypatch.setattr(vector_tiles, "TILE", 200)
+    found = near_vectors(spark.createDataFrame(rows, VECTORS)).collect()
+    unit = x.astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    link = (unit @ unit.T >= 0.98) & (np.equal.outer(at % 4, at % 4))
+    counts = link.sum(axis=1) - 1
+    n_links = {r["vec_id"]: r["n_links"] for r in found}
+    assert counts.sum() > 500_000
+    assert all(n_links[k] <= counts[k] for k in range(5000))
+    assert sum(n_links.values()) >= 0.99 * counts.sum()
+
+
 def test_no_vectors(spark):
     assert near_vectors(spark.createDataFrame([], VECTORS)).collect() == []
