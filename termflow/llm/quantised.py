@@ -42,7 +42,7 @@ from termflow.llm.vector_tiles import (
     tile_counts,
 )
 from termflow.llm.vectors import matrix
-from termflow.operators.broadcasts import broadcast_if_small
+from termflow.operators.broadcasts import broadcast_if_small, join_totals
 
 LEAST_COSINE = 0.98
 BITS = 64
@@ -281,10 +281,15 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
         ),
         "links",
     )
-    names = linked_rows.groupBy("component").agg(F.min("least").alias("name"))
-    per_class = linked_rows.join(
-        names.where("component IS NOT NULL"), "component", "left"
-    ).select("label", "vector", "n_links", F.coalesce("name", "least").alias("component"))
+    in_one = linked_rows.where("component IS NOT NULL")
+    names = stored(in_one.groupBy("component").agg(F.min("least").alias("name")), "names")
+    per_class = (
+        join_totals(in_one, names, ["component"])
+        .unionByName(
+            linked_rows.where("component IS NULL").withColumn("name", F.col("least"))
+        )
+        .select("label", "vector", "n_links", F.col("name").alias("component"))
+    )
     named = F.col("vec_id").isNotNull()
     component = F.when(named, F.coalesce("component", "vec_id"))
     return (
