@@ -58,6 +58,32 @@ def add_topics(
     )
 
 
+def repeated_ids(comments: DataFrame) -> DataFrame:
+    """``repeated_id``: the ids, or NULL, that more than one row has.
+
+    They are counted at once, without the bodies, and stored.
+    """
+    return stored(
+        comments.groupBy(F.col("id").alias("repeated_id"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select("repeated_id"),
+        "repeated-ids",
+    )
+
+
+def split_repeated_ids(
+    comments: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
+) -> tuple[DataFrame, DataFrame]:
+    """The rows whose id no other row has, and all others."""
+    repeated = broadcast_if_small(repeated_ids(comments), max_broadcast_bytes)
+    same = F.col("id").eqNullSafe(F.col("repeated_id"))
+    return (
+        comments.join(repeated, same, "left_anti"),
+        comments.join(repeated, same, "left_semi"),
+    )
+
+
 def mark_repeated_ids(
     comments: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
@@ -67,13 +93,7 @@ def mark_repeated_ids(
     Without any nothing is joined. They are usually few; only a large size of
     them moves the bodies.
     """
-    repeated = stored(
-        comments.groupBy(F.col("id").alias("repeated_id"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("repeated_id", F.lit(True).alias("is_repeated")),
-        "repeated-ids",
-    )
+    repeated = repeated_ids(comments).withColumn("is_repeated", F.lit(True))
     size = measured_bytes(repeated)
     if not size:
         return comments.withColumn("is_repeated", F.lit(False))

@@ -16,6 +16,7 @@ from termflow.operators.comments import (
     add_topics,
     filter_dates,
     mark_repeated_ids,
+    split_repeated_ids,
 )
 from termflow.operators.tokens import (
     explode_topics,
@@ -27,32 +28,22 @@ from termflow.operators.tokens import (
 from termflow.schemas import COMMENT_TOKENS, COMMENTS, enforce_schema
 
 
-def comment_words(
+def dated_comments(
     comments: DataFrame,
     topic_map: DataFrame,
     start: Bound,
     end: Bound,
     *,
-    stop_words: Iterable[str] = STOP_WORDS,
     normalize_left: bool = False,
     drop_empty_topics: bool = False,
     day_column: str | None = None,
     max_broadcast_bytes: int = BROADCAST_BYTES,
     map_bytes: int | None = None,
-    mark_repeated: bool = False,
 ) -> DataFrame:
-    """(id, word, date, topics) with an array of topics; no wide shuffle.
-
-    Rows repeat where a comment occurs more than once in the input or in the
-    map; ``mark_repeated`` adds the column ``is_repeated`` that says so.
-    ``date`` is a DATE. ``map_bytes`` is the size of the map where it is known,
-    else it is measured. ``day_column`` names a column of ``comments`` that holds the day of
-    ``created_utc``; given a table partitioned by it, only the days in range
-    are read.
-    """
+    """(id, date, body, topics) of the comments in range that have topics."""
     if day_column is not None:
         comments = filter_dates(comments, start, end, day_column)
-    joined = (
+    return (
         comments.select(*COMMENTS.names)
         .transform(add_comment_id)
         .transform(add_date)
@@ -67,8 +58,10 @@ def comment_words(
         )
         .select("id", "date", "body", "topics")
     )
-    if mark_repeated:
-        joined = mark_repeated_ids(joined, max_broadcast_bytes)
+
+
+def words_of(joined: DataFrame, stop_words: Iterable[str] = STOP_WORDS) -> DataFrame:
+    """A row per word of each row's body."""
     return (
         joined.transform(tokenize)
         .transform(remove_stop_words, stop_words)
@@ -76,21 +69,61 @@ def comment_words(
     )
 
 
+def comment_words(
+    comments: DataFrame,
+    topic_map: DataFrame,
+    start: Bound,
+    end: Bound,
+    *,
+    stop_words: Iterable[str] = STOP_WORDS,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
+    mark_repeated: bool = False,
+    **options,
+) -> DataFrame:
+    """(id, word, date, topics) with an array of topics; no wide shuffle.
+
+    Rows repeat where a comment occurs more than once in the input or in the
+    map; ``mark_repeated`` adds the column ``is_repeated`` that says so.
+    ``date`` is a DATE. ``map_bytes`` is the size of the map where it is known,
+    else it is measured. ``day_column`` names a column of ``comments`` that holds the day of
+    ``created_utc``; given a table partitioned by it, only the days in range
+    are read. These and ``normalize_left`` and ``drop_empty_topics`` are options
+    of ``dated_comments``.
+    """
+    options["max_broadcast_bytes"] = max_broadcast_bytes
+    joined = dated_comments(comments, topic_map, start, end, **options)
+    if mark_repeated:
+        joined = mark_repeated_ids(joined, max_broadcast_bytes)
+    return words_of(joined, stop_words)
+
+
 def comment_tokens(
     comments: DataFrame,
     topic_map: DataFrame,
     start: Bound,
     end: Bound,
+    *,
+    stop_words: Iterable[str] = STOP_WORDS,
+    max_broadcast_bytes: int = BROADCAST_BYTES,
+    count_ids: bool = True,
     **options,
 ) -> DataFrame:
     """Unique word tokens per comment and topic; one shuffle in all.
 
-    Words are made distinct in the row, then once over all, after topics are
-    split: an earlier distinct would shuffle the words a second time for the
-    same result. Options are those of ``comment_words``.
+    Words and topics are distinct in the row. The ids are counted at once,
+    without the bodies: only tokens of ids that occur more than once are made
+    distinct over all and shuffled, after topics are split. With ``count_ids``
+    off nothing runs yet, and all tokens are shuffled. Other options are those
+    of ``dated_comments``.
     """
-    return (
-        comment_words(comments, topic_map, start, end, **options)
-        .transform(explode_topics)
-        .transform(enforce_schema, COMMENT_TOKENS)
-    )
+    options["max_broadcast_bytes"] = max_broadcast_bytes
+    joined = dated_comments(comments, topic_map, start, end, **options)
+
+    def tokens(rows: DataFrame, distinct: bool) -> DataFrame:
+        split = words_of(rows, stop_words).transform(explode_topics)
+        return enforce_schema(split, COMMENT_TOKENS, distinct)
+
+    if not count_ids:
+        return tokens(joined, True)
+    once, repeated = split_repeated_ids(joined, max_broadcast_bytes)
+    return tokens(once, False).unionByName(tokens(repeated, True))

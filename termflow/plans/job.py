@@ -87,7 +87,14 @@ def run_job(
     scratch = settings.scratch_path or shared_folder(spark, "job")
     scratch = f"{scratch.rstrip('/')}/{uuid.uuid4().hex}"
     written = Observation("written")
-    tokens = comment_tokens(comments, topic_map, start, end, **settings.options)
+    tokens = comment_tokens(
+        comments,
+        topic_map,
+        start,
+        end,
+        count_ids=settings.tokens_path is not None,
+        **settings.options,
+    )
     try:
         if settings.incremental:
             _refresh(spark, comments, topic_map, settings, scratch, written)
