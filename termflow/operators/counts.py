@@ -12,6 +12,9 @@ from termflow.operators.broadcasts import BROADCAST_BYTES, join_totals
 from termflow.sources.scratch import stored
 
 IN_TOPIC = "daily_word_frequency_in_topic"
+#: Tasks over which the comments with a word of a day are spread.
+ID_SALTS = 8
+ROWS_AT_ONCE = 10_000
 
 
 def with_group_totals(
@@ -33,33 +36,27 @@ def with_group_totals(
     return rows
 
 
-def daily_frequencies(tokens: DataFrame) -> DataFrame:
-    """(date, word, daily_word_frequency, total_daily_word_count).
+def add_daily_word_frequency(tokens: DataFrame) -> DataFrame:
+    """Topic, word, day and daily frequencies, one output row per token.
 
-    Comments with the word that day, however many topics they have, and the
-    day's sum of these. A NULL id counts as one comment. The frequencies are
-    counted at once and stored.
+    Tokens of a topic, word and day give equal rows, so each row of their counts
+    is repeated as often as it was counted, ``ROWS_AT_ONCE`` rows at a time. No
+    token meets its frequency in a join.
     """
-    unique = tokens.select("id", "word", "date").distinct()
-    per_word = stored(
-        unique.groupBy("date", "word").agg(
-            F.count("word").alias("daily_word_frequency")
-        ),
-        "frequencies",
-    )
-    return with_group_totals(
-        per_word, "daily_word_frequency", {"total_daily_word_count": ["date"]}
-    )
-
-
-def add_daily_word_frequency(tokens: DataFrame) -> DataFrame:
-    """Topic, word, day and daily frequencies, one output row per token."""
-    return join_totals(tokens, daily_frequencies(tokens), ["date", "word"]).select(
-        "topic",
-        "word",
-        "date",
-        "daily_word_frequency",
-        "total_daily_word_count",
+    n, start = F.col(IN_TOPIC), F.col("start")
+    last = F.lit(ROWS_AT_ONCE)
+    return (
+        topic_word_frequencies(tokens)
+        .withColumn("start", F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1, last)))
+        .withColumn("times", F.least(n - start, last).cast("int"))
+        .withColumn("one", F.explode(F.array_repeat(F.lit(True), F.col("times"))))
+        .select(
+            "topic",
+            "word",
+            "date",
+            "daily_word_frequency",
+            "total_daily_word_count",
+        )
     )
 
 
@@ -67,24 +64,33 @@ def token_counts(tokens: DataFrame) -> DataFrame:
     """(date, word, daily_word_frequency, in_topic) in one pass over tokens.
 
     ``in_topic`` is an array of (topic, daily_word_frequency_in_topic): at most
-    one entry per topic. Tokens are grouped by word and topic and by word and
-    comment in the same shuffle, behind partial counts; what a hot word of a day
-    sends on from there are numbers.
+    one entry per topic. A comment's tokens of a word are sorted side by side, the
+    first of them carries the comment. A word of a day is dealt to ``ID_SALTS``
+    tasks by id; what these send on are numbers, one row per topic.
     """
+    salted = tokens.where(
+        F.col("word").isNotNull() & F.col("date").isNotNull()
+    ).withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(ID_SALTS)).cast("int"))
+    comments = Window.partitionBy("word", "date", "_salt").orderBy("id")
+    before = F.lag("id").over(comments)
+    is_first = (F.row_number().over(comments) == 1) | ~F.col("id").eqNullSafe(before)
     by_topic = F.struct("topic", F.col("n").alias(IN_TOPIC))
     return (
-        tokens.where(F.col("word").isNotNull() & F.col("date").isNotNull())
-        .groupingSets(
-            [["date", "word", "topic"], ["date", "word", "id"]],
-            "date", "word", "topic", "id",
+        salted.withColumn("is_first", is_first)
+        .groupBy("word", "date", "_salt", "topic")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if("is_first").alias("first_places"),
         )
-        .agg(F.count(F.lit(1)).alias("n"), F.grouping("id").alias("of_topic"))
+        .repartition("date", "word")
+        .groupBy("date", "word", "topic")
+        .agg(F.sum("n").alias("n"), F.sum("first_places").alias("first_places"))
         .groupBy("date", "word")
         .agg(
-            F.count_if(F.col("of_topic") == 0).alias("daily_word_frequency"),
-            F.collect_list(F.when(F.col("of_topic") == 1, by_topic)).alias("in_topic"),
+            F.sum("first_places").alias("daily_word_frequency"),
+            F.collect_list(by_topic).alias("in_topic"),
         )
-    )
+    )
 
 
 def _with_day_totals(counts: DataFrame) -> DataFrame:

@@ -4,8 +4,10 @@ import pytest
 from conftest import END, START, rows
 from pyspark.sql import functions as F
 
+from termflow.operators import counts as N
+from termflow.operators.counts import add_daily_word_frequency, token_counts
 from termflow.plans.comment_tokens import comment_tokens
-from termflow.schemas import COMMENTS
+from termflow.schemas import COMMENT_TOKENS, COMMENTS
 
 MAP = [("nuts", "food,tree"), ("oils", "food")]
 
@@ -43,3 +45,27 @@ def test_only_tokens_of_repeated_ids_are_shuffled(spark, two_topics):
     assert rows(tokens) == rows(lazy)
     assert tokens.count() == 45
     assert tokens.where(F.col("id").isNull()).count() == 4
+
+
+def test_tokens_are_shuffled_once_and_then_numbers(spark):
+    day = "2022-01-01"
+    data = [(f"k{n}", t, "w", day) for n in range(50) for t in ("a", "b")]
+    data += [("k0", "a", "w", day), (None, "c", "w", day), (None, "c", "w", day)]
+    tokens = spark.createDataFrame(data, COMMENT_TOKENS)
+    counts = token_counts(tokens)
+    row = counts.first()
+    assert row["daily_word_frequency"] == 51
+    assert {tuple(r) for r in row["in_topic"]} == {("a", 51), ("b", 50), ("c", 2)}
+    exchanges = [x for x in shuffled(counts).splitlines() if "Exchange hashpart" in x]
+    assert len(exchanges) == 2 and "Expand" not in shuffled(counts)
+    assert not any("id#" in x for x in exchanges if "word#" in x and "_salt" not in x)
+
+
+def test_daily_frequency_repeats_counts_without_joining_tokens(spark, monkeypatch):
+    monkeypatch.setattr(N, "ROWS_AT_ONCE", 3)
+    day = "2022-01-01"
+    data = [(f"k{n}", "a", "w", day) for n in range(10)] + [("k0", "b", "v", day)]
+    daily = add_daily_word_frequency(spark.createDataFrame(data, COMMENT_TOKENS))
+    assert rows(daily) == [("a", "w", day, 10, 11)] * 10 + [("b", "v", day, 1, 11)]
+    plan = shuffled(daily)
+    assert "SortMergeJoin" not in plan and "id#" not in plan
