@@ -129,30 +129,31 @@ def count_topic_words(words: DataFrame) -> DataFrame:
     ``words`` has (id, word, date, topics, is_repeated) with ``topics`` an array
     of distinct topics. Words of a comment whose id occurs once in the input go
     straight to the counts. Only those of repeated ids, NULL among them, are
-    merged by comment and word first. The least topic of a comment's word carries
-    its count towards the daily frequency (``first_places``), so one aggregate
-    yields both counts and no token is read twice.
+    merged by comment and word first. Words are counted by their list of topics,
+    before it is split: a row per word, not per token, and after it a row per list.
+    The least topic of a list carries its count towards the daily frequency
+    (``first_places``), so one aggregate yields both counts and no token is read
+    twice. What follows by day and word finds the rows dealt by these.
     """
-    once = words.where(~F.col("is_repeated")).select(
-        "date", "word", F.array_sort("topics").alias("topics")
-    )
+    topics = F.sort_array("topics").alias("topics")
+    once = words.where(~F.col("is_repeated")).select("date", "word", topics)
     merged = (
         words.where("is_repeated")
         .groupBy("id", "word", "date")
-        .agg(F.flatten(F.collect_set("topics")).alias("topics"))
-        .select(
-            "date",
-            "word",
-            F.array_sort(F.array_distinct("topics")).alias("topics"),
-        )
+        .agg(F.array_distinct(F.flatten(F.collect_set("topics"))).alias("topics"))
+        .select("date", "word", topics)
     )
+    n = F.col("n")
     return (
         once.unionByName(merged)
-        .select("date", "word", F.posexplode("topics").alias("place", "topic"))
+        .groupBy("date", "word", "topics")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .repartition("date", "word")
+        .select("date", "word", "n", F.posexplode("topics").alias("place", "topic"))
         .groupBy("date", "word", "topic")
         .agg(
-            F.count("word").alias("daily_word_frequency_in_topic"),
-            F.count_if(F.col("place") == 0).alias("first_places"),
+            F.sum("n").alias(IN_TOPIC),
+            F.sum(F.when(F.col("place") == 0, n).otherwise(0)).alias("first_places"),
         )
     )
 
@@ -181,7 +182,7 @@ def add_daily_totals(
     )
     rows = counts.withColumn(
         "daily_word_frequency",
-        F.sum("first_places").over(Window.partitionBy("date", "word")),
+        F.sum("first_places").over(Window.partitionBy("word", "date")),
     ).drop("first_places")
     if max_bytes is not None and max_bytes <= BROADCAST_BYTES:
         return rows.join(F.broadcast(totals), ["date", "topic"])

@@ -13,8 +13,11 @@ CHANGE = "change_in_average_of_rate_in_topic"
 
 
 def series() -> Window:
-    """A (topic, word) series in day order: at most one row per day."""
-    return Window.partitionBy("topic", "word").orderBy("date")
+    """A (topic, word) series in day order: at most one row per day.
+
+    The word comes first, for a sort decides most by the start of its first key.
+    """
+    return Window.partitionBy("word", "topic").orderBy("date")
 
 
 def add_rates_and_specificity(df: DataFrame) -> DataFrame:
@@ -57,7 +60,7 @@ def add_five_calendar_day_average(
 ) -> DataFrame:
     """Mean over the rows of the last five calendar days."""
     days = (
-        Window.partitionBy("topic", "word")
+        Window.partitionBy("word", "topic")
         .orderBy(F.unix_date(F.col("date").cast("date")))
         .rangeBetween(1 - ROLLING_ROWS, 0)
     )

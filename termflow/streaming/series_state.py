@@ -37,7 +37,7 @@ def next_rows(rows: DataFrame, n: int) -> DataFrame:
 
 
 def _ranked(rows: DataFrame, order, n: int) -> DataFrame:
-    place = F.row_number().over(Window.partitionBy(*SERIES).orderBy(order))
+    place = F.row_number().over(Window.partitionBy("word", "topic").orderBy(order))
     return rows.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")
 
 

@@ -5,8 +5,9 @@ from conftest import END, START, rows
 from pyspark.sql import functions as F
 
 from termflow.operators import counts as N
-from termflow.operators.counts import add_daily_word_frequency, token_counts
-from termflow.plans.comment_tokens import comment_tokens
+from termflow.operators.counts import add_daily_word_frequency, count_topic_words, token_counts
+from termflow.operators.rates import add_five_row_average
+from termflow.plans.comment_tokens import comment_tokens, comment_words
 from termflow.schemas import COMMENT_TOKENS, COMMENTS
 
 MAP = [("nuts", "food,tree"), ("oils", "food")]
@@ -69,3 +70,21 @@ def test_daily_frequency_repeats_counts_without_joining_tokens(spark, monkeypatc
     assert rows(daily) == [("a", "w", day, 10, 11)] * 10 + [("b", "v", day, 1, 11)]
     plan = shuffled(daily)
     assert "SortMergeJoin" not in plan and "id#" not in plan
+
+
+def test_words_are_counted_before_their_topics_are_split(spark, two_topics):
+    words = comment_words(
+        ten_comments(spark), two_topics, START, END, mark_repeated=True
+    )
+    plan = shuffled(count_topic_words(words))
+    below = plan[plan.rindex("Generate posexplode(topics") :]
+    assert "hashpartitioning(date" in below and "count(1)" in below
+    assert rows(count_topic_words(words), "topic", "word", "first_places") == [
+        ("food", "nut", 10), ("food", "oak", 10), ("tree", "nut", 0), ("tree", "oak", 0),
+    ]
+
+
+def test_series_are_sorted_by_word_first(spark):
+    df = spark.createDataFrame([], "topic string, word string, date string, rate_in_topic double")
+    plan = add_five_row_average(df)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [word#" in plan
