@@ -158,6 +158,17 @@ def count_topic_words(words: DataFrame) -> DataFrame:
     )
 
 
+def add_daily_frequency(counts: DataFrame) -> DataFrame:
+    """``count_topic_words`` with the daily frequency of each row's word.
+
+    The windows span at most all topics: small, however hot the word.
+    """
+    return counts.withColumn(
+        "daily_word_frequency",
+        F.sum("first_places").over(Window.partitionBy("word", "date")),
+    )
+
+
 def add_daily_totals(
     counts: DataFrame, max_bytes: int | None = None
 ) -> DataFrame:
@@ -165,8 +176,7 @@ def add_daily_totals(
 
     ``max_bytes`` bounds the size of the totals per day and topic, if known: if
     it is small, they are broadcast and nothing runs yet. Else they are stored
-    and measured. The windows span at most all topics: small, however hot the
-    word.
+    and measured. ``counts`` may have the daily frequencies already.
     """
     totals = (
         counts.groupBy("date", "topic")
@@ -180,10 +190,10 @@ def add_daily_totals(
         )
         .drop("first_places")
     )
-    rows = counts.withColumn(
-        "daily_word_frequency",
-        F.sum("first_places").over(Window.partitionBy("word", "date")),
-    ).drop("first_places")
+    if "daily_word_frequency" not in counts.columns:
+        rows = add_daily_frequency(counts).drop("first_places")
+    else:
+        rows = counts.drop("first_places")
     if max_bytes is not None and max_bytes <= BROADCAST_BYTES:
         return rows.join(F.broadcast(totals), ["date", "topic"])
     return join_totals(rows, stored(totals, "totals"), ["date", "topic"])

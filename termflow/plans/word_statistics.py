@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from termflow.functions.dates import Bound, day_bounds
 from termflow.operators.counts import (
+    add_daily_frequency,
     add_daily_totals,
     add_word_counts,
     count_topic_words,
@@ -61,6 +62,8 @@ def topic_word_rates(
         **options,
     ).transform(count_topic_words)
     if counts_path is not None:
+        # The rows are dealt by day and word here, not when they are read back.
+        counts = add_daily_frequency(counts)
         counts.write.parquet(counts_path)
         reader = comments.sparkSession.read.schema(counts.schema)
         counts = reader.parquet(counts_path)

@@ -8,6 +8,7 @@ from termflow.operators import counts as N
 from termflow.operators.counts import add_daily_word_frequency, count_topic_words, token_counts
 from termflow.operators.rates import add_five_row_average
 from termflow.plans.comment_tokens import comment_tokens, comment_words
+from termflow.plans.word_statistics import topic_word_rates
 from termflow.schemas import COMMENT_TOKENS, COMMENTS
 
 MAP = [("nuts", "food,tree"), ("oils", "food")]
@@ -84,6 +85,16 @@ def test_words_are_counted_before_their_topics_are_split(spark, two_topics):
     ]
 
 
+def test_stored_counts_are_not_shuffled_by_word_again(spark, tmp_path, two_topics):
+    rates = topic_word_rates(
+        ten_comments(spark), two_topics, START, END, counts_path=str(tmp_path / "c")
+    )
+    assert rows(rates, "topic", "word", "daily_word_frequency", "total_daily_word_count") == [
+        (t, w, 10, 20) for t in ("food", "tree") for w in ("nut", "oak")
+    ]
+    assert "hashpartitioning(word" not in shuffled(rates)
+
+
 def test_series_are_sorted_by_word_first(spark):
     df = spark.createDataFrame([], "topic string, word string, date string, rate_in_topic double")
     plan = add_five_row_average(df)._jdf.queryExecution().executedPlan().toString()
