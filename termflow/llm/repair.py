@@ -42,10 +42,11 @@ def frequent_pairs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
     table = np.full(SLOTS, -1, np.int32)
     table[slot(pairs)] = np.arange(len(pairs))  # the last, most frequent, win
+    if not len(pairs):
+        return np.full(len(keys), -1, np.int32), pairs, np.zeros(len(keys), bool)
     rank = table[slot(keys)]
     maybe = rank >= 0
-    hit = maybe.copy()
-    hit[hit] = pairs[rank[hit]] == keys[hit]
+    hit = maybe & (pairs[rank] == keys)  # -1 takes some pair, which is no hit
     return np.where(hit, rank, -1), pairs, maybe
 
 
@@ -84,7 +85,10 @@ def build_grammar(ids: np.ndarray) -> Grammar:
     by_rank = False
     while True:
         at = np.flatnonzero(is_open[:-1])
-        first, second = symbols[at], symbols[at + 1]
+        if len(at) == len(symbols) - 1:
+            first, second = symbols[:-1], symbols[1:]
+        else:
+            first, second = symbols[at], symbols[at + 1]
         # Of x x x, only every other x x counts.
         twins = np.flatnonzero(first == second)
         passed = twins[~every_other(at[twins])]
@@ -101,6 +105,7 @@ def build_grammar(ids: np.ndarray) -> Grammar:
         chosen = np.flatnonzero(rank >= 0)
         at, rank = kept[chosen], rank[chosen]
         choose = above_neighbours(at, rank) if by_rank else every_other(at)
+        choose = np.flatnonzero(choose)  # places are faster than a mixed mask
         at, rank = at[choose], rank[choose]
         used = np.bincount(rank, minlength=len(pairs)) >= LEAST_COUNT
         chosen = np.flatnonzero(used[rank])
@@ -115,6 +120,7 @@ def build_grammar(ids: np.ndarray) -> Grammar:
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols[at] = number[rank]
+        keep = np.flatnonzero(keep)
         symbols, is_open = symbols[keep], is_open[keep]
         rules += int(used.sum())
     left = np.concatenate(lefts) if lefts else np.zeros(0, np.uint32)

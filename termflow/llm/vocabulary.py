@@ -9,11 +9,14 @@ from __future__ import annotations
 import os
 import unicodedata
 from array import array
+from codecs import charmap_decode
 
 WORD_BPE = "word_bpe_49k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 #: Words remembered by one Python worker; when it is full it starts afresh.
 REMEMBERED = 500_000
+#: Words of ``WordBpe``, whose entries are small: some 200 MB.
+BPE_REMEMBERED = 1_000_000
 LONGEST_REMEMBERED = 64
 #: Marks that no token joins with a letter before them.
 MARKS = ".,!?;:|#$%&*()"
@@ -31,10 +34,12 @@ def vocabulary_path(name: str, folder: str | None = None) -> str:
 class WordMemory(dict):
     """Encoding of each word; words not yet met are encoded on demand."""
 
+    remembered = REMEMBERED
+
     def __missing__(self, word):
         value = self.encode_word(word)
         if len(word) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED:
+            if len(self) >= self.remembered:
                 self.clear()
             self[word] = value
         return value
@@ -50,6 +55,8 @@ class WordBpe(WordMemory):
     ids are those of its words in order.
     """
 
+    remembered = BPE_REMEMBERED
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -60,7 +67,9 @@ class WordBpe(WordMemory):
         # others as the letters from 256 on.
         shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
         hidden = [x for x in range(256) if x not in shown]
-        self.letters = {x: 256 + k for k, x in enumerate(hidden)}
+        self.letters = "".join(
+            chr(256 + hidden.index(x) if x in hidden else x) for x in range(256)
+        )
 
     def encode_word(self, word: str) -> bytes:
         lower = word.lower()
@@ -76,7 +85,7 @@ class WordBpe(WordMemory):
                 marks = lower[len(stem):]
                 return self[stem] + (self[marks] if marks else b"")
             if not stem.isascii():
-                stem = stem.encode().decode("latin-1").translate(self.letters)
+                stem, _ = charmap_decode(stem.encode(), "strict", self.letters)
             return array("I", [x.id for x in self.model.tokenize(stem)]).tobytes()
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
         return array("I", ids).tobytes()
@@ -84,6 +93,9 @@ class WordBpe(WordMemory):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        # Case is dropped anyway. Beyond ASCII a letter's place may decide its case.
+        if text.isascii():
+            text = text.lower()
         words = text.replace("\n", " ").replace("\t", " ").split(" ")
         return b"".join(map(self.__getitem__, words))
 

@@ -71,6 +71,15 @@ def test_word_wise_ids_are_the_whole_text_s(text):
     assert found == whole_ids(encoder.tokenizer, text)
 
 
+def test_ascii_words_are_remembered_without_case(tokenizer):
+    encoder = WordBpe(vocabulary_path(WORD_BPE))
+    text = "Nut nut NUT It'S OAK"
+    ids = tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoder.encode(text), "<u4").tolist() == ids
+    assert set(encoder) == {"nut", "it's", "oak"}
+    assert encoder.encode("Öl Ñ") == b"".join(map(encoder.encode_word, ["öl", "ñ"]))
+
+
 WORD_ENCODER = {}
 PIECE_ENCODER = {}
 
