@@ -3,6 +3,8 @@
 Documents are sets of five-word shingles; see ``set_segments`` for the index.
 The job goes from cheap, linear steps to exact completion:
 
+0. Equal sets, by a digest of 128 bits, are one set from here on: that of their
+   first row.
 1. Signatures of all sets meet in shards. Within a signature every set is paired
    with the least one only. Equal signatures within a batch of documents are
    paired there and travel once, so a hot signature costs a shard one entry per
@@ -36,6 +38,7 @@ NULL component; extra columns are kept; an empty table gives an empty one.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -73,18 +76,63 @@ STARS = "a bigint, b bigint, in_batch boolean, n bigint, remaining bigint"
 
 
 def sizes_of(docs: DataFrame, row: str) -> DataFrame:
-    """row, n_shingles of every document."""
-    out = "row bigint, n_shingles bigint"
+    """row, n_shingles of every document, with a digest of a set that can link."""
+    out = "row bigint, n_shingles bigint, digest binary"
     schema = arrow_schema(out)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes = [len(shingle_set(x.as_py())) for x in batch["text"]]
+            sizes, digests = [], []
+            for text, is_named in zip(batch["text"], batch["is_named"].to_pylist()):
+                elements = shingle_set(text.as_py())
+                sizes.append(len(elements))
+                can_link = is_named and len(elements)
+                digest = blake2b(elements.tobytes(), digest_size=16).digest()
+                digests.append(digest if can_link else None)
             yield pa.RecordBatch.from_arrays(
-                [batch["row"], pa.array(sizes, pa.int64())], schema=schema
+                [
+                    batch["row"],
+                    pa.array(sizes, pa.int64()),
+                    pa.array(digests, pa.binary()),
+                ],
+                schema=schema,
             )
 
-    return docs.select(F.col(row).alias("row"), "text").mapInArrow(measure, out)
+    is_named = F.col("doc_id").isNotNull().alias("is_named")
+    return docs.select(F.col(row).alias("row"), "text", is_named).mapInArrow(measure, out)
+
+
+def equal_sets(sizes: DataFrame) -> DataFrame:
+    """copy, first: rows whose set another row has, with the first of these."""
+    firsts = stored(
+        sizes.where("digest IS NOT NULL")
+        .groupBy("digest")
+        .agg(F.min("row").alias("first"), F.count("*").alias("n"))
+        .where("n > 1")
+        .select("digest", "first"),
+        "firsts",
+    )
+    return (
+        sizes.join(sent_if_small(firsts), "digest")
+        .where("row != first")
+        .select(F.col("row").alias("copy"), "first")
+    )
+
+
+def with_equal_sets(labels: DataFrame, equal: DataFrame) -> DataFrame:
+    """node, component for the rows in ``equal`` too."""
+    copies = (
+        equal.join(labels, F.col("first") == F.col("node"), "left")
+        .withColumn("component", F.coalesce("component", "first"))
+    )
+    alone = copies.where("node IS NULL").select(
+        F.col("first").alias("node"), "component"
+    )
+    return (
+        labels.select("node", "component")
+        .unionByName(copies.select(F.col("copy").alias("node"), "component"))
+        .unionByName(alone.distinct())
+    )
 
 
 def sets_of(docs: DataFrame) -> DataFrame:
@@ -514,7 +562,10 @@ def near_documents(docs: DataFrame, name: str) -> DataFrame:
     docs = numbered(docs, row)
     sizes = stored(sizes_of(docs, row), "sizes")
     total = sizes.agg(F.coalesce(F.sum("n_shingles"), F.lit(0))).first()[0]
-    labels = all_links(docs, row, int(total))
+    equal = stored(equal_sets(sizes), "equal")
+    copies = sent_if_small(equal.select(F.col("copy").alias(row)))
+    linked = all_links(docs.join(copies, row, "left_anti"), row, int(total))
+    labels = stored(with_equal_sets(linked, equal), "labels")
     ids = docs.select(F.col(row).alias("node"), "doc_id")
     first = F.min(F.struct("doc_id", "node"))
     firsts = (

@@ -14,7 +14,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termflow.llm.components import components
@@ -39,22 +39,28 @@ def supers_of(large: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows in large groups count. ``blocks`` has block, b, label: what is compared
     with each other, a super that is whole, else each of its groups.
     """
-    found = components(large.select(F.col("least").alias("a"), "b"))
-    rows = stored(
-        large.join(found, F.col("b") == F.col("node")).select(
-            "least", "b", "label", "n", "members", F.col("component").alias("super")
-        ),
-        "large",
+    large = stored(large.select("least", "b", "label", "n", "members"), "large")
+    # A set joins its groups. It is in no edge itself: groups go with its first one.
+    first = large.withColumn("first", F.min("least").over(Window.partitionBy("b")))
+    found = components(first.select(F.col("first").alias("a"), F.col("least").alias("b")))
+    found = found.select("node", F.col("component").alias("super"))
+
+    def with_super(rows: DataFrame, group: str) -> DataFrame:
+        rows = rows.join(found, F.col(group) == F.col("node"), "left").drop("node")
+        return rows.withColumn("super", F.coalesce("super", group))
+
+    sets = large.groupBy("b", "label").agg(
+        F.min("least").alias("first"), F.sum("n").alias("in_large")
     )
     per_set = stored(
-        rows.groupBy("super", F.col("b").alias("node"), "label").agg(
-            F.sum("n").alias("in_large")
+        with_super(sets, "first").select(
+            "super", F.col("b").alias("node"), "label", "in_large"
         ),
         "per-set",
     )
+    groups = large.groupBy("least").agg(F.max("members").alias("members"))
     by_group = (
-        rows.groupBy("super", "least")
-        .agg(F.max("members").alias("members"))
+        with_super(groups, "least")
         .groupBy("super")
         .agg(F.sum(F.col("members") * F.col("members")).alias("by_group"))
     )
@@ -69,9 +75,9 @@ def supers_of(large: DataFrame) -> tuple[DataFrame, DataFrame]:
     at_once = supers.where("whole").select(
         (-1 - F.col("super")).alias("block"), F.col("node").alias("b"), "label"
     )
-    one_by_one = rows.join(whole.where("NOT whole"), "super").select(
-        F.col("least").alias("block"), "b", "label"
-    )
+    one_by_one = large.join(
+        supers.where("NOT whole").select(F.col("node").alias("b")), "b"
+    ).select(F.col("least").alias("block"), "b", "label")
     blocks = at_once.unionByName(one_by_one)
     return supers.select("node", "super", "whole", "in_large"), blocks
 

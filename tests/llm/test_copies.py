@@ -6,7 +6,8 @@ from hashlib import sha256
 import numpy as np
 import pytest
 
-from termflow.llm import repeated_phrases
+from termflow.llm import components as components_module
+from termflow.llm import jaccard_join, repeated_phrases, set_tiles
 from termflow.llm.components import components
 from termflow.llm.jaccard_join import (
     first_of_each_group,
@@ -29,6 +30,7 @@ from termflow.llm.repeated_phrases import (
 from termflow.llm.set_segments import band_of, bands, scheme, signatures
 from termflow.llm.set_tiles import shared_counts, supers_of, tile_links
 from termflow.llm.shingles import shingle_set, word_hashes
+from termflow.llm.storage import stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -241,6 +243,66 @@ def test_supers_are_compared_at_once_where_groups_overlap(spark):
     )
 
 
+def test_exact_copies_are_indexed_once(spark, monkeypatch):
+    indexed = []
+
+    def counted(docs, *rest):
+        indexed.extend(r["doc_id"] for r in docs.select("doc_id").collect())
+        return star_table(docs, *rest)
+
+    star_table = jaccard_join.star_table
+    monkeypatch.setattr(jaccard_join, "star_table", counted)
+    texts = ["a b c d e f g", "A b c  d e f g", "x y", "X y", "x z", None, "", "a b c d e f g"]
+    data = [(30 - k, text) for k, text in enumerate(texts)] + [(None, "x y"), (None, "x y")]
+    docs = spark.createDataFrame(data, "doc_id bigint, text string")
+    found = near_documents(docs, "near").select("doc_id", "near.*").collect()
+    assert sorted(map(tuple, found), key=str) == sorted(
+        [
+            (30, 3, 23, False), (29, 3, 23, False), (23, 3, 23, True),
+            (28, 1, 27, False), (27, 1, 27, True), (26, 1, 26, True),
+            (25, 0, 25, True), (24, 0, 24, True),
+            (None, 1, None, True), (None, 1, None, True),
+        ],
+        key=str,
+    )
+    with_words = [x for x in indexed if x not in (24, 25, None)]
+    assert len(with_words) == 3 and 26 in with_words
+
+
+def test_groups_are_joined_without_an_edge_for_each_set(spark, monkeypatch):
+    joined = []
+
+    def counted(edges):
+        joined.append(edges.where("a != b").distinct().count())
+        return components(edges)
+
+    monkeypatch.setattr(set_tiles, "components", counted)
+    rows = [(least, b, b, 1, 200) for least in (1, 2, 3) for b in range(10, 210)]
+    rows += [(5, 300, 300, 1, 200), (6, 301, 301, 1, 200)]
+    schema = "least bigint, b bigint, label bigint, n bigint, members bigint"
+    supers, _ = supers_of(spark.createDataFrame(rows, schema))
+    found = {r["node"]: r["super"] for r in supers.collect()}
+    assert found == {b: 1 for b in range(10, 210)} | {300: 5, 301: 6}
+    assert joined == [2]
+
+
+def test_a_round_leaves_only_edges_between_labels(spark, monkeypatch):
+    edges = []
+
+    def kept(df, name):
+        df = stored(df, name)
+        edges.extend([df.count()] * (name == "edges"))
+        return df
+
+    monkeypatch.setattr(components_module, "stored", kept)
+    links = [(1, k) for k in range(2, 50)] + [(60 + k, 61 + k) for k in range(9)]
+    labels = components(spark.createDataFrame(links, "a bigint, b bigint"))
+    assert {tuple(r) for r in labels.collect()} == {(k, 1) for k in range(1, 50)} | {
+        (60 + k, 60) for k in range(10)
+    }
+    assert edges[0] == 57 and edges[1] < 9 and edges[-1] == 0
+
+
 def test_shared_counts_of_sets():
     rng = np.random.default_rng(5)
     sets = [np.unique(rng.integers(0, 9000, rng.integers(1, 6000))).astype(np.uint64) for _ in range(9)]
