@@ -395,27 +395,34 @@ def labelled_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def central_pairs(rows: DataFrame) -> DataFrame:
-    """Each set with the most central one of its least sets' rows.
+    """Each set with the most central one of all its least sets' rows.
 
     That is the one that shares most in all, in a group of copies the one the
     others were made from. And the sets that are not in its component with the
-    most central among them.
+    most central among them. A set has two pairs at most, however many groups it
+    is in.
     """
 
     def with_leader(rows: DataFrame) -> DataFrame:
         leaders = rows.groupBy("least").agg(
             F.max_by(
                 F.struct("b", "label"), F.struct("total", -F.col("b"))
-            ).alias("leader")
+            ).alias("leader"),
+            F.max("total").alias("leader_total"),
         )
         return rows.join(leaders, "least").where(
             F.col("label") != F.col("leader.label")
         )
 
+    def most_central(rows: DataFrame) -> DataFrame:
+        best = F.struct("leader_total", -F.col("leader.b"))
+        return rows.groupBy("b").agg(F.max_by("leader", best).alias("leader"))
+
     first = with_leader(rows)
-    second = with_leader(first.drop("leader"))
+    second = with_leader(first.drop("leader", "leader_total"))
     return (
-        first.unionByName(second)
+        most_central(first)
+        .unionByName(most_central(second))
         .select(
             F.least("b", "leader.b").alias("a"),
             F.greatest("b", "leader.b").alias("b"),

@@ -10,6 +10,7 @@ from termflow.llm import components as components_module
 from termflow.llm import jaccard_join, repeated_phrases, set_tiles
 from termflow.llm.components import components
 from termflow.llm.jaccard_join import (
+    central_pairs,
     first_of_each_group,
     hidden_pairs,
     jaccard_query,
@@ -269,6 +270,18 @@ def test_exact_copies_are_indexed_once(spark, monkeypatch):
     assert len(with_words) == 3 and 26 in with_words
 
 
+def test_a_set_in_many_groups_has_two_central_pairs_at_most(spark):
+    rows = [
+        (least, b, b, least, 100 + b if b < 10 else 1)
+        for least in range(1, 9)
+        for b in (least, *range(50, 70))
+    ]
+    schema = "least bigint, b bigint, label bigint, least_label bigint, total bigint"
+    found = [tuple(r) for r in central_pairs(spark.createDataFrame(rows, schema)).collect()]
+    assert {(8, b) for b in range(50, 70)} <= set(found)
+    assert len(found) <= 2 * 28
+
+
 def test_groups_are_joined_without_an_edge_for_each_set(spark, monkeypatch):
     joined = []
 
