@@ -381,17 +381,19 @@ def rare_rows(stars: DataFrame) -> DataFrame:
     )
 
 
+def labelled(rows: DataFrame, labels: DataFrame, side: str, name: str) -> DataFrame:
+    """The rows with the component of the set in column ``side``."""
+    return rows.join(
+        labels.select(F.col("node").alias(side), F.col("component").alias(name)),
+        side,
+        "left",
+    ).withColumn(name, F.coalesce(name, side))
+
+
 def labelled_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows with the components of b (label) and of the least set."""
-    for side, name in (("least", "least_label"), ("b", "label")):
-        rows = rows.join(
-            labels.select(
-                F.col("node").alias(side), F.col("component").alias(name)
-            ),
-            side,
-            "left",
-        ).withColumn(name, F.coalesce(name, side))
-    return rows
+    rows = labelled(rows, labels, "least", "least_label")
+    return labelled(rows, labels, "b", "label")
 
 
 def central_pairs(rows: DataFrame) -> DataFrame:
@@ -431,14 +433,14 @@ def central_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
-def open_rows(rows: DataFrame) -> DataFrame:
-    """Rows of least sets at which components meet, with the number of these
-    rows (members) and whether the set is not of the least set's component.
+def open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (with label) of least sets at which components meet, with the number of
+    these rows (members) and whether the set is not of the least set's component.
 
     Two sets of different components have no least set in common but these.
     """
     groups = (
-        rows.groupBy(F.col("least").alias("of"))
+        rows.groupBy("least")
         .agg(
             F.count("*").alias("members"),
             (F.min("label") != F.max("label")).alias("is_open"),
@@ -446,10 +448,8 @@ def open_rows(rows: DataFrame) -> DataFrame:
         .where("is_open")
         .drop("is_open")
     )
-    return (
-        rows.withColumn("apart", F.col("label") != F.col("least_label"))
-        .join(groups, F.col("least") == F.col("of"))
-        .drop("of")
+    return rows.join(labelled(groups, labels, "least", "least_label"), "least").withColumn(
+        "apart", F.col("label") != F.col("least_label")
     )
 
 
@@ -536,14 +536,18 @@ def all_links(docs: DataFrame, row: str, n_shingles: int) -> DataFrame:
     links = stored(links.unionByName(verified(rest, sets)), "links")
 
     rows = stored(rare_rows(stars), "rows")
-    central = central_pairs(labelled_rows(rows, components(links)))
+    # Central pairs read these rows several times.
+    central = central_pairs(
+        stored(labelled(rows, components(links), "b", "label"), "labelled")
+    )
     central = stored(
         central.join(plausible, ["a", "b"], "left_anti").select("a", "b"), "pairs"
     )
     found = verified(central, sets_in(nodes_of(central), plain))
     links = stored(links.unionByName(found), "links")
 
-    rows = stored(open_rows(labelled_rows(rows, components(links))), "rows")
+    labels = components(links)
+    rows = stored(open_rows(labelled(rows, labels, "b", "label"), labels), "rows")
     large = rows.where(F.col("members") > LARGE)
     supers, blocks = supers_of(large)
     blocks = stored(blocks, "blocks")

@@ -16,6 +16,7 @@ from termflow.llm.jaccard_join import (
     jaccard_query,
     labelled_rows,
     near_documents,
+    open_rows,
     rare_rows,
 )
 from termflow.llm.line_runs import line_runs_query, without_repeated_runs
@@ -282,6 +283,14 @@ def test_a_set_in_many_groups_has_two_central_pairs_at_most(spark):
     assert len(found) <= 2 * 28
 
 
+def test_least_sets_get_their_label_once_for_a_group(spark):
+    rows = [(1, b, b % 2) for b in range(10, 20)] + [(2, b, 0) for b in range(10, 20, 2)]
+    rows = spark.createDataFrame(rows, "least bigint, b bigint, label bigint")
+    labels = spark.createDataFrame([(1, 0)], "node bigint, component bigint")
+    found = open_rows(rows, labels).select("least", "b", "members", "apart").collect()
+    assert sorted(map(tuple, found)) == [(1, b, 10, b % 2 == 1) for b in range(10, 20)]
+
+
 def test_groups_are_joined_without_an_edge_for_each_set(spark, monkeypatch):
     joined = []
 
