@@ -25,7 +25,9 @@ The job goes from cheap, linear steps to exact completion:
    Their sets are compared in tiles instead (``set_tiles``): a task holds two
    tiles of sets, counts what all of them share, and gives out only links that
    join components. Sets whose large groups overlap are compared as one block if
-   that is less work than group by group.
+   that is less work than group by group. Blocks are made before step 3 pairs
+   sets, so a set of a block has one row from there on, however many of its
+   groups the block joins.
 
 Links are decided on exact intersections of 64-bit shingle hashes.
 
@@ -64,11 +66,14 @@ IN_TASK = 1_000_000
 #: Row numbers or signatures sent to all tasks, at most; more are joined.
 MOST_BROADCAST = 4_000_000
 
-#: Least sets with more rows are compared in tiles.
+#: Least sets with more rows, those left out included, are compared in tiles.
 LARGE = 32
 
-#: A signature found so often in one batch is paired there and travels once.
-HOT_IN_BATCH = 16
+#: A signature found so often in one batch is paired there and travels once: one that
+#: would give its shard as much as all others together. Members of rarer ones travel
+#: each by itself, for pairing names only the batch's least set, and a set then has a
+#: row for whatever that one shares with others.
+HOT_IN_BATCH = TOGETHER // SHARDS
 
 SETS = "row bigint, shingles binary"
 DEALT = "shard int, keys binary, rows binary, notes binary"
@@ -342,7 +347,10 @@ def plausible_pairs(stars: DataFrame) -> DataFrame:
 
 
 def rare_rows(stars: DataFrame) -> DataFrame:
-    """Step 3: least, b, n, remaining, dropped, total after prefix filtering."""
+    """Step 3: least, b, n, remaining, dropped, total after prefix filtering.
+
+    ``size`` is how many rows the least set had before.
+    """
     in_batch = stars.where("in_batch and a != b")
     through = in_batch.select(
         F.col("a").alias("least"), "b", "n", "remaining"
@@ -377,7 +385,7 @@ def rare_rows(stars: DataFrame) -> DataFrame:
         .where(~dropped)
     )
     return rows.select(
-        F.col("a").alias("least"), "b", "n", "remaining", "dropped", "total"
+        F.col("a").alias("least"), "b", "n", "remaining", "dropped", "total", "size"
     )
 
 
@@ -433,6 +441,25 @@ def central_pairs(rows: DataFrame) -> DataFrame:
     )
 
 
+def in_blocks(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(groups, supers) of ``rare_rows``, stored.
+
+    ``groups`` has the rows of small groups and, with ``in_block``, what is compared
+    in tiles: a row for a set in a block. ``supers`` is as in ``supers_of``.
+    """
+    supers, blocks = supers_of(rows.where(F.col("size") > LARGE), "total")
+    blocks = blocks.select(
+        F.col("block").alias("least"), "b", "total", F.lit(True).alias("in_block")
+    )
+    groups = (
+        rows.where(F.col("size") <= LARGE)
+        .drop("size")
+        .withColumn("in_block", F.lit(False))
+        .unionByName(blocks, allowMissingColumns=True)
+    )
+    return stored(groups, "groups"), stored(supers, "supers")
+
+
 def open_rows(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (with label) of least sets at which components meet, with the number of
     these rows (members) and whether the set is not of the least set's component.
@@ -535,10 +562,10 @@ def all_links(docs: DataFrame, row: str, n_shingles: int) -> DataFrame:
     )
     links = stored(links.unionByName(verified(rest, sets)), "links")
 
-    rows = stored(rare_rows(stars), "rows")
+    groups, supers = in_blocks(stored(rare_rows(stars), "rows"))
     # Central pairs read these rows several times.
     central = central_pairs(
-        stored(labelled(rows, components(links), "b", "label"), "labelled")
+        stored(labelled(groups, components(links), "b", "label"), "labelled")
     )
     central = stored(
         central.join(plausible, ["a", "b"], "left_anti").select("a", "b"), "pairs"
@@ -547,15 +574,12 @@ def all_links(docs: DataFrame, row: str, n_shingles: int) -> DataFrame:
     links = stored(links.unionByName(found), "links")
 
     labels = components(links)
-    rows = stored(open_rows(labelled(rows, labels, "b", "label"), labels), "rows")
-    large = rows.where(F.col("members") > LARGE)
-    supers, blocks = supers_of(large)
-    blocks = stored(blocks, "blocks")
-    in_blocks = sets_in(blocks.select(F.col("b").alias("row")), plain)
-    in_tiles = tile_links(blocks, in_blocks)
+    rows = stored(open_rows(labelled(groups, labels, "b", "label"), labels), "rows")
+    blocks = rows.where("in_block").select(F.col("least").alias("block"), "b", "label")
+    in_tiles = tile_links(blocks, sets_in(blocks.select(F.col("b").alias("row")), plain))
 
     tested = plausible.select("a", "b").unionByName(central)
-    hidden = hidden_pairs(rows.where(F.col("members") <= LARGE), supers).join(
+    hidden = hidden_pairs(rows.where("NOT in_block"), supers).join(
         tested, ["a", "b"], "left_anti"
     )
     hidden = stored(hidden, "pairs")

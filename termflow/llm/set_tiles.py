@@ -30,16 +30,17 @@ TILE_BYTES = 16 << 20
 COLUMNS = 4096
 
 
-def supers_of(large: DataFrame) -> tuple[DataFrame, DataFrame]:
+def supers_of(large: DataFrame, kept: str = "label") -> tuple[DataFrame, DataFrame]:
     """(supers, blocks) of the rows of large groups.
 
     ``supers`` has node, super, whole, in_large of all sets in them. A super joins
     groups that have sets in common. It is ``whole`` if comparing all its sets
     takes no more pairs than comparing each group's. ``in_large`` is what a set's
-    rows in large groups count. ``blocks`` has block, b, label: what is compared
-    with each other, a super that is whole, else each of its groups.
+    rows in large groups count. ``blocks`` has block, b and ``kept``, a column with
+    one value for a set: what is compared with each other, a super that is whole,
+    else each of its groups.
     """
-    large = stored(large.select("least", "b", "label", "n", "members"), "large")
+    large = stored(large.select("least", "b", kept, "n"), "large")
     # A set joins its groups. It is in no edge itself: groups go with its first one.
     first = large.withColumn("first", F.min("least").over(Window.partitionBy("b")))
     found = components(first.select(F.col("first").alias("a"), F.col("least").alias("b")))
@@ -49,16 +50,16 @@ def supers_of(large: DataFrame) -> tuple[DataFrame, DataFrame]:
         rows = rows.join(found, F.col(group) == F.col("node"), "left").drop("node")
         return rows.withColumn("super", F.coalesce("super", group))
 
-    sets = large.groupBy("b", "label").agg(
+    sets = large.groupBy("b", kept).agg(
         F.min("least").alias("first"), F.sum("n").alias("in_large")
     )
     per_set = stored(
         with_super(sets, "first").select(
-            "super", F.col("b").alias("node"), "label", "in_large"
+            "super", F.col("b").alias("node"), kept, "in_large"
         ),
         "per-set",
     )
-    groups = large.groupBy("least").agg(F.max("members").alias("members"))
+    groups = large.groupBy("least").agg(F.count("*").alias("members"))
     by_group = (
         with_super(groups, "least")
         .groupBy("super")
@@ -73,11 +74,11 @@ def supers_of(large: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     supers = per_set.join(whole, "super")
     at_once = supers.where("whole").select(
-        (-1 - F.col("super")).alias("block"), F.col("node").alias("b"), "label"
+        (-1 - F.col("super")).alias("block"), F.col("node").alias("b"), kept
     )
     one_by_one = large.join(
         supers.where("NOT whole").select(F.col("node").alias("b")), "b"
-    ).select(F.col("least").alias("block"), "b", "label")
+    ).select(F.col("least").alias("block"), "b", kept)
     blocks = at_once.unionByName(one_by_one)
     return supers.select("node", "super", "whole", "in_large"), blocks
 

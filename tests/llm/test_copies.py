@@ -5,6 +5,7 @@ from hashlib import sha256
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from termflow.llm import components as components_module
 from termflow.llm import jaccard_join, repeated_phrases, set_tiles
@@ -228,6 +229,45 @@ def test_hot_group_of_near_copies(spark, tmp_path):
     assert len(links) > 1000 and len(set(want.values())) > 10
 
 
+def test_a_set_of_a_hot_group_has_few_rows(spark, monkeypatch):
+    """300 near copies: no rows of what only their batch's least set shares, and one
+    row for a set in a block, however many groups it joins."""
+    labelled_counts = []
+
+    def counted(rows, labels, side, name):
+        labelled_counts.append(rows.count() if side == "b" else 0)
+        return labelled(rows, labels, side, name)
+
+    labelled = jaccard_join.labelled
+    monkeypatch.setattr(jaccard_join, "labelled", counted)
+    rows = [(k, text) for k, text in enumerate(near_group(6, 300, 60, (4, 12)))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    stars = jaccard_join.star_table(docs.withColumn("row", F.col("doc_id")), "row", 4)
+    assert stars.where("in_batch").isEmpty()
+    found = near_documents(docs, "near").collect()
+    assert {r["doc_id"]: r["near"]["component_id"] for r in found} == {
+        k: c for k, (_, c) in plain_components(rows).items()
+    }
+    assert 0 < max(labelled_counts) <= 4 * 300
+
+
+def test_signatures_hot_in_a_batch_are_paired_there(spark):
+    texts = near_group(5, 2600, 30, (1, 3)) + near_group(3, 3, 30, (1, 2))
+    rows = [(k, text) for k, text in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    docs = docs.union(spark.createDataFrame([(9000, texts[7] + " z")], docs.schema))
+    stars = jaccard_join.star_table(docs.withColumn("row", F.col("doc_id")), "row", 4)
+    assert not stars.where("in_batch and a != b").isEmpty()
+    found = near_documents(docs, "near").collect()
+    sets = [shingle_set(text) for text in [*texts, texts[7] + " z"]]
+    shared = shared_counts(sets, sets)
+    size = np.array([len(x) for x in sets])
+    linked = 100 * shared >= 80 * (size[:, None] + size[None, :] - shared)
+    links = [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(linked, 1)))]
+    want = least_reachable(range(len(sets)), links)
+    assert {min(r["doc_id"], 2603): r["near"]["component_id"] for r in found} == want
+
+
 def test_supers_are_compared_at_once_where_groups_overlap(spark):
     chain = [(least, b) for least in (1, 5, 9) for b in range(least, least + 5)]
     heap = [(least, b) for least in (21, 22, 23) for b in range(21, 26)]
