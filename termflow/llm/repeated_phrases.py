@@ -46,7 +46,7 @@ from termflow.llm.shingles import (
     window_hashes,
     word_spans,
 )
-from termflow.llm.storage import documents, new_folder
+from termflow.llm.storage import documents, new_folder, shuffles_removed
 from termflow.llm.token_blocks import arrow_schema
 
 WINDOW = 20
@@ -68,21 +68,23 @@ INFO = "n_words bigint, n_removed bigint, kept_sha256 string"
 def in_blocks(docs: DataFrame, row: str, block: str) -> tuple[DataFrame, int]:
     """The rows with number and block, as a table bucketed by block; its buckets."""
     spark = docs.sparkSession
-    chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    parts = max(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), int(chars) // IN_TASK
-    )
     path = new_folder(spark, "blocks")
     table = "blocks_" + path.rsplit("-", 1)[1]
-    (
-        docs.withColumn(row, F.monotonically_increasing_id())
-        .withColumn(block, F.shiftright(row, BLOCK_BITS))
-        .repartition(parts, block)
-        .write.option("path", path)
-        .option("compression", "zstd")
-        .bucketBy(parts, block)
-        .saveAsTable(table)
-    )
+    # The shuffled texts go as soon as the blocks hold them.
+    with shuffles_removed(spark):
+        chars = docs.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+        parts = max(
+            int(spark.conf.get("spark.sql.shuffle.partitions")), int(chars) // IN_TASK
+        )
+        (
+            docs.withColumn(row, F.monotonically_increasing_id())
+            .withColumn(block, F.shiftright(row, BLOCK_BITS))
+            .repartition(parts, block)
+            .write.option("path", path)
+            .option("compression", "zstd")
+            .bucketBy(parts, block)
+            .saveAsTable(table)
+        )
     return spark.table(table), parts
 
 

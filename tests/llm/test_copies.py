@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 from hashlib import sha256
 
 import numpy as np
@@ -33,7 +34,7 @@ from termflow.llm.repeated_phrases import (
 from termflow.llm.set_segments import band_of, bands, scheme, signatures
 from termflow.llm.set_tiles import shared_counts, supers_of, tile_links
 from termflow.llm.shingles import shingle_set, word_hashes
-from termflow.llm.storage import stored
+from termflow.llm.storage import SHUFFLE_CLEANUP, stored
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -544,6 +545,30 @@ def test_the_automaton_finds_what_the_places_do_not_name():
     assert found == [list(range(0, 11)), list(range(0, 7)), [], []]
 
 
+def shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager()
+    files = disk.diskBlockManager().getAllFiles()
+    names = (files.apply(k).getName() for k in range(files.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("write", ["stored", "in_blocks"])
+def test_scratch_tables_leave_no_shuffle_files(spark, odd_documents, write):
+    docs = odd_documents.repartition(4, "doc_id")
+    before = shuffle_files(spark)
+    if write == "stored":
+        table = stored(docs, "documents")
+    else:
+        table, _ = repeated_phrases.in_blocks(docs, "row_number", "block")
+    for _ in range(40):  # they are deleted in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.05)
+    assert not left
+    assert spark.conf.get(SHUFFLE_CLEANUP) == "false"
+    assert table.count() == docs.count() == odd_documents.count()
+
+
 def test_repeated_phrases_with_few_characters_in_a_task(spark, monkeypatch):
     rng = random.Random(8)
     words = [f"w{k}" for k in range(90)]
