@@ -46,7 +46,13 @@ from termflow.llm.shingles import (
     window_hashes,
     word_spans,
 )
-from termflow.llm.storage import documents, new_folder, shuffles_removed
+from termflow.llm.storage import (
+    TEXT_LEVEL,
+    ZSTD_LEVEL,
+    documents,
+    new_folder,
+    shuffles_removed,
+)
 from termflow.llm.token_blocks import arrow_schema
 
 WINDOW = 20
@@ -81,7 +87,7 @@ def in_blocks(docs: DataFrame, row: str, block: str) -> tuple[DataFrame, int]:
             .withColumn(block, F.shiftright(row, BLOCK_BITS))
             .repartition(parts, block)
             .write.option("path", path)
-            .option("compression", "zstd")
+            .options(compression="zstd", **{ZSTD_LEVEL: TEXT_LEVEL})
             .bucketBy(parts, block)
             .saveAsTable(table)
         )
